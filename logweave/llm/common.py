@@ -43,3 +43,11 @@ def remainder(doc_id: Column | str, k: int) -> Column:
     """crc32 of the id as text, modulo k; null ids count as empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % F.lit(k)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logweave.llm import decontamination, quality_rules
+from logweave.llm import decontamination, mixing, near_dedup, pii, quality_rules
 
-MODULES = (quality_rules, decontamination)
+MODULES = (quality_rules, decontamination, near_dedup, mixing, pii)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
