@@ -51,3 +51,23 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in have:
         name += "_"
     return name
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, wanted: Column, most: dict[int, int], name: str) -> tuple[DataFrame, dict[int, float]]:
+    """Labelled rows of ``docs`` as (doc_id, text, label), at most ``most[v]`` for each label v; and the share of each label's rows that it has.
+
+    ``wanted`` is a condition on labels.doc_id. The sample is the rows whose hashed id lies below a
+    share of the hash's range, so it is the same in every run. Only its ids are broadcast. Labels
+    other than the keys of ``most`` and null ids are ignored.
+    """
+    spark = docs.sparkSession
+    rows = labels.where(wanted & F.col(label).isin(*most) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("label"))
+    have = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    share = {v: min(1.0, n / have[v]) if have.get(v) else 1.0 for v, n in most.items()}
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    parts = [rows.where((F.col("label") == v) & (draw < share[v])).limit(n) for v, n in most.items()]
+    ids = [tuple(r) for p in parts for r in p.collect()]  # sum of ``most`` at most
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    chosen = F.broadcast(spark.createDataFrame(ids, f"doc_id {kind}, label int"))
+    texts = docs.select("doc_id", "text").join(chosen, "doc_id").limit(2 * sum(most.values()))  # ids may repeat
+    return written(texts, name), share

@@ -40,7 +40,7 @@ class Config:
     #: Slots in a period; weights are rounded to multiples of 1 / period (a source gets one at least).
     period: int = 1000
     #: Rows for each (source, bucket) that the numbering aims at.
-    bucket_rows: int = 20_000
+    bucket_rows: int = 4_000
     #: The driver plans over sources and phases: this bounds both.
     max_sources: int = 400
 

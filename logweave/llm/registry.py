@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logweave.llm import decontamination, mixing, near_dedup, pii, quality_rules
+from logweave.llm import decontamination, lm_scoring, mixing, near_dedup, pii, quality_classifier, quality_rules
 
-MODULES = (quality_rules, decontamination, near_dedup, mixing, pii)
+MODULES = (quality_rules, decontamination, near_dedup, mixing, pii, lm_scoring, quality_classifier)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
