@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logweave.llm import decontamination, lm_scoring, mixing, near_dedup, pii, quality_classifier, quality_rules
+from logweave.llm import decontamination, lm_scoring, mixing, near_dedup, pii, quality_classifier, quality_rules, toxicity, url_filter
 
-MODULES = (quality_rules, decontamination, near_dedup, mixing, pii, lm_scoring, quality_classifier)
+MODULES = (quality_rules, decontamination, near_dedup, mixing, pii, lm_scoring, quality_classifier, toxicity, url_filter)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
