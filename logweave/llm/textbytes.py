@@ -1,7 +1,7 @@
 """Vectorised words and hashes over Arrow string batches.
 
 The helpers work on the UTF-8 bytes of many rows at once, so that no Python object is made for a
-word. A *slice* is a run of whole rows of about ``SLICE_BYTES`` bytes; a longer text is a slice of
+word. A *slice* is a run of whole rows of up to ``SLICE_BYTES`` bytes; a longer text is a slice of
 its own. Null texts count as empty.
 """
 
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _U = np.uint64
 _MULT = _U(0x9E3779B97F4A7C15)
