@@ -138,9 +138,9 @@ def numbered(docs: DataFrame, source: str, c: Config, names: tuple[str, str]) ->
     within = F.row_number().over(Window.partitionBy(source, bucket).orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id", text))
     d = d.withColumn(number, within)
     o = counts.select("s", "b", "offset")
-    d = d.join(o, d[source].eqNullSafe(o["s"]) & (d[bucket] == o["b"]))
-    keep = [d[x] for x in docs.columns]
-    return d.select(*keep, (d[number] - 1 + o["offset"]).alias(number)), rows
+    o = o.select(F.col("s").alias("of"), F.col("b").alias("in"), "offset").alias("o")
+    d = d.alias("d").join(o, F.col(f"d.{source}").eqNullSafe(F.col("o.of")) & (F.col(f"d.{bucket}") == F.col("o.in")))
+    return d.select(*[F.col(f"d.`{x}`") for x in docs.columns], (F.col(f"d.{number}") - 1 + F.col("o.offset")).alias(number)), rows
 
 
 def mix(docs: DataFrame, weights: Mapping | None = None, c: Config = Config(), source: str = "source") -> DataFrame:
@@ -160,28 +160,27 @@ def mix(docs: DataFrame, weights: Mapping | None = None, c: Config = Config(), s
             spans.append((s, p, x.start, x.first[s], x.first[s] + x.placed[s], x.share[s], total))
             slots.extend((s, p, j, slot) for j, slot in enumerate(x.slots[s]))
     # spans: sources times phases; slots: phases times period: both bounded by max_sources and period
-    span = spark.createDataFrame(spans, "s string, p int, start long, lo long, hi long, share long, total long")
-    slot = spark.createDataFrame(slots, "s2 string, p2 int, j long, at long")
-    block = unused(docs, "block")
-    d = d.withColumn(block, F.floor(F.col(number) / c.block_docs).cast("long"))
-    d = d.join(F.broadcast(span), d[source].cast("string").eqNullSafe(span["s"]) & (d[block] >= span["lo"]) & (d[block] < span["hi"]))
-    k = d[block] - span["lo"]
-    turn = F.floor(k / span["share"]).cast("long")
-    d = d.join(F.broadcast(slot), span["s"].eqNullSafe(slot["s2"]) & (span["p"] == slot["p2"]) & (k % span["share"] == slot["j"]))
-    place = span["start"] + turn * span["total"] + slot["at"]
+    span = spark.createDataFrame(spans, "s string, p int, start long, lo long, hi long, share long, total long").alias("span")
+    slot = spark.createDataFrame(slots, "s2 string, p2 int, j long, at long").alias("slot")
+    of = lambda x: F.col(f"docs.{x}")
+    block = F.floor(of(number) / c.block_docs).cast("long")
+    d = d.alias("docs").join(F.broadcast(span), of(source).cast("string").eqNullSafe(F.col("span.s")) & (block >= F.col("span.lo")) & (block < F.col("span.hi")))
+    k = block - F.col("span.lo")
+    share, total = F.col("span.share"), F.col("span.total")
+    d = d.join(F.broadcast(slot), F.col("span.s").eqNullSafe(F.col("slot.s2")) & (F.col("span.p") == F.col("slot.p2")) & (k % share == F.col("slot.j")))
+    place = F.col("span.start") + F.floor(k / share).cast("long") * total + F.col("slot.at")
     names = {x: unused(docs, x) for x in ("phase", "slot", "block", "release", "deadline", "position")}
     return d.select(
-        *[d[x] for x in docs.columns],
-        span["p"].alias(names["phase"]),
+        *[of(f"`{x}`").alias(x) for x in docs.columns],
+        F.col("span.p").alias(names["phase"]),
         place.alias(names["slot"]),
-        d[block].alias(names["block"]),
-        F.floor(k * span["total"] / span["share"]).cast("long").alias(names["release"]),
-        F.ceil((k + 1) * span["total"] / span["share"]).cast("long").alias(names["deadline"]),
-        (place * c.block_docs + d[number] % c.block_docs).alias(names["position"]),
+        block.alias(names["block"]),
+        F.floor(k * total / share).cast("long").alias(names["release"]),
+        F.ceil((k + 1) * total / share).cast("long").alias(names["deadline"]),
+        (place * c.block_docs + of(number) % c.block_docs).alias(names["position"]),
     )
 
 
-
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return mix(docs.select("doc_id", "source", F.xxhash64("text").alias("text"))).drop("text")
