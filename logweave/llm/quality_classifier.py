@@ -66,9 +66,9 @@ def features(s: tb.Slice, c: Config) -> tuple[np.ndarray, np.ndarray]:
     flags = np.zeros((2, len(h)), np.int64)
     for back in (1, 2):
         flags[back - 1, back:] = (h[back:] == h[:-back]) & (w.row[back:] == w.row[:-back])
-    for k in range(2):
-        run = sum((flags[k, 4 - j : len(h) - j] << j for j in range(5)), np.zeros(max(0, len(h) - 4), np.int64))
-        same = w.row[4:] == w.row[: len(h) - 4] if len(h) > 4 else np.zeros(0, bool)
+    for k in range(2 if len(h) > 4 else 0):
+        run = sum(flags[k, 4 - j : len(h) - j] << j for j in range(5))
+        same = w.row[4:] == w.row[:-4]
         parts.append(w.row[4:][same] * c.dims + (1 << c.word_bits) + (1 << c.shape_bits) + 32 * k + run[same])
 
     shape = SHAPE[s.data]
