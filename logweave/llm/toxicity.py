@@ -2,19 +2,19 @@ r"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max
 
 Terms are words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` (A-Z lower-cased) and their beginnings of 4 to 8
 bytes. The vocabulary is the terms whose share differs most between toxic and other examples
-(|z| at least ``least_z``, ``max_terms`` at most). A text's vector has (1 + ln count) * idf for its
-terms, with document frequencies counted over the whole corpus, at length one.
+(|z| at least ``least_z``, ``max_terms`` at most), and one term that stands for all words. A text's
+vector has (1 + ln count) * idf for its terms, with document frequencies counted over the whole
+corpus, at length one; so a telling word among a thousand others weighs less than among ten.
 
-Examples are at most ``fit_rows`` labelled rows of each class (a documented bound); those with a term
+Examples are at most ``fit_rows`` labelled rows of each class (a documented bound); those with words
 are indexed. For every text the nearest ``k`` are found exactly: the index keeps each term's largest
 weight in every block of examples; blocks are visited by falling upper bound until no block can hold
-a nearer example than the k-th found. Their votes are weighted by similarity and by the share of
-the class that was sampled, and a monotone curve fitted to votes among the examples themselves
+a nearer example than the k-th found. Their votes are weighted by inverse distance and by the share
+of the class that was sampled, and a monotone curve fitted to votes among the examples themselves
 (each without itself) maps votes to probabilities. ``evidence`` lists the nearest examples and
 ``terms`` the text's terms that weigh most.
 
-Null texts, empty texts and texts without a term of the vocabulary have no neighbour; their score is
-the share of toxic rows among examples without terms. Rows are scored one by one, so repeated rows
+Null texts and texts without words have no neighbour; their score is the share of toxic rows. Rows are scored one by one, so repeated rows
 repeat their score. Ties in similarity go to the example with the lower place in the index, which is
 sorted by content and id. Without examples of both classes the score is the share of label 1 (0.5
 without any). An empty table gives an empty result. Extra columns are not read.
@@ -103,16 +103,21 @@ class Terms:
     idf: np.ndarray
 
     def of(self, s: tb.Slice, c: Config) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """row, term and count of a slice's terms, in order of row."""
-        keys = [np.zeros(0, np.int64)]
-        n = max(len(self.hash), 1)
+        """row, term and count of a slice's terms, in order of row; the term behind the last stands for all words."""
+        keys, n = [], len(self.hash)
         for h, row, _ in terms(s, c):
-            if len(self.hash):
+            if not keys:
+                words = np.bincount(row, minlength=s.rows)
+                keys.append(np.zeros(0, np.int64))
+            if n:
                 at = np.minimum(np.searchsorted(self.hash, h), n - 1)
                 ok = self.hash[at] == h
                 keys.append(row[ok] * n + at[ok])
         key, count = np.unique(np.concatenate(keys), return_counts=True)
-        return key // n, key % n, count
+        some = np.flatnonzero(words)
+        row, term = np.concatenate([key // max(n, 1), some]), np.concatenate([key % max(n, 1), np.full(len(some), n)])
+        order = np.lexsort((term, row))
+        return row[order], term[order], np.concatenate([count, words[some]])[order]
 
     def vectors(self, s: tb.Slice, c: Config) -> list[tuple[np.ndarray, np.ndarray]]:
         row, term, count = self.of(s, c)
@@ -147,8 +152,11 @@ class BlockMax:
         query = np.zeros(len(self.most))
         query[term] = weight
         for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) >= k and bound[b] < best[k - 1] - 1e-9):
+            most = np.round(bound[b], 9) + 1e-9
+            if bound[b] <= 0 or (len(best) >= k and most < best[k - 1]):
                 break
+            if len(best) >= k and most <= best[k - 1] + 2e-9 and b * self.block > best_at[k - 1]:
+                continue  # at best a tie, with a higher place
             at = slice(self.ends[b], self.ends[b + 1])
             base = b * self.block
             cosine = np.bincount(self.doc[at] - base, query[self.term[at]] * self.weight[at], min(self.block, self.n - base))
@@ -186,8 +194,8 @@ class Model:
     knots: tuple[np.ndarray, np.ndarray]
 
     def vote(self, at: np.ndarray, cosine: np.ndarray, c: Config) -> float:
-        w = cosine * self.weight[at]
-        scale = self.weight.mean() * c.prior
+        w = self.weight[at] / (0.05 + np.sqrt(np.maximum(2 - 2 * cosine, 0)))
+        scale = self.weight.mean() * c.prior / 0.05
         return float((w @ self.label[at] + scale * self.share) / (w.sum() + scale))
 
     def score(self, at: np.ndarray, cosine: np.ndarray, c: Config) -> float:
@@ -208,12 +216,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, wanted: Column, c: Confi
         for batch in batches:
             rows += batch.num_rows
             for s in tb.slices(batch.column(0)):
-                total += np.bincount(shared.value.of(s, c)[1], minlength=len(total))
+                total += np.bincount(shared.value.of(s, c)[1], minlength=len(total) + 1)[:-1]
         yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(len(total)), -1)), pa.array(np.append(total, rows))], ["term", "n"])
 
     got = {r["term"]: r["n"] for r in docs.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     n = got.get(-1, 0)
-    t.idf = np.log((n + 1) / (np.array([got.get(k, 0) for k in range(len(words))]) + 1)) + 1
+    df = np.array([*(got.get(k, 0) for k in range(len(words))), n])
+    t.idf = np.log((n + 1) / (df + 1)) + 1
 
     ready = spark.sparkContext.broadcast(t)
 
@@ -233,10 +242,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, wanted: Column, c: Confi
     full = np.array([len(r["terms"]) > 0 for r in rows], bool)
     used = [r for r, f in zip(rows, full, strict=True) if f]
     vec = [(np.frombuffer(r["terms"], np.int64), np.frombuffer(r["weights"])) for r in used]
-    index = BlockMax(vec, len(words), c.block)
-    rest = cost[~full]
-    without = float(((label_of[~full] * rest).sum() + overall * 0.5) / (rest.sum() + 0.5)) if len(rows) else 0.5
-    m = Model(t, index, [r["doc_id"] for r in used], label_of[full], cost[full], overall, without, (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
+    index = BlockMax(vec, len(words) + 1, c.block)
+    m = Model(t, index, [r["doc_id"] for r in used], label_of[full], cost[full], overall, overall, (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
     if len(used):
         votes = np.array([m.vote(*index.nearest(*v, c.k, skip=i), c) for i, v in enumerate(vec)])
         m.knots = monotone(votes, m.label, m.weight)
@@ -260,6 +267,8 @@ def classify(docs: DataFrame, model: Model, held: Column, c: Config = Config())
                     if got is None:
                         at, cosine = m.index.nearest(t, w, c.k)
                         near = [{"doc_id": m.ids[a], "cosine": float(x), "label": int(m.label[a])} for a, x in zip(at[: c.evidence], cosine, strict=False)]
+                        words = t < len(m.terms.text)
+                        t, w = t[words], w[words]
                         top = [m.terms.text[t[j]].decode("utf-8", "replace") for j in np.argsort(-w, kind="stable")[: c.evidence]]
                         got = m.score(at, cosine, c), near, top
                         if len(known) > 20_000:
