@@ -2,9 +2,9 @@
 
 The effect of an attack is bounded below by (least attack, most defence) and above by the reverse.
 An observed range turns into bounds on each side's investment, and later searches start from bounds
-that earlier events have tightened, so events of a match are folded in order (``applyInPandas`` by
-match: a match is a bounded group of a few hundred events). One pass gives the state before each
-turn and the final state.
+that earlier events have tightened, so events of a match are folded in order: matches are hashed to
+partitions and sorted there, and a task streams through them with the state of one match at a time.
+One pass gives the state before each turn and the final state.
 """
 
 from __future__ import annotations
@@ -116,28 +116,40 @@ KNOWN = "match_id string, turn_key long, final boolean, side string, species_key
 def fold(events: DataFrame, effect: Effect = stand_in) -> DataFrame:
     """Bounds before each turn (final false) and at the end (final true) from hits (match_id, turn_key, event_pos, attacker_side, attacker, defender_side, defender, category, power, hp_before_pct, hp_after_pct, is_ko)."""
 
-    def run(match: pd.DataFrame) -> pd.DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state: dict[tuple[str, str], Knowledge] = {}
         rows: list[tuple] = []
-        match = match.sort_values(["turn_key", "event_pos"])
-        name = match["match_id"].iloc[0]
+        match, turn = None, None
 
-        def put(turn: int, final: bool) -> None:
+        def put(at: int, final: bool) -> None:
             for (side, species), k in sorted(state.items()):
-                rows.extend((name, turn, final, side, species, s, k.lo[s], k.hi[s], k.observed) for s in STATS)
-
-        for turn, part in match.groupby("turn_key", sort=True):
-            put(int(turn), False)
-            for e in part.to_dict("records"):
-                if e["category"] == "Status" or e["attacker_side"] == e["defender_side"]:
-                    continue
-                a = state.setdefault((e["attacker_side"], e["attacker"]), Knowledge())
-                d = state.setdefault((e["defender_side"], e["defender"]), Knowledge())
-                update(a, d, e, effect)
-        put(int(match["turn_key"].max()) + 1, True)
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in KNOWN.split(", ")])
-
-    return events.groupBy("match_id").applyInPandas(run, KNOWN)
+                rows.extend((match, at, final, side, species, s, k.lo[s], k.hi[s], k.observed) for s in STATS)
+
+        def table() -> pd.DataFrame:
+            out = pd.DataFrame(rows, columns=[c.split()[0] for c in KNOWN.split(", ")])
+            rows.clear()
+            return out
+
+        for batch in batches:
+            for e in batch.to_dict("records"):
+                if e["match_id"] != match:
+                    if match is not None:
+                        put(turn + 1, True)
+                    state, match, turn = {}, e["match_id"], None
+                if e["turn_key"] != turn:
+                    turn = int(e["turn_key"])
+                    put(turn, False)
+                if e["category"] != "Status" and e["attacker_side"] != e["defender_side"]:
+                    a = state.setdefault((e["attacker_side"], e["attacker"]), Knowledge())
+                    d = state.setdefault((e["defender_side"], e["defender"]), Knowledge())
+                    update(a, d, e, effect)
+            yield table()
+        if match is not None:
+            put(turn + 1, True)
+            yield table()
+
+    ordered = events.repartition("match_id").sortWithinPartitions("match_id", "turn_key", "event_pos")
+    return ordered.mapInPandas(run, KNOWN)
 
 
 def speed_caps(order: DataFrame) -> DataFrame:

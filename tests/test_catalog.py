@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from logweave.plans import catalog
+from logweave.plans import catalog, domain_catalog  # noqa: F401  (registers its queries)
 
 SF = "/root/testdata/sf0.001"
 
