@@ -148,7 +148,8 @@ def fold(events: DataFrame, effect: Effect = stand_in) -> DataFrame:
             put(turn + 1, True)
             yield table()
 
-    ordered = events.repartition("match_id").sortWithinPartitions("match_id", "turn_key", "event_pos")
+    n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number: the rows are few, the work on each is not
+    ordered = events.repartition(n, "match_id").sortWithinPartitions("match_id", "turn_key", "event_pos")
     return ordered.mapInPandas(run, KNOWN)
 
 
