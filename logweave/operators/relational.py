@@ -125,3 +125,45 @@ def paired(calls: DataFrame, results: DataFrame, on: Sequence[str]) -> DataFrame
     j = a.join(b, list(on), "full")
     status = F.when(F.col("__r").isNull(), "unanswered").when(F.col("__c").isNull(), "orphan").otherwise("paired")
     return j.withColumn("status", status).drop("__c", "__r")
+
+
+def first_source(frames: Sequence[DataFrame], key: str) -> DataFrame:
+    """The row of each key from the first frame that has it."""
+    columns = frames[0].columns
+    all_ = None
+    for k, f in enumerate(frames):
+        part = f.select(*columns).withColumn("__order", F.lit(k))
+        all_ = part if all_ is None else all_.unionByName(part)
+    best = all_.groupBy(key).agg(F.min_by(F.struct(*columns), "__order").alias("__x"))
+    return best.select("__x.*")
+
+
+def source_trace(rows: DataFrame, states: DataFrame, on: Sequence[str], order: str, columns: Sequence[str]) -> DataFrame:
+    """Rows with the state they came from and the one after it; joined on ids, so dropped states before it shift nothing."""
+    w = Window.partitionBy(*[c for c in on if c != order]).orderBy(order)
+    s = states.select(*on, F.struct(*columns).alias("state")).withColumn("next_state", F.lead("state").over(w))
+    return rows.join(s, list(on), "left")
+
+
+def routed_results(items: DataFrame, results: DataFrame, key: str, status: str) -> DataFrame:
+    """Items with the status of their result; those without one failed."""
+    return items.drop(status).join(results.select(key, status), key, "left").withColumn(status, F.coalesce(status, F.lit("failed")))
+
+
+def counters(parts: DataFrame, column: str) -> DataFrame:
+    """counter, n: sums of map-typed counters over all rows."""
+    return parts.select(F.explode(column).alias("counter", "n")).groupBy("counter").agg(F.sum("n").alias("n"))
+
+
+def profile(df: DataFrame, value: str) -> DataFrame:
+    """One row: n, least, median (truncated), most."""
+    return df.agg(F.count("*").alias("n"), F.min(value).alias("least"), F.floor(F.median(value)).cast("long").alias("median"), F.max(value).alias("most"))
+
+
+def with_drop_reason(df: DataFrame, reasons: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Kept rows, and counts by the first reason that holds: nothing is dropped uncounted."""
+    reason = F.lit(None).cast("string")
+    for name, c in reversed(reasons.items()):
+        reason = F.when(F.coalesce(c, F.lit(False)), name).otherwise(reason)
+    marked = df.withColumn("drop_reason", reason)
+    return marked.where("drop_reason IS NULL").drop("drop_reason"), marked.where("drop_reason IS NOT NULL").groupBy("drop_reason").agg(F.count("*").alias("n"))

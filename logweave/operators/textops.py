@@ -52,6 +52,26 @@ class Sections:
             yield k, title, "\n".join(body).strip()
 
 
+@F.udtf(returnType="rule int, text string")
+class NumberedRules:
+    """Items of a numbered list, each with its continuation lines; the text before the first is rule 0."""
+
+    def eval(self, text: str) -> Iterator[tuple[int, str]]:
+        import re
+
+        number, body = 0, []
+        for line in (text or "").split("\n"):
+            m = re.match(r"\s*(\d+)[.)]\s+(.*)", line)
+            if m:
+                if number or any(x.strip() for x in body):
+                    yield number, "\n".join(body).strip()
+                number, body = int(m[1]), [m[2]]
+            else:
+                body.append(line)
+        if number or any(x.strip() for x in body):
+            yield number, "\n".join(body).strip()
+
+
 def tag_sections(df: DataFrame, key: str, html: str, tags: str) -> DataFrame:
     """key, section (from 0), tag, body: elements of the given tags (a|b|c) in page order, without markup."""
     found = F.regexp_extract_all(F.col(html), F.lit(rf"(?s)<(?:{tags})[^>]*>.*?</(?:{tags})>"), F.lit(0))
