@@ -58,7 +58,7 @@ class Config:
     #: Siblings whose labelled share lies within this many standard deviations are alike.
     alike_z: float = 2.0
     #: Weight of the wider share in a smoothed one, in pages.
-    smoothing: float = 5.0
+    smoothing: float = 20.0
     block_at: float = 0.5
 
 
