@@ -54,7 +54,8 @@ def ordered_pairs(df: DataFrame, key: str, pos: str, side: str, columns: Sequenc
 def nearest_match(left: DataFrame, right: DataFrame, key: str, position: str, most: float, columns: Sequence[str], tiebreak: str) -> DataFrame:
     """For each left row the right row of the key with the least distance, at most ``most``; ties by the right tiebreak. Left rows without one stay.
 
-    Positions are cut into cells of width ``most``, so a row meets the rows of three cells, not of its whole key.
+    Positions are cut into cells of width ``most``, so a row meets the rows of three cells, not of its whole key. Left
+    rows are told apart by their columns, so these should hold an id.
     """
     cell = F.floor(F.col(position) / F.lit(most)).cast("long")
     lhs = left.withColumn("__row", F.struct(*left.columns)).withColumn("__cell", F.explode(F.array(cell - 1, cell, cell + 1)))

@@ -51,9 +51,14 @@ def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns:
     return out.select(*df.columns, *[F.col(f"__next.{c}").alias(f"next_{c}") for c in columns])
 
 
-def running_distinct(value: str, keys: Sequence[str], order: Sequence[str]) -> Column:
-    """Distinct values up to the row, in order of first appearance."""
-    return F.array_distinct(F.collect_list(value).over(so_far(keys, order)))
+def running_distinct(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Adds the distinct values up to each row, in order of first appearance.
+
+    Only first appearances carry a value into the frame, so its array is as long as the values are many, not the rows.
+    """
+    first = F.row_number().over(ordered([*keys, value], order)) == 1
+    df = df.withColumn("__new", F.when(first, F.col(value)))
+    return df.withColumn(name, F.collect_list("__new").over(so_far(keys, order))).drop("__new")
 
 
 def stint(reset: Column, keys: Sequence[str], order: Sequence[str]) -> Column:

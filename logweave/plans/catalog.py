@@ -74,12 +74,8 @@ SELECT e.event_id, f.event_type, f.p FROM (SELECT event_id, user_id, row_number(
 JOIN (SELECT user_id, event_type, min(n) AS p FROM (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events) GROUP BY ALL) f
 ON e.user_id = f.user_id AND f.p <= e.n) GROUP BY event_id""")
 def running_seen_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As running_distinct, in a frame that is not longer than the number of types: only first appearances carry a value."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
-    first = F.row_number().over(sequence.ordered([*USER, "event_type"], TIME)) == 1
-    e = e.withColumn("new", F.when(first, F.col("event_type")))
-    seen = F.collect_list("new").over(sequence.so_far(USER, TIME))
-    return e.select("event_id", F.array_join(seen, ",").alias("seen"))
+    return sequence.running_distinct(e, "event_type", USER, TIME, "types").select("event_id", F.array_join("types", ",").alias("seen"))
 
 
 @query("""WITH s AS (SELECT *, sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id)::BIGINT AS stint FROM events)
