@@ -20,5 +20,7 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield session
+    from logweave.shipping import ship
+
+    yield ship(session)
     session.stop()
