@@ -170,16 +170,17 @@ class BlockMax:
 
 
 def monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Knots of the non-decreasing fit of y on x (pool adjacent violators)."""
+    """Knots of the non-decreasing fit of y on x (pool adjacent violators): both ends of every pool. Small pools are drawn to the middle."""
     order = np.argsort(x, kind="stable")
-    pools: list[list[float]] = []
+    pools: list[list[float]] = []  # sum of y, weight, first and last x
     for xi, yi, wi in zip(x[order], y[order], w[order], strict=True):
-        pools.append([yi * wi, wi, xi * wi])
-        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
-            last = pools.pop()
-            pools[-1] = [p + q for p, q in zip(pools[-1], last, strict=True)]
-    value = np.array([(a + 0.01) / (b + 0.02) for a, b, _ in pools])
-    return np.array([m / b for _, b, m in pools]), value
+        pools.append([yi * wi, wi, xi, xi])
+        while len(pools) > 1 and (pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1] or pools[-2][3] == pools[-1][2]):
+            a, n, _, last = pools.pop()
+            pools[-1][:2] = pools[-1][0] + a, pools[-1][1] + n
+            pools[-1][3] = last
+    value = np.maximum.accumulate([(a + 0.4) / (n + 1.0) for a, n, _, _ in pools])
+    return np.array([v for p in pools for v in p[2:]]), np.repeat(value, 2)
 
 
 @dataclass
@@ -195,7 +196,7 @@ class Model:
 
     def vote(self, at: np.ndarray, cosine: np.ndarray, c: Config) -> float:
         w = self.weight[at] / (0.05 + np.sqrt(np.maximum(2 - 2 * cosine, 0)))
-        scale = self.weight.mean() * c.prior / 0.05
+        scale = self.weight.mean() * c.prior
         return float((w @ self.label[at] + scale * self.share) / (w.sum() + scale))
 
     def score(self, at: np.ndarray, cosine: np.ndarray, c: Config) -> float:
