@@ -1,22 +1,24 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-A source's documents form blocks of ``block_docs``. Block j (from 0) of a source with weight w is
-released at slot floor(j / w) and due by ceil((j + 1) / w); in every slot the released block with
-the earliest deadline goes next (ties: the later-split window first, then the larger share, then
-the name). With weights that sum to one this meets every deadline, so at any slot a source has
-received less than one block more or less than its share.
-
-Weights are whole shares of a period of ``period`` slots. After one period every source is exactly
-on its share and the pattern repeats, so one period per phase (a bounded table, from the weights
-alone) places every block of any corpus: the place of a block follows from its number. When a
-source runs out, a new phase begins with the weights of the sources that are left; no document is
-dropped or repeated.
+A source's documents form blocks of ``block_docs``. The target is a fluid mix: at every moment all
+sources that have blocks left are served at once, in proportion to their weights, and a phase ends
+when one runs out. A block is released at the slot in which the fluid mix begins to serve it and due
+by the end of the slot in which it has served it (floor and ceiling of two moments; within phase 0,
+floor(j / w) and ceil((j + 1) / w) for block j, from 0, and a share of w). In every slot the
+released block with the earliest deadline goes next (ties: the later-split window first, then the
+larger weight, then the name). The fluid mix is a fractional schedule within these windows, so
+earliest deadline first meets every one of them, and at any slot of any phase a source has received
+less than one block more or less than its target. No document is dropped or repeated.
+
+Weights are not rounded: the moments are fractions of integers. One task walks the slots (documents
+/ block_docs steps) and streams the place of each block into a table, which is joined to the
+documents; it holds a few numbers for each source.
 
 The number of a document within its source comes from counts of (source, hash bucket) and a
 row_number within the bucket, so a source with a third of all rows is spread over many tasks.
 
 :func:`mix` returns the rows of ``docs`` with phase, slot, block, release, deadline (slots of the
-phase) and position: ordering by position gives the mix. Null sources are a source of their own,
+mix) and position: ordering by position gives the mix. Null sources are a source of their own,
 named null; its weight is looked up under None. Null texts, null ids and repeated rows are rows
 like others; rows that repeat an id and a text are ordered arbitrarily among themselves. An empty
 table gives an empty result. Output columns that clash with columns of ``docs`` get a trailing "_".
@@ -25,9 +27,14 @@ table gives an empty result. Output columns that clash with columns of ``docs``
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+import math
+from bisect import bisect_left
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from fractions import Fraction
+from itertools import accumulate, islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,11 +44,11 @@ from logweave.llm.common import read, unused, written
 @dataclass(frozen=True)
 class Config:
     block_docs: int = 8
-    #: Slots in a period; weights are rounded to multiples of 1 / period (a source gets one at least).
+    #: Slots in a period of ``pattern``, for weights that are whole shares of it. The mix has no period.
     period: int = 1000
     #: Rows for each (source, bucket) that the numbering aims at.
     bucket_rows: int = 4_000
-    #: The driver plans over sources and phases: this bounds both.
+    #: Bound of the sources.
     max_sources: int = 400
 
 
@@ -92,38 +99,97 @@ def pattern(share: Mapping, period: int) -> dict:
     return slots
 
 
-@dataclass(frozen=True)
-class Phase:
-    start: int
-    share: dict
-    slots: dict
-    #: First block of each source that is in the phase.
-    first: dict
-    #: Blocks of each source that the phase places.
-    placed: dict
-
-
-def phases(blocks: Mapping, weights: Mapping, period: int) -> list[Phase]:
-    """The phases that place all blocks of all sources. A phase ends with the last block of a source."""
-    left, done, start, out = {s: n for s, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0, []
-    while left:
-        share = shares({s: weights[s] for s in left}, period)
-        total = sum(share.values())
-        slots = pattern(share, total)
-        at = lambda s, k: k // share[s] * total + slots[s][k % share[s]]  # noqa: B023, E731
-        end = 1 + min(at(s, n - 1) for s, n in left.items())
-        whole, part = divmod(end, total)
-        placed = {s: min(n, whole * share[s] + sum(x < part for x in slots[s])) for s, n in left.items()}
-        out.append(Phase(start, share, slots, {s: done[s] for s in left}, placed))
-        for s, n in placed.items():
-            done[s] += n
-        left = {s: n - placed[s] for s, n in left.items() if n > placed[s]}
-        start += end
-    return out
+def whole_weights(weights: Sequence[float]) -> list[int]:
+    """Integers in the proportions of ``weights``, each read as the decimal number that it prints as."""
+    exact = [Fraction(repr(float(w))) for w in weights]
+    unit = math.lcm(*(w.denominator for w in exact))
+    return [int(w * unit) for w in exact]
+
+
+class Fluid:
+    """The targets: sources served at once in proportion to whole weights, each until its blocks are given out.
+
+    Time is in slots. With the sources in the order in which they run out, the first k done, it is
+    done[k] + j * left[k] / w when a source of weight w has got j blocks: integers throughout.
+    """
+
+    def __init__(self, blocks: Sequence[int], weights: Sequence[int]) -> None:
+        self.blocks, self.weights = blocks, weights
+        self.order = sorted(range(len(blocks)), key=lambda s: Fraction(blocks[s], weights[s]))
+        self.ends = [blocks[s] / weights[s] for s in self.order]
+        self.done = list(accumulate((blocks[s] for s in self.order), initial=0))
+        self.left = list(accumulate((-weights[s] for s in self.order), initial=sum(weights)))
+
+    def time(self, s: int, j: int) -> tuple[int, bool]:
+        """When source ``s`` has got ``j`` blocks, rounded down; and whether that cut a part off."""
+        w, n = self.weights[s], len(self.order)
+        k = bisect_left(self.ends, j / w)
+        while k < n and self.blocks[self.order[k]] * w < j * self.weights[self.order[k]]:
+            k += 1
+        while k and self.blocks[self.order[k - 1]] * w > j * self.weights[self.order[k - 1]]:
+            k -= 1
+        slot, part = divmod(j * self.left[k], w)
+        return self.done[k] + slot, part > 0
+
+    def phase_ends(self) -> list[int]:
+        """First slot after each phase, in order. A slot in which a source runs out before its end is of the next phase."""
+        out, last = [], None
+        for s in self.order:
+            v = Fraction(self.blocks[s], self.weights[s])
+            if v != last:
+                out.append(self.time(s, self.blocks[s])[0])
+            last = v
+        return out
+
+
+def places(blocks: Sequence[int], weights: Sequence[int]) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """(source, block, phase, slot, release, deadline) of all blocks in order of slots; sources by number, ties to the larger weight, then the lower number."""
+    fluid = Fluid(blocks, weights)
+    rank = [0] * len(blocks)
+    for k, s in enumerate(sorted(range(len(blocks)), key=lambda s: -weights[s])):
+        rank[s] = k
+    ready: list = []
+    ends, phase = fluid.phase_ends(), 0
+    deadline = lambda s, j: fluid.time(s, j + 1)
+    waiting: list = [(0, rank[s], s, 0) for s in range(len(blocks))]
+    heapq.heapify(waiting)
+    for slot in range(sum(blocks)):
+        while waiting and waiting[0][0] <= slot:
+            release, r, s, j = heapq.heappop(waiting)
+            whole, part = deadline(s, j)
+            heapq.heappush(ready, (whole + part, not part, r, s, j, release, whole))
+        due, _, r, s, j, release, after = heapq.heappop(ready)
+        while phase < len(ends) and ends[phase] <= slot:
+            phase += 1
+        yield s, j, phase, slot, release, due
+        if j + 1 < blocks[s]:
+            heapq.heappush(waiting, (after, r, s, j + 1))
+
+
+PLAN = "s string, block long, phase int, slot long, release long, deadline long"
+
+
+def planned(rows: DataFrame, weights: Mapping | None, c: Config) -> DataFrame:
+    """The place of every block, from the rows (n) of each source (s). One task walks the slots, and holds the sources only."""
+    known = None if weights is None else {None if s is None else str(s): w for s, w in weights.items() if w > 0}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have = sorted(((s, n) for b in batches for s, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)), key=lambda x: (x[0] is None, x[0] or ""))
+        if not have:
+            return
+        least = min(known.values(), default=1.0) if known else 1.0
+        w = whole_weights([n**0.5 if known is None else known.get(s, least) for s, n in have])
+        names = pa.array([s for s, _ in have], pa.string())
+        place = places([-(-n // c.block_docs) for _, n in have], w)
+        while cut := list(islice(place, 20_000)):
+            s, *rest = zip(*cut, strict=True)
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(s)), *(pa.array(x, pa.int32() if k == 1 else pa.int64()) for k, x in enumerate(rest))], [x.split()[0] for x in PLAN.split(", ")])
+
+    return written(rows.select("s", "n").repartition(1).mapInArrow(run, PLAN), "mix-plan")
 
 
-def numbered(docs: DataFrame, source: str, c: Config, names: tuple[str, str]) -> tuple[DataFrame, dict]:
-    """``docs`` with the number of each row within its source (names[0]); and rows by source."""
+def numbered(docs: DataFrame, source: str, c: Config, names: tuple[str, str]) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with the number of each row within its source (names[0]); and the rows (n) of each source (s)."""
     number, bucket = names
     total = docs.count()
     n_buckets = max(1, -(-total // c.bucket_rows))
@@ -132,8 +198,8 @@ def numbered(docs: DataFrame, source: str, c: Config, names: tuple[str, str]) ->
     counts = d.groupBy(F.col(source).alias("s"), F.col(bucket).alias("b")).count()
     before = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     counts = written(counts.withColumn("offset", F.coalesce(F.sum("count").over(before), F.lit(0))), "mix-counts")
-    rows = {r["s"]: r["n"] for r in counts.groupBy("s").agg(F.sum("count").alias("n")).limit(c.max_sources + 1).collect()}
-    if len(rows) > c.max_sources:
+    rows = counts.groupBy(F.col("s").cast("string").alias("s")).agg(F.sum("count").alias("n"))
+    if rows.limit(c.max_sources + 1).count() > c.max_sources:
         raise ValueError(f"more than {c.max_sources} sources; map small sources to one name first")
     within = F.row_number().over(Window.partitionBy(source, bucket).orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id", text))
     d = d.withColumn(number, within)
@@ -145,39 +211,18 @@ def numbered(docs: DataFrame, source: str, c: Config, names: tuple[str, str]) ->
 
 def mix(docs: DataFrame, weights: Mapping | None = None, c: Config = Config(), source: str = "source") -> DataFrame:
     """``docs`` with its place in the mix. Weights default to the square root of the sources' rows; a source without a weight gets the least weight."""
-    spark = docs.sparkSession
     number, bucket = unused(docs, "number"), unused(docs, "bucket")
     d, rows = numbered(docs, source, c, (number, bucket))
-    if weights is None:
-        weights = {s: n**0.5 for s, n in rows.items()}
-    least = min([w for w in weights.values() if w > 0], default=1.0)
-    weights = {s: w if (w := weights.get(s, 0)) > 0 else least for s in rows}
-    plan = phases({s: -(-n // c.block_docs) for s, n in rows.items()}, weights, c.period)
-    spans, slots = [], []
-    for p, x in enumerate(plan):
-        total = sum(x.share.values())
-        for s in x.share:
-            spans.append((s, p, x.start, x.first[s], x.first[s] + x.placed[s], x.share[s], total))
-            slots.extend((s, p, j, slot) for j, slot in enumerate(x.slots[s]))
-    # spans: sources times phases; slots: phases times period: both bounded by max_sources and period
-    span = spark.createDataFrame(spans, "s string, p int, start long, lo long, hi long, share long, total long").alias("span")
-    slot = spark.createDataFrame(slots, "s2 string, p2 int, j long, at long").alias("slot")
+    plan = planned(rows, weights, c).alias("plan")
     of = lambda x: F.col(f"docs.{x}")
     block = F.floor(of(number) / c.block_docs).cast("long")
-    d = d.alias("docs").join(F.broadcast(span), of(source).cast("string").eqNullSafe(F.col("span.s")) & (block >= F.col("span.lo")) & (block < F.col("span.hi")))
-    k = block - F.col("span.lo")
-    share, total = F.col("span.share"), F.col("span.total")
-    d = d.join(F.broadcast(slot), F.col("span.s").eqNullSafe(F.col("slot.s2")) & (F.col("span.p") == F.col("slot.p2")) & (k % share == F.col("slot.j")))
-    place = F.col("span.start") + F.floor(k / share).cast("long") * total + F.col("slot.at")
+    # A key has block_docs rows at most, so no task gets more than others.
+    d = d.alias("docs").join(plan, of(source).cast("string").eqNullSafe(F.col("plan.s")) & (block == F.col("plan.block")))
     names = {x: unused(docs, x) for x in ("phase", "slot", "block", "release", "deadline", "position")}
     return d.select(
         *[of(f"`{x}`").alias(x) for x in docs.columns],
-        F.col("span.p").alias(names["phase"]),
-        place.alias(names["slot"]),
-        block.alias(names["block"]),
-        F.floor(k * total / share).cast("long").alias(names["release"]),
-        F.ceil((k + 1) * total / share).cast("long").alias(names["deadline"]),
-        (place * c.block_docs + of(number) % c.block_docs).alias(names["position"]),
+        *[F.col(f"plan.{x}").alias(names[x]) for x in ("phase", "slot", "block", "release", "deadline")],
+        (F.col("plan.slot") * c.block_docs + of(number) % c.block_docs).alias(names["position"]),
     )
 
 

@@ -64,3 +64,57 @@ def test_edges(spark):
     assert out.columns[: len(clashing(df).columns)] == clashing(df).columns and {"slot_", "position_", "phase_", "block_"} <= set(out.columns)
     assert out.count() == df.count()
     assert m.mix(df, {"src0": 1.0, "unknown": 5.0}).count() == df.count()
+
+
+def fluid_targets(blocks, weights, ends):
+    """Targets of a mix that serves all sources with blocks left at once, at each whole slot, by stepping from phase to phase."""
+    given, t, out = [Fraction(0)] * len(blocks), Fraction(0), []
+    while t < sum(blocks):
+        left = [s for s in range(len(blocks)) if given[s] < blocks[s]]
+        total = sum(weights[s] for s in left)
+        step = min((blocks[s] - given[s]) * total / Fraction(weights[s]) for s in left)
+        while len(out) < ends and len(out) <= t + step:
+            out.append([g + (len(out) - t) * Fraction(weights[s]) / total if s in left else g for s, g in enumerate(given)])
+        given = [g + step * Fraction(weights[s]) / total if s in left else g for s, g in enumerate(given)]
+        t += step
+    return out
+
+
+def test_unrounded_weights_over_many_periods():
+    # a third of the rows in one source and 19 equal ones, weights by square root: shares of 139.58 and 45.29 of 1000
+    blocks = [9_000, *[947] * 19]
+    weights = m.whole_weights([n**0.5 for n in blocks])
+    targets = fluid_targets(blocks, weights, sum(blocks) + 1)
+    given = [0] * len(blocks)
+    for s, j, _, slot, release, deadline in m.places(blocks, weights):
+        assert j == given[s] and release <= slot < deadline
+        given[s] += 1
+        if slot % 7 == 0 or slot > 17_000:
+            assert all(abs(g - x) < 1 for g, x in zip(given, targets[slot + 1], strict=True))
+    assert given == blocks
+
+
+def test_every_phase_is_on_target():
+    rng = random.Random(3)
+    for _ in range(40):
+        blocks = [rng.randint(1, 60) for _ in range(rng.randint(1, 9))]
+        weights = m.whole_weights([rng.random() ** 6 + 1e-6 for _ in blocks])
+        targets, given = fluid_targets(blocks, weights, sum(blocks) + 1), [0] * len(blocks)
+        for k, (s, _, phase, slot, release, deadline) in enumerate(m.places(blocks, weights)):
+            assert slot == k and release <= slot < deadline
+            given[s] += 1
+            assert all(abs(g - x) < 1 for g, x in zip(given, targets[k + 1], strict=True))
+        assert given == blocks
+
+
+def test_mix_keeps_windows_of_default_weights(spark):
+    df = spark.createDataFrame([(k, f"t{k}", f"s{min(k % 31, 6)}") for k in range(6000)], "doc_id long, text string, source string")
+    got = m.mix(df, c=m.Config(block_docs=1, bucket_rows=500)).collect()
+    assert sorted(r["slot"] for r in got) == list(range(6000)) and all(r["release"] <= r["slot"] < r["deadline"] for r in got)
+    n = Counter(r["source"] for r in got)
+    total, first = sum(x**0.5 for x in n.values()), {r["slot"]: r["source"] for r in got if r["phase"] == 0}
+    given = Counter()
+    for t in range(len(first)):
+        given[first[t]] += 1
+        assert all(abs(given[s] - x**0.5 / total * (t + 1)) < 1 for s, x in n.items())
+    assert len(first) > 1000
