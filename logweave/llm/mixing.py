@@ -48,8 +48,6 @@ class Config:
     period: int = 1000
     #: Rows for each (source, bucket) that the numbering aims at.
     bucket_rows: int = 4_000
-    #: Bound of the sources.
-    max_sources: int = 400
 
 
 def shares(weights: Mapping, period: int) -> dict:
@@ -199,8 +197,6 @@ def numbered(docs: DataFrame, source: str, c: Config, names: tuple[str, str]) ->
     before = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     counts = written(counts.withColumn("offset", F.coalesce(F.sum("count").over(before), F.lit(0))), "mix-counts")
     rows = counts.groupBy(F.col("s").cast("string").alias("s")).agg(F.sum("count").alias("n"))
-    if rows.limit(c.max_sources + 1).count() > c.max_sources:
-        raise ValueError(f"more than {c.max_sources} sources; map small sources to one name first")
     within = F.row_number().over(Window.partitionBy(source, bucket).orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id", text))
     d = d.withColumn(number, within)
     o = counts.select("s", "b", "offset")

@@ -118,3 +118,10 @@ def test_mix_keeps_windows_of_default_weights(spark):
         given[first[t]] += 1
         assert all(abs(given[s] - x**0.5 / total * (t + 1)) < 1 for s, x in n.items())
     assert len(first) > 1000
+
+
+def test_many_sources(spark):
+    df = spark.createDataFrame([(k, f"t{k}", f"host{k % 1500}" if k % 3 else "big") for k in range(9000)], "doc_id long, text string, source string")
+    got = m.mix(df, c=m.Config(block_docs=2, bucket_rows=1000)).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(9000)) and len({r["source"] for r in got}) == 1001
+    assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
