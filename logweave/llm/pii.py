@@ -4,9 +4,10 @@ Base, leftmost and non-overlapping for each kind: e-mail address, IPv4 address,
 19 digits passing Luhn), phone number (``+``, 9 to 15 digits). A match that fails its test is
 dropped without another try.
 
-The model tags characters of overlapping windows. A window without a digit or an ``@`` can't hold a
-span of these kinds and is skipped; every other window of the whole text is decoded. Where windows
-overlap, a character takes the tag of the window in which it lies farthest from an edge. A span that
+The model tags characters of overlapping windows. A span passes its kind's test only if it holds a
+digit, an ``@`` or an "at" or "dot" in brackets, so the windows that tag characters within ``window``
+of one of these are decoded, over the whole text; a window far from all of them can't add a span.
+Where windows overlap, a character takes the tag of the window in which it lies farthest from an edge. A span that
 results is added if its marginals are high, it passes the kind's test, and it doesn't touch a base
 span. Training spans are made by :func:`examples` (labelled spans in invented prose, with forms that
 the patterns miss and with look-alikes), ``Config.examples`` windows of them.
@@ -214,6 +215,8 @@ def trained(c: Config = Config()) -> Tagger:
     return model
 
 
+#: In every span that passes: digits, @, and at or dot in brackets, as _OBFUSCATED has them.
+_TRIGGER = re.compile(r"[0-9@]|[\[(]\s*(?:at|dot)\s*[\])]")
 _OBFUSCATED = re.compile(r"\s*[\[(]\s*(?:at|dot)\s*[\])]\s*|\s+@\s+")
 
 
@@ -235,15 +238,13 @@ def added_spans(texts: list[str], base: list[dict[str, list[Span]]], model: Tagg
     where: list[tuple[int, int]] = []
     arrays: dict[int, np.ndarray] = {}
     for i, text in enumerate(texts):
-        if not text or not ("@" in text or _DIGIT.search(text)):
-            continue
-        arrays[i] = a = codes(text)
-        trigger = np.flatnonzero(((a >= 17) & (a <= 26)) | (a == 33))  # digits and @
+        trigger = np.fromiter((m.start() for m in _TRIGGER.finditer(text)), np.int64) if text else ()
         if len(trigger):
+            arrays[i] = a = codes(text)
             n = max(0, -(-(len(a) - c.window) // c.stride)) + 1
-            hi = trigger // c.stride
-            every = np.unique(np.concatenate([hi, np.maximum(hi - 1, 0)]))
-            where.extend((i, int(w) * c.stride) for w in every[every < n])
+            near = range(-(-(-2 * c.window) // c.stride), c.window // c.stride + 1)
+            every = np.unique(np.concatenate([trigger // c.stride + k for k in near]).clip(0, n - 1))
+            where.extend((i, int(w) * c.stride) for w in every)
     out: list[dict[str, list[Span]]] = [{k: [] for k in KINDS} for _ in texts]
     best: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
     edge = np.minimum(np.arange(c.window), np.arange(c.window)[::-1])

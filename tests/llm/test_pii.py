@@ -72,6 +72,23 @@ def test_windows_reconcile_at_every_offset(model):
         assert all(text[a:b] == "(743) 555-3824" for a, b in more["phone"])
 
 
+def test_addresses_in_prose_without_digits(model, monkeypatch):
+    rng, c = random.Random(9), pii.Config()
+    words = "the river was slow and nobody from town came near before evening while old boats lay in mud with ropes".split()
+    texts, want = [], []
+    for _ in range(100):
+        before, after = (" ".join(rng.choices(words, k=60)) for _ in range(2))
+        host = rng.choice(["mail", "web", "post"]) + rng.choice([" [dot] ", "(dot)", "."]) + rng.choice(["example.com", "sample.org"])
+        address = rng.choice(["janedoe", "maria", "henrik", "contact"]) + rng.choice([" [at] ", "(at)"]) + host
+        texts.append(f"{before} {address} {after}")
+        want.append((len(before) + 1, len(before) + 1 + len(address)))
+    base = [pii.base_spans(t) for t in texts]
+    more = pii.added_spans(texts, base, model, c)
+    assert sum(w in m["email"] for w, m in zip(want, more, strict=True)) >= 80
+    monkeypatch.setattr(pii, "_TRIGGER", re.compile("(?s)."))  # every window
+    assert pii.added_spans(texts, base, model, c) == more
+
+
 def test_query_columns(spark):
     more = [(200, "mail me: jo.doe@mail.example.com or +1 (743) 555-3824, 10.0.0.1", "s"), (201, "é 4111 1111 1111 1111", "s")]
     df = documents(spark, more=more)
