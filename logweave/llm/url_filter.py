@@ -5,15 +5,17 @@ up to ``?``, ``#`` or the end. A rule ``host/path`` fits its host and all subdom
 starts with the rule's; the longest rule that fits decides.
 
 Other pages are judged by their template. A path's segments are generalised level by level: first
-by form (numbers, hexadecimal ids, slugs with digits), then by count: a segment that holds less
-than ``least_share`` or ``least_rows`` of its parent's pages becomes ``*``. Kept siblings are merged into
+by form (numbers, hexadecimal ids, slugs with digits), then by count: a segment of fewer than
+``least_rows`` pages becomes ``*``, whatever its parent's size. Kept siblings are merged into
 one ``*`` branch where the main form below them is the same and their labelled shares don't differ
-significantly from their parent's. A template is blocked if its share of bad labelled pages,
+significantly from their parent's, so a variable segment of many pages each becomes a branch, and a
+section that differs stays by itself however small its share. A template is blocked if its share of bad labelled pages,
 smoothed towards its host's, which is smoothed towards the share of all, is ``block_at`` or more; so
 a template without labels follows its host.
 
 All steps work on counts of (host, path form), a few rows for each host, so a host with a third of
-all pages costs one row per form and task. Segments beyond ``depth`` count as one.
+all pages costs one row per form and task. Paths of any depth are told apart: level by level while
+pages of a template differ below it, and all at once where they don't.
 
 Null URLs and URLs without ``://`` have empty host and path and belong to one template of that empty
 host. Repeated pages count repeatedly and get the same result. Labels of no page are ignored, null
@@ -52,8 +54,6 @@ RULES = (Rule("net/", "block"), Rule("example.net/en/", "allow"), Rule("example.
 
 @dataclass(frozen=True)
 class Config:
-    depth: int = 6
-    least_share: float = 0.02
     least_rows: int = 5
     #: Siblings whose labelled share lies within this many standard deviations are alike.
     alike_z: float = 2.0
@@ -85,26 +85,34 @@ def form(segment: Column) -> Column:
     return F.regexp_replace(s, r"[0-9]+", "{n}")
 
 
-def path_forms(path: Column, c: Config) -> Column:
-    """The segments of a path by form, those beyond the depth joined."""
-    seg = F.array_remove(F.split(path, "/"), "")
-    head = F.transform(F.slice(seg, 1, c.depth), form)
-    return F.when(F.size(seg) > c.depth, F.concat(head, F.array(F.lit("...")))).otherwise(head)
+def path_forms(path: Column) -> Column:
+    """The segments of a path by form."""
+    return F.transform(F.array_remove(F.split(path, "/"), ""), form)
+
+
+def opened(t: DataFrame, level: int, c: Config) -> DataFrame:
+    """``t`` with ``open``: whether pages of the row's template differ below ``level``. Where they don't, the template takes the rest of their path."""
+    rest = F.slice("forms", F.lit(level + 1), F.greatest(F.size("forms") - level, F.lit(0)))
+    node = t.groupBy("host", "template").agg(F.min(rest).alias("low"), F.max(rest).alias("high"), F.sum("n").alias("all_n"))
+    same = F.col("low") == F.col("high")
+    whole = F.concat("template", F.when(F.col("all_n") >= c.least_rows, F.col("low")).otherwise(F.transform("low", lambda _: F.lit("*"))))
+    grown = F.when(same, whole).otherwise(F.col("template"))
+    return t.join(node, ["host", "template"]).select("host", "forms", "n", "labelled", "bad", grown.alias("template"), (~same & (F.size("forms") > level)).alias("open"))
 
 
 def tree(counts: DataFrame, c: Config) -> DataFrame:
     """host, forms, template: templates of all (host, forms) in ``counts`` (host, forms, n, labelled, bad)."""
-    t = counts.withColumn("template", F.array().cast("array<string>"))
-    deepest = counts.agg(F.max(F.size("forms"))).first()[0] or 0  # depth + 1 at most
-    for level in range(1, deepest + 1):
-        seg = F.try_element_at("forms", F.lit(level))
-        t = t.withColumn("seg", seg).withColumn("below", F.coalesce(F.try_element_at("forms", F.lit(level + 1)), F.lit("")))
-        here = t.where(F.col("seg").isNotNull())
+    t = written(opened(counts.withColumn("template", F.array().cast("array<string>")), 0, c), "url-tree")
+    finished, level = t.where("NOT open"), 0
+    while not (here := t.where("open").drop("open")).isEmpty():
+        level += 1
+        below = F.coalesce(F.try_element_at("forms", F.lit(level + 1)), F.lit(""))
+        here = here.withColumn("seg", F.try_element_at("forms", F.lit(level))).withColumn("below", below)
         child = here.groupBy("host", "template", "seg", "below").agg(*[F.sum(x).alias(x) for x in ("n", "labelled", "bad")])
         child = child.groupBy("host", "template", "seg").agg(*[F.sum(x).alias(x) for x in ("n", "labelled", "bad")], F.max_by("below", F.struct("n", "below")).alias("main"))
         parent = child.groupBy("host", "template").agg(*[F.sum(x).alias("all_" + x) for x in ("n", "labelled", "bad")])
         child = child.join(parent, ["host", "template"])
-        kept = (F.col("n") >= c.least_rows) & (F.col("n") >= c.least_share * F.col("all_n"))
+        kept = F.col("n") >= c.least_rows
         p = (F.col("all_bad") + 0.5) / (F.col("all_labelled") + 1)
         z = F.abs(F.col("bad") - F.col("labelled") * p) / F.sqrt(F.col("labelled") * p * (1 - p) + 1e-9)
         alike = (F.col("labelled") == 0) | (z < c.alike_z)
@@ -114,10 +122,10 @@ def tree(counts: DataFrame, c: Config) -> DataFrame:
         size = size.join(groups, ["host", "template", "branch"], "left")
         name = F.when(~F.col("kept"), "*").when(F.coalesce("siblings", F.lit(0)) > 1, F.col("branch")).otherwise(F.col("seg"))
         names = size.select("host", "template", "seg", name.alias("name"))
-        t = t.join(names, ["host", "template", "seg"], "left")
-        grown = F.when(F.col("name").isNull(), F.col("template")).otherwise(F.concat("template", F.array("name")))
-        t = written(t.select("host", "forms", "n", "labelled", "bad", grown.alias("template")), "url-tree")
-    return t
+        grown = here.join(names, ["host", "template", "seg"]).select("host", "forms", "n", "labelled", "bad", F.concat("template", F.array("name")).alias("template"))
+        t = written(opened(grown, level, c), "url-tree")
+        finished = finished.union(t.where("NOT open"))
+    return finished.drop("open")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule] = RULES, c: Config = Config()) -> DataFrame:
@@ -126,7 +134,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule] = RULES, c:
     ``labels`` has (page_id, bad): 1 for pages to reject, 0 for others.
     """
     host, path = parts(F.col("url"))
-    p = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("forms", path_forms(F.col("path"), c))
+    p = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("forms", path_forms(F.col("path")))
     marks = labels.where(F.col("bad").isNotNull()).groupBy("page_id").agg(F.max("bad").cast("long").alias("bad"))
     marked = p.join(marks, "page_id", "left")
     counts = written(marked.groupBy("host", "forms").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "url-counts")

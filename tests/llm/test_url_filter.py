@@ -67,3 +67,13 @@ def test_deep_paths_empty_tables_and_repeats(spark):
     got = u.judge(df.selectExpr("*", "'y' AS host", "'y' AS path", "'y' AS n", "'y' AS template"), labels(spark, [(0, None), (999, 1)]))
     assert got.count() == len(urls) and got.where("bad_share is null").count() == 0
     assert u.judge(df.limit(0), labels(spark, [])).count() == 0
+
+
+def test_small_sections_of_a_large_host_and_deep_paths_are_told_apart(spark):
+    urls = [f"http://hot.example.com/main/{k}" for k in range(5000)] + [f"http://hot.example.com/bad/{k}" for k in range(90)]
+    urls += [f"http://hot.example.com/s{chr(97 + k % 26)}{chr(97 + k % 60 // 26)}/{k}" for k in range(3000)]
+    urls += [f"http://deep.example.com/a/b/c/d/e/f/{'bad' if k % 2 else 'good'}/x/{k}" for k in range(200)]
+    bad = {k for k, url in enumerate(urls) if "/bad/" in url}
+    got = u.judge(pages(spark, urls), labels(spark, [(k, int(k in bad)) for k in range(len(urls))]), rules=()).collect()
+    assert {r["page_id"] for r in got if r["verdict"] == "block"} == bad
+    assert {r["template"] for r in got if r["page_id"] in bad} == {"/bad/{n}", "/a/b/c/d/e/f/bad/x/{n}"}
