@@ -13,7 +13,7 @@ def test_run_against_the_stages_one_by_one(spark):
     columns = docs.columns
     rows = [tuple(r) for r in docs.collect()]
     at = {c: k for k, c in enumerate(columns)}
-    kept = {r["doc_id"]: r["kept"] for r in quality_rules.quality_rules(docs).collect()}
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.quality_rules(docs, quality_rules.bands_for(spark, docs, SF)).collect()}
     for r in rows:
         b = brute_counts(r[at["text"]])
         assert not (kept[r[0]] and (b[0] < 20 or 100 * b[4] > 30 * b[0]))
