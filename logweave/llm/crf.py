@@ -17,11 +17,6 @@ class Shape:
     hidden: int = 20
 
 
-def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return np.log(np.exp(x - top).sum(axis=axis)) + top.squeeze(axis)
-
-
 @dataclass
 class Tagger:
     """Tags each character of fixed-length windows; ``allowed[i, j]`` says if tag j may follow tag i."""
@@ -68,7 +63,7 @@ class Tagger:
         dh, dc = np.zeros_like(dout[0]), np.zeros_like(dout[0])
         dz_all = np.empty((*x.shape, 4 * n), F32)
         for t in reversed(range(len(x))):
-            i, f, g, o, before, tc, h_before = tape[t]
+            i, f, g, o, before, tc, _ = tape[t]
             dh = dh + dout[t]
             dc = dc + dh * o * (1 - tc * tc)
             dz = dz_all[t]
@@ -76,10 +71,13 @@ class Tagger:
             dz[:, n : 2 * n] = dc * before * f * (1 - f)
             dz[:, 2 * n : 3 * n] = dc * i * (1 - g * g)
             dz[:, 3 * n :] = dh * tc * o * (1 - o)
-            grad[f"wh{d}"] += h_before.T @ dz
             dh, dc = dz @ wh.T, dc * f
+        flat = dz_all.reshape(-1, 4 * n)
+        grad[f"wh{d}"] += np.concatenate([step[6] for step in tape]).T @ flat
+        order = np.argsort(x.ravel(), kind="stable")
+        chars, first = np.unique(x.ravel()[order], return_index=True)
         by_char = np.zeros((self.shape.alphabet, 4 * n), F32)
-        np.add.at(by_char, x.ravel(), dz_all.reshape(-1, 4 * n))
+        by_char[chars] = np.add.reduceat(flat[order], first, axis=0)
         grad[f"wx{d}"] += self.p["emb"].T @ by_char
         grad[f"b{d}"] += by_char.sum(0)
         grad["emb"] += by_char @ self.p[f"wx{d}"].T
@@ -95,17 +93,23 @@ class Tagger:
         return np.where(self.allowed, self.p["tr"], F32(-1e4)), np.where(self.first_allowed, F32(0), F32(-1e4))
 
     def marginals(self, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tag marginals, expected transitions, log partition."""
+        """Tag marginals, expected transitions, log partition; forward and backward sums scaled at every step."""
         tr, first = self._scores()
-        alpha, beta = np.empty_like(e), np.zeros_like(e)
-        alpha[0] = e[0] + first
-        for t in range(1, len(e)):
-            alpha[t] = _logsum(alpha[t - 1][:, :, None] + tr, 1) + e[t]
+        top = e.max(2, keepdims=True)
+        own, move = np.exp(e - top), np.exp(tr)
+        alpha, beta, scale = np.empty_like(e), np.ones_like(e), np.empty(e.shape[:2], e.dtype)
+        a = own[0] * np.exp(first)
+        for t in range(len(e)):
+            if t:
+                a = (alpha[t - 1] @ move) * own[t]
+            scale[t] = a.sum(1)
+            alpha[t] = a / scale[t][:, None]
         for t in reversed(range(len(e) - 1)):
-            beta[t] = _logsum(tr + (e[t + 1] + beta[t + 1])[:, None, :], 2)
-        z = _logsum(alpha[-1], 1)
-        pair = np.exp(alpha[:-1, :, :, None] + tr + (e[1:] + beta[1:])[:, :, None, :] - z[:, None, None]).sum((0, 1))
-        return np.exp(alpha + beta - z[:, None]), pair, z
+            beta[t] = ((own[t + 1] * beta[t + 1]) @ move.T) / scale[t + 1][:, None]
+        k = e.shape[2]
+        ahead = own[1:] * beta[1:] / scale[1:, :, None]
+        pair = (alpha[:-1].reshape(-1, k).T @ ahead.reshape(-1, k)) * move
+        return alpha * beta, pair, np.log(scale).sum(0) + top[:, :, 0].sum(0)
 
     def decode(self, e: np.ndarray) -> np.ndarray:
         """Viterbi tags, [batch, steps]."""

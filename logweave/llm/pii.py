@@ -4,25 +4,30 @@ Base, leftmost and non-overlapping for each kind: e-mail address, IPv4 address,
 19 digits passing Luhn), phone number (``+``, 9 to 15 digits). A match that fails its test is
 dropped without another try.
 
-The model tags characters of overlapping windows. A span passes its kind's test only if it holds a
-digit, an ``@`` or an "at" or "dot" in brackets, so the windows that tag characters within ``window``
-of one of these are decoded, over the whole text; a window far from all of them can't add a span.
-Where windows overlap, a character takes the tag of the window in which it lies farthest from an edge. A span that
-results is added if its marginals are high, it passes the kind's test, and it doesn't touch a base
-span. Training spans are made by :func:`examples` (labelled spans in invented prose, with forms that
-the patterns miss and with look-alikes), ``Config.examples`` windows of them.
-
-Null texts are empty. Rows are judged one by one: repeated rows repeat their result, an empty table
-gives an empty result, extra columns are not read. Offsets are code points, end exclusive.
+The model tags characters of overlapping windows. Every form that it is trained on holds a digit, an
+``@`` or an "at" or "dot" in brackets, so the windows within ``window`` of one of these are read,
+over the whole text. Where windows overlap, a character's scores are averaged, the window in which
+it lies farther from an edge weighing more; then one path of tags is decoded over all of a stretch
+of windows, however many, so a span is whole or absent wherever windows begin. A span is added if
+its marginals are high, if it is what its kind says (a card number passes Luhn, an address has four
+numbers up to 255, a phone number 9 to 15 digits, a mail address an at and a dot) in whatever form,
+and if it doesn't touch a base span. Training spans are made by :func:`examples` (labelled spans in
+invented prose, with forms that the patterns miss and with look-alikes), ``Config.examples`` windows of them.
+
+Null texts are empty. Rows are judged one by one: repeated rows repeat their result, texts of any length are read whole,
+ties don't occur (spans are ordered by place), an empty table gives an empty result, extra columns
+are not read. Offsets are code points, end exclusive.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -103,15 +108,17 @@ class Config:
     window: int = 96
     stride: int = 48
     #: Bound of the training windows.
-    examples: int = 4000
+    examples: int = 6000
     epochs: int = 8
-    batch: int = 64
+    batch: int = 96
     rate: float = 0.02
     seed: int = 5
     #: Least mean marginal of a span's characters.
     confidence: float = 0.7
-    #: Windows decoded at once.
+    #: Windows read at once.
     decode: int = 512
+    #: Characters whose outside score leads by this much can't be in a span; stretches are decoded between them.
+    margin: float = 5.0
 
 
 #: 0: outside or past the end; printable ASCII; then other letters and other characters.
@@ -131,16 +138,24 @@ def _luhn_digits(rng: np.random.Generator, n: int) -> str:
     return next(body + str(d) for d in range(10) if luhn(body + str(d)))
 
 
+#: Words around spans in training texts, beside invented ones.
+WORDS = "the a of to and in is it for at dot on with from by call mail phone card number server host address write reach me us my our new old please contact office desk account paid order".split()
+
+
 def example(rng: np.random.Generator, length: int) -> tuple[str, list[tuple[str, int, int]]]:
     """A text of about ``length`` characters with labelled spans, and look-alikes that carry none."""
     pick = lambda *a: a[rng.integers(len(a))]
     num = lambda n: "".join(map(str, rng.integers(0, 10, n)))
-    word = lambda: "".join(pick("th", "er", "on", "an", "re", "le", "ung", "eau", "ó", "ción", "é", "sch", "wh", "ing", "a", "o", "st", "mi", "ka") for _ in range(rng.integers(1, 4)))
+    syllables = lambda: "".join(pick("th", "er", "on", "an", "re", "le", "ung", "eau", "ó", "ción", "é", "sch", "wh", "ing", "a", "o", "st", "mi", "ka") for _ in range(rng.integers(1, 4)))
+    word = lambda: pick(*WORDS) if rng.random() < 0.3 else syllables()
+
+    plain = lambda: "".join(pick("th", "er", "on", "an", "re", "le", "ung", "jo", "max", "li", "ber", "na", "wh", "ing", "sa", "o", "st", "mi", "ka") for _ in range(rng.integers(1, 4)))
 
     def email() -> str:
-        user = word().replace("ó", "o").replace("ción", "cion").replace("é", "e") + pick("", f".{num(2)}", f"_{num(1)}", num(3))
-        host = pick("mail", "web", "post", "corp") + pick("", num(1))
-        return user + pick("@", "@", "@", " @ ", " [at] ", "(at)") + host + pick(".", ".", ".", " [dot] ", "(dot)") + pick("example", "sample") + pick(".com", ".org", ".net")
+        user, host = plain() + pick("", f".{num(2)}", f"_{num(1)}", num(3), f".{plain()}", f"-{plain()}"), pick(plain(), plain(), "mail", "web", "post") + pick("", num(1), f"-{plain()}")
+        at = pick("@", "@", " @ ", " [at] ", "(at)", " {at} ", " <at> ", "[AT]")
+        dot = pick(".", ".", ".", " [dot] ", "(dot)", " {dot} ")
+        return user + at + host + dot + pick("", "", f"{plain()}{dot}") + pick("com", "org", "net", "de", "fr", "io", "edu")
 
     def ip() -> str:
         return pick(".", ".", ".", "[.]", " . ").join(str(rng.integers(0, 256)) for _ in range(4))
@@ -156,8 +171,9 @@ def example(rng: np.random.Generator, length: int) -> tuple[str, list[tuple[str,
     def other() -> str:
         return pick(
             f"{num(1)}.{num(1)}", num(2), num(4), f"{num(4)}-{num(2)}-{num(2)}", f"version {num(1)}.{num(1)}.", f"#{num(6)}", f"${num(3)}.{num(2)}", f"{num(2)}:{num(2)}",
+            f"{num(4)}-{num(2)}-{num(2)} {num(2)}:{num(2)}:{num(2)}", f"{num(4)}/{num(2)}/{num(2)}", f"{num(3)}-{num(1)}-{num(2)}-{num(6)}-{num(1)}", f"({word()})", f"[{num(2)}]",
             f'token = "{rng.bytes(20).hex()}"', f"page {num(3)}", f"{num(1)},{num(3)},{num(3)}", f"300.{num(3)}.1.999", num(20), num(8), f"@{word()}", f"{word()}{num(2)}",
-            (lambda d: d[:-1] + str((int(d[-1]) + 1 + rng.integers(8)) % 10))(_luhn_digits(rng, 16)), f"http://{word()}.example.com/{num(4)}",
+            f"{word()} [at] {word()}", f"({num(1)}, {num(2)})", f"http://{word()}.example.com/{num(4)}",
         )
 
     kinds = {"email": email, "ip": ip, "card": card, "phone": phone}
@@ -215,76 +231,128 @@ def trained(c: Config = Config()) -> Tagger:
     return model
 
 
-#: In every span that passes: digits, @, and at or dot in brackets, as _OBFUSCATED has them.
-_TRIGGER = re.compile(r"[0-9@]|[\[(]\s*(?:at|dot)\s*[\])]")
-_OBFUSCATED = re.compile(r"\s*[\[(]\s*(?:at|dot)\s*[\])]\s*|\s+@\s+")
+#: In every form of training: digits, @, and at or dot in brackets.
+_TRIGGER = re.compile(r"[0-9@]|[\[({<]\s*(?:at|dot)\s*[\])}>]", re.IGNORECASE)
+_AT = re.compile(r"@|[\[({<]\s*at\s*[\])}>]", re.IGNORECASE)
+_DOT = re.compile(r"\.|[\[({<]\s*dot\s*[\])}>]", re.IGNORECASE)
 
 
 def passes(kind: str, text: str) -> bool:
-    """The kind's test for a span that the model proposes."""
+    """Whether a span that the model proposes is what its kind says; its form is the model's to judge."""
     if kind == "email":
-        plain = _OBFUSCATED.sub(lambda m: "." if "dot" in m[0] else "@", text)
-        return [(0, len(plain))] == emails(plain)
+        parts = _AT.split(text)
+        return len(parts) == 2 and re.search(r"\w", parts[0]) is not None and re.search(r"\w", _DOT.split(parts[1])[0]) is not None and _DOT.search(parts[1]) is not None
+    if any(x.isalpha() for x in text):
+        return False
     if kind == "ip":
-        parts = re.split(r"\s*\[?\.\]?\s*", text)
-        return len(parts) == 4 and all(p.isascii() and p.isdigit() for p in parts) and octets(parts)
-    if kind == "card":
-        return is_card(text) and re.fullmatch(r"[0-9]{3,}(?:[\x20./-]{1,2}[0-9]{1,})*", text) is not None
-    return is_phone(text) and re.fullmatch(r"(?:\+|00)?[(]?[0-9][\x20()./0-9-]*[0-9]", text) is not None and len(re.findall(r"[0-9]+", text)) >= 3
+        numbers = re.findall(r"[0-9]+", text)
+        return len(numbers) == 4 and octets(numbers)
+    return is_card(text) if kind == "card" else is_phone(text)
+
+
+#: Windows of a stretch that are read together, and those read again on both sides of a cut of a longer one.
+PART, AROUND = 256, 4
+
+
+def parts_of(text: str, c: Config) -> list[tuple[int, int, int, int]]:
+    """The windows to read: (first, last, characters from, to), stretches cut into parts; spans that begin in the characters are the part's."""
+    trigger = np.fromiter((m.start() for m in _TRIGGER.finditer(text)), np.int64)
+    if not len(trigger):
+        return []
+    n = max(0, -(-(len(text) - c.window) // c.stride)) + 1
+    near = range(-(-(-2 * c.window) // c.stride), c.window // c.stride + 1)
+    every = np.unique(np.concatenate([trigger // c.stride + k for k in near]).clip(0, n - 1))
+    out = []
+    for run in np.split(every, np.flatnonzero(np.diff(every) > 1) + 1):
+        for at in range(0, len(run), PART):
+            first, last = int(run[at]), int(run[min(at + PART, len(run)) - 1])
+            low = first * c.stride if at else 0
+            high = (last + 1) * c.stride if at + PART < len(run) else len(text)
+            out.append((max(first - AROUND, int(run[0])), min(last + AROUND, int(run[-1])), low, high))
+    return out
 
 
-def added_spans(texts: list[str], base: list[dict[str, list[Span]]], model: Tagger, c: Config) -> list[dict[str, list[Span]]]:
-    """The model's spans for each text, beside the base spans."""
-    where: list[tuple[int, int]] = []
-    arrays: dict[int, np.ndarray] = {}
-    for i, text in enumerate(texts):
-        trigger = np.fromiter((m.start() for m in _TRIGGER.finditer(text)), np.int64) if text else ()
-        if len(trigger):
-            arrays[i] = a = codes(text)
-            n = max(0, -(-(len(a) - c.window) // c.stride)) + 1
-            near = range(-(-(-2 * c.window) // c.stride), c.window // c.stride + 1)
-            every = np.unique(np.concatenate([trigger // c.stride + k for k in near]).clip(0, n - 1))
-            where.extend((i, int(w) * c.stride) for w in every)
-    out: list[dict[str, list[Span]]] = [{k: [] for k in KINDS} for _ in texts]
-    best: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-    edge = np.minimum(np.arange(c.window), np.arange(c.window)[::-1])
-    for at in range(0, len(where), c.decode):
-        part = where[at : at + c.decode]
-        x = np.zeros((len(part), c.window), np.uint8)
-        for r, (i, s) in enumerate(part):
-            cut = arrays[i][s : s + c.window]
-            x[r, : len(cut)] = cut
-        e = model.emissions(x)
+def scores_of(text: str, first: int, last: int, e: np.ndarray, c: Config) -> np.ndarray:
+    """Averaged scores of the characters that windows ``first`` to ``last`` read; ``e`` is [windows, steps, tags]."""
+    weight = (1.0 + np.minimum(np.arange(c.window), np.arange(c.window)[::-1])).astype(np.float32)
+    total = np.zeros(((last - first) * c.stride + c.window, e.shape[2]), np.float32)
+    mass = np.zeros(len(total), np.float32)
+    for k in range(last - first + 1):
+        at = slice(k * c.stride, k * c.stride + c.window)
+        total[at] += e[k] * weight[:, None]
+        mass[at] += weight
+    return (total / mass[:, None])[: len(text) - first * c.stride]
+
+
+def decoded(segments: list[np.ndarray], model: Tagger) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number, tags, marginals of the tags) of the segments of scores in which the best path has a span."""
+    order = sorted(range(len(segments)), key=lambda k: len(segments[k]))
+    while order:
+        size = max(1, 50_000 // len(segments[order[-1]]))
+        some, order = order[-size:], order[:-size]
+        e = np.full((len(segments[some[-1]]), len(some), segments[some[0]].shape[1]), -1e4, np.float32)
+        e[:, :, 0] = 0
+        for r, k in enumerate(some):
+            e[: len(segments[k]), r] = segments[k]
+        e[0, :, 2::2] = -1e4  # a span can't begin within
         tags = model.decode(e)
         hit = np.flatnonzero(tags.any(1))
-        sure = np.ones(x.shape, np.float32)
         if len(hit):
-            m, _, _ = model.marginals(e[:, hit])
-            sure[hit] = np.take_along_axis(m, tags[hit].T[:, :, None].astype(np.int64), 2)[:, :, 0].T
-        for r, (i, s) in enumerate(part):
-            if i not in best:
-                n = len(arrays[i])
-                best[i] = np.zeros(n, np.int8), np.ones(n, np.float32), np.full(n, -1, np.int16)
-            tag, prob, depth = best[i]
-            end = min(len(tag), s + c.window)
-            central = edge[: end - s].copy()
-            if s == 0:
-                central[: c.window // 2] = c.window
-            if end == len(tag):
-                central[-(c.window // 2) :] = np.maximum(central[-(c.window // 2) :], c.window)
-            better = central > depth[s:end]
-            tag[s:end][better], prob[s:end][better], depth[s:end][better] = tags[r, : end - s][better], sure[r, : end - s][better], central[better]
-    for i, (tag, prob, _) in best.items():
-        taken = [x for k in KINDS for x in base[i][k]]
-        begin = np.flatnonzero((tag > 0) & (tag % 2 == 1))
-        for b in begin:
-            k, end = KINDS[(tag[b] - 1) // 2], b + 1
-            while end < len(tag) and tag[end] == tag[b] + 1:
+            m = model.marginals(e[:, hit])[0]
+            sure = np.take_along_axis(m, tags[hit].T[:, :, None].astype(np.int64), 2)[:, :, 0].T
+            for r, p in zip(hit, sure, strict=True):
+                n = len(segments[some[r]])
+                yield some[r], tags[r, :n], p[:n]
+
+
+def added_spans(texts: list[str], base: list[dict[str, list[Span]]], model: Tagger, c: Config) -> list[dict[str, list[Span]]]:
+    """The model's spans for each text, beside the base spans."""
+    parts = [(i, *p) for i, text in enumerate(texts) if text for p in parts_of(text, c)]
+    arrays: dict[int, np.ndarray] = {}
+    segments: list[np.ndarray] = []
+    where: list[tuple[int, int, int, int]] = []
+    at = 0
+    while at < len(parts):
+        to, n = at, 0
+        while to < len(parts) and (to == at or n + parts[to][2] - parts[to][1] < c.decode):
+            n += parts[to][2] - parts[to][1] + 1
+            to += 1
+        x, r = np.zeros((n, c.window), np.uint8), 0
+        for i, first, last, _, _ in parts[at:to]:
+            if i not in arrays:
+                arrays = {i: codes(texts[i])}
+            for w in range(first, last + 1):
+                cut = arrays[i][w * c.stride : w * c.stride + c.window]
+                x[r, : len(cut)] = cut
+                r += 1
+        e, r = model.emissions(x).transpose(1, 0, 2), 0
+        for i, first, last, low, high in parts[at:to]:
+            score = scores_of(texts[i], first, last, e[r : r + last - first + 1], c)
+            r += last - first + 1
+            live = np.flatnonzero(score[:, 1:].max(1) > score[:, 0] - c.margin)
+            for run in np.split(live, np.flatnonzero(np.diff(live) > 16) + 1) if len(live) else ():
+                begin, end = max(0, int(run[0]) - 8), min(len(score), int(run[-1]) + 9)
+                segments.append(score[begin:end])
+                where.append((i, first * c.stride + begin, low, high))
+        at = to
+    found: dict[int, list[tuple[int, int, str]]] = {}
+    for k, tags, sure in decoded(segments, model):
+        i, begin, low, high = where[k]
+        for b in np.flatnonzero(tags % 2 == 1):
+            kind, end = KINDS[(tags[b] - 1) // 2], b + 1
+            while end < len(tags) and tags[end] == tags[b] + 1:
                 end += 1
-            span = (int(b), int(end))
-            if prob[b:end].mean() >= c.confidence and not any(x < span[1] and span[0] < y for x, y in taken) and passes(k, texts[i][b:end]):
-                out[i][k].append(span)
-                taken.append(span)
+            if low <= begin + b < high and sure[b:end].mean() >= c.confidence:
+                found.setdefault(i, []).append((begin + int(b), begin + int(end), kind))
+    out: list[dict[str, list[Span]]] = [{k: [] for k in KINDS} for _ in texts]
+    for i, spans in found.items():
+        taken = sorted(x for k in KINDS for x in base[i][k])
+        starts, reach, last = [x for x, _ in taken], list(accumulate((y for _, y in taken), max)), 0
+        for a, b, kind in sorted(spans):
+            before = bisect_left(starts, b)
+            if a >= last and (before == 0 or reach[before - 1] <= a) and passes(kind, texts[i][a:b]):
+                out[i][kind].append((a, b))
+                last = b
     return out
 
 

@@ -124,3 +124,90 @@ def test_gradient_is_right():
         down = t.gradient(x, y)[1]
         t.p[k][i] = old
         assert abs((up - down) / (2 * eps) - grad[k][i]) < 2e-3, k
+
+
+#: Sentences by hand, in forms and words of which many are not in the training texts.
+BY_HAND = [
+    ("Reach me at {} before Friday.", "email", "jane.doe [at] example [dot] org"),
+    ("Write to {} or call later.", "email", "support(at)company(dot)net"),
+    ("my address: {} thanks", "email", "peter_k {at} mail {dot} com"),
+    ("send invoices to {} please", "email", "accounts @ northwind.com"),
+    ("Contact: {} for details", "email", "m.lopez <at> uni-berlin.de"),
+    ("The card {} was charged twice.", "card", "4111.1111.1111.1111"),
+    ("Card number {} expires soon", "card", "5500/0000/0000/0004"),
+    ("paid with {} yesterday", "card", "4012  8888  8888  1881"),
+    ("amex {} on file", "card", "3782.822463.10005"),
+    ("Call {} after six.", "phone", "(212) 555-0147"),
+    ("my number is {}, text me", "phone", "415-555-2671"),
+    ("Tel. {} (office)", "phone", "0049 30 1234567"),
+    ("office {} or come by", "phone", "303.555.0199"),
+    ("fax: {} during the week", "phone", "020 7946 0958"),
+    ("blocked host {} last night", "ip", "10[.]0[.]0[.]17"),
+    ("the server {} went down", "ip", "192.168.1[.]44"),
+    ("see {} in the logs", "ip", "172 . 16 . 254 . 1"),
+]
+HARMLESS = [
+    "The meeting is on 2024-05-17 at 10:30 in room 204.",
+    "Order 4821-7731-22 shipped for $1,204.50 with 12 items.",
+    "ISBN 978-3-16-148410-0, pages 120-145, vol. 12.",
+    "version 2.10.4 (build 20231105) fixes 14 bugs",
+    "The array [at] index [dot] notation is confusing",
+    "Population grew from 1,204,332 to 1,310,998 in 2001.",
+    "at 3.5 km from the river, 12.75 m deep, 100.200 tons",
+    "Figure 3.1.4 shows the 1998-2004 series [12, 13].",
+    "Flight LH 1234 on 12.03.2019 from gate B22",
+    "CVE-2021-44228 scored 10.0 on 2021-12-10",
+    "Total 12 345 678 units, up 4.5 % on 2019",
+    "SKU 0012-4411-9931-0022-1 in stock: 44",
+    "tracking id 1Z999AA10123456784 arrived 14:05:33",
+    "4111 1111 1111 1112 is not valid",
+    "section 10.20.300.4 of the manual",
+]
+
+
+def test_sentences_by_hand(model):
+    texts = [t.format(x) for t, _, x in BY_HAND] + HARMLESS
+    base = [pii.base_spans(t) for t in texts]
+    assert not any(x for b in base[: len(BY_HAND)] for x in b.values())
+    more = pii.added_spans(texts, base, model, pii.Config())
+    exact = stray = 0
+    for (t, kind, x), m in zip(BY_HAND, more, strict=False):
+        true = (t.index("{}"), t.index("{}") + len(x))
+        exact += m[kind] == [true]
+        stray += sum(b <= true[0] or true[1] <= a for k in pii.KINDS for a, b in m[k])
+    assert exact >= 14 and stray == 0
+    assert not any(x for m in more[len(BY_HAND) :] for x in m.values())
+
+
+def test_one_path_over_the_whole_text(model):
+    """Stretches decoded between certain outsides give what one path over all averaged scores of the text gives."""
+    rng, c = np.random.default_rng(3), pii.Config()
+    for length in (50, 96, 97, 500, 3000):
+        text, _ = pii.example(rng, length)
+        n = max(0, -(-(len(text) - c.window) // c.stride)) + 1
+        x = np.zeros((n, c.window), np.uint8)
+        for w in range(n):
+            cut = pii.codes(text)[w * c.stride : w * c.stride + c.window]
+            x[w, : len(cut)] = cut
+        score = pii.scores_of(text, 0, n - 1, model.emissions(x).transpose(1, 0, 2), c)
+        tags = model.decode(score[:, None, :].copy())[0]
+        begin = np.flatnonzero(tags % 2 == 1)
+        want = set()
+        for b in begin:
+            end = b + 1
+            while end < len(tags) and tags[end] == tags[b] + 1:
+                end += 1
+            want.add((pii.KINDS[(tags[b] - 1) // 2], int(b), int(end)))
+        got = {(k, a, b) for k, v in pii.added_spans([text], [{k: [] for k in pii.KINDS}], model, c)[0].items() for a, b in v}
+        assert got <= want
+        sure = {s for s in want if pii.passes(s[0], text[s[1] : s[2]])}
+        assert len(got) >= 0.8 * len(sure)
+
+
+def test_long_stretches_are_cut_without_loss(model, monkeypatch):
+    rng, c = np.random.default_rng(4), pii.Config()
+    text = " ".join(pii.example(rng, 400)[0] for _ in range(20))
+    base = [pii.base_spans(text)]
+    whole = pii.added_spans([text], base, model, c)
+    monkeypatch.setattr(pii, "PART", 7)
+    assert pii.added_spans([text], base, model, c) == whole
