@@ -52,7 +52,7 @@ def lines(logs: DataFrame) -> DataFrame:
     """game_id, pos, tag, args, turn, group: the parseable lines of ``logs`` (game_id, log)."""
     split = logs.select("game_id", F.posexplode(F.split("log", "\n")).alias("pos", "line")).where(F.startswith("line", F.lit("|")))
     parts = split.select("game_id", "pos", F.split("line", r"\|").alias("p"))
-    d = parts.select("game_id", "pos", F.col("p")[1].alias("tag"), F.slice("p", 3, 100).alias("args")).where("tag <> ''")
+    d = parts.select("game_id", "pos", F.col("p")[1].alias("tag"), F.slice("p", F.lit(3), F.greatest(F.size("p") - 2, F.lit(0))).alias("args")).where("tag <> ''")
     turn = F.last(F.when(tag_is("turn"), F.expr("try_cast(args[0] AS int)")), ignorenulls=True).over(sequence.so_far(GAME, POS))
     d = d.withColumn("turn", F.coalesce(turn, F.lit(0)))
     return d.withColumn("group", sequence.stint(tag_is(*CLOSES), GAME, POS))
@@ -104,7 +104,7 @@ def events(logs: DataFrame) -> DataFrame:
     )
     before_species = F.last(F.when(tag_is(*SWITCHES), scalars.head_of(arg(1))), ignorenulls=True).over(sequence.before([*GAME, "slot"], POS))
     d = d.withColumn("type", kind).withColumn("from_species", before_species).where("type is not null")
-    late = (F.col("type") == "item_event") | (F.col("type") == "tera") & F.lit(False)
+    late = F.col("type") == "item_event"
     order = F.row_number().over(Window.partitionBy("game_id").orderBy("group", late.cast("int"), "pos")) - 1
     is_move = F.col("type") == "move"
     d = d.withColumn("event_pos", order).join(gathered, ["game_id", "group"], "left")
@@ -123,26 +123,36 @@ def events(logs: DataFrame) -> DataFrame:
     )
 
 
+def first_seen(value: Column, keys: list[str]) -> Column:
+    """The value where it comes up for the first time within the keys, else null: so that running lists grow with distinct values only."""
+    return F.when(value.isNotNull() & (F.row_number().over(Window.partitionBy(*keys, value).orderBy(*POS)) == 1), value)
+
+
 def snapshots(logs: DataFrame) -> DataFrame:
-    """game_id, turn, slot, side, species, hp_percent, fainted, last_move, revealed_moves, item, terastallized, side_faints, seen_species: state of each slot when the turn begins; the first of repeated turn lines."""
+    """game_id, turn, slot, side, species, hp_percent, fainted, last_move, revealed_moves, item, terastallized, side_faints, seen_species: state of each slot when the turn begins; the first of repeated turn lines.
+
+    A mark for each turn and slot is put among the slot's lines and takes the last state before it, so the work grows with the lines.
+    """
     d = slot_history(lines(logs))
     stint = [*GAME, "slot"]
     d = d.withColumn("stint", sequence.stint(tag_is(*SWITCHES), stint, POS))
     run = sequence.so_far([*stint, "stint"], POS)
     d = d.withColumn("s_health", F.last("health", ignorenulls=True).over(run))
-    d = d.withColumn("s_moves", F.array_distinct(F.collect_list(F.when(tag_is("move") & _keyword("from").isNull(), arg(1))).over(run)))
+    d = d.withColumn("s_moves", F.collect_list(first_seen(F.when(tag_is("move") & _keyword("from").isNull(), arg(1)), [*stint, "stint"])).over(run))
     d = d.withColumn("s_last", F.last(F.when(tag_is("move"), arg(1)), ignorenulls=True).over(run))
     d = d.withColumn("s_item", F.last(F.when(tag_is("-item"), arg(1)).when(tag_is("-enditem"), F.lit("")), ignorenulls=True).over(run))
     d = d.withColumn("s_tera", F.coalesce(F.bool_or(tag_is("-terastallize")).over(run), F.lit(False)))
     of_side = sequence.so_far([*GAME, "side"], POS)
     d = d.withColumn("s_faints", F.count_if(tag_is("faint")).over(of_side).cast("int"))
-    d = d.withColumn("s_seen", F.array_distinct(F.collect_list(F.when(tag_is(*SWITCHES), scalars.head_of(arg(1)))).over(of_side)))
-    turns = d.where(tag_is("turn")).groupBy("game_id", "turn").agg(F.min("pos").alias("at"))
-    state = d.where("slot is not null")
-    last = turns.join(state.drop("turn"), "game_id").where("pos < at")
-    per_slot = last.groupBy("game_id", "turn", "slot", "side").agg(F.max_by(F.struct("species", "s_health", "s_moves", "s_last", "s_item", "s_tera"), "pos").alias("x"))
-    per_side = last.groupBy("game_id", "turn", "side").agg(F.max_by(F.struct("s_faints", "s_seen"), "pos").alias("y"))
-    return per_slot.join(per_side, ["game_id", "turn", "side"]).select(
+    d = d.withColumn("s_seen", F.collect_list(first_seen(F.when(tag_is(*SWITCHES), scalars.head_of(arg(1))), [*GAME, "side"])).over(of_side))
+    turns = d.where(tag_is("turn")).groupBy("game_id", "turn").agg(F.min("pos").alias("pos"))
+    x, y = F.struct("species", "s_health", "s_moves", "s_last", "s_item", "s_tera"), F.struct("s_faints", "s_seen")
+    state = d.where("slot is not null").select("game_id", "slot", "side", "pos", x.alias("x"), y.alias("y"))
+    marks = turns.join(state.select("game_id", "slot", "side").distinct(), "game_id")
+    u = state.unionByName(marks, allowMissingColumns=True)
+    last = lambda c, keys: F.last(c, ignorenulls=True).over(sequence.before(keys, POS))
+    u = u.withColumn("x", F.when(F.col("turn").isNull(), F.col("x")).otherwise(last("x", [*GAME, "slot"]))).withColumn("y", last("y", [*GAME, "side"]))
+    return u.where("turn is not null AND x is not null").select(
         "game_id", "turn", "slot", "side", "x.species", F.coalesce("x.s_health", F.lit(100.0)).alias("hp_percent"), (F.coalesce("x.s_health", F.lit(100.0)) <= 0).alias("fainted"), F.col("x.s_last").alias("last_move"),
         F.col("x.s_moves").alias("revealed_moves"), F.nullif("x.s_item", F.lit("")).alias("item"), F.col("x.s_tera").alias("terastallized"), F.col("y.s_faints").alias("side_faints"), F.col("y.s_seen").alias("seen_species"),
     )
@@ -155,8 +165,10 @@ def conditions(logs: DataFrame) -> DataFrame:
     name = F.when(tag_is("-sidestart", "-sideend"), scalars.effect_name(arg(1))).when(tag_is("-weather"), F.lit("weather")).otherwise(scalars.effect_name(arg(0)))
     value = F.when(tag_is("-weather"), F.when(arg(0) == "none", None).otherwise(arg(0))).when(tag_is("-sidestart", "-fieldstart"), name)
     c = d.where(tag_is("-sidestart", "-sideend", "-fieldstart", "-fieldend", "-weather")).select("game_id", "pos", scope.alias("scope"), name.alias("name"), value.alias("value"))
-    turns = d.where(tag_is("turn")).groupBy("game_id", "turn").agg(F.min("pos").alias("at"))
-    held = turns.join(c, "game_id").where("pos < at").groupBy("game_id", "turn", "scope", "name").agg(F.max_by(F.struct("value"), "pos").alias("v"))
+    turns = d.where(tag_is("turn")).groupBy("game_id", "turn").agg(F.min("pos").alias("pos"))
+    marks = turns.join(c.select("game_id", "scope", "name").distinct(), "game_id")
+    u = c.select("game_id", "pos", "scope", "name", F.struct("value").alias("v")).unionByName(marks, allowMissingColumns=True)
+    held = u.withColumn("v", F.last("v", ignorenulls=True).over(sequence.before([*GAME, "scope", "name"], POS))).where("turn is not null")
     return held.where("v.value is not null").select("game_id", "turn", "scope", F.col("v.value").alias("name"))
 
 

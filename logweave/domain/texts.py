@@ -74,11 +74,16 @@ def prompt(parts: list[Column]) -> Column:
 class Mentions:
     """All places at which names occur in a text, whole words, any case."""
 
+    names: list | None = None
+    patterns: tuple | list = ()
+
     def eval(self, text: str, names: list) -> Iterator[tuple[str, int]]:
         import re
 
-        for name in names or []:
-            for m in re.finditer(rf"(?<!\w){re.escape(name)}(?!\w)", text or "", re.IGNORECASE):
+        if names != self.names:  # compiled once for rows that share their names
+            self.names, self.patterns = names, [(n, re.compile(rf"(?<!\w){re.escape(n)}(?!\w)", re.IGNORECASE)) for n in names or []]
+        for name, pattern in self.patterns:
+            for m in pattern.finditer(text or ""):
                 yield name, m.start()
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,13 +36,38 @@ def top_shares(m: DataFrame, n: dict[str, int], total_field: str = "Spreads") ->
     return top.select("species_key", "field", "rank", "value", F.coalesce(F.try_divide(F.col("weight") * 100, F.col("mass")), F.lit(0.0)).alias("usage_pct"))
 
 
-def heuristic_spread(hp: Column, atk: Column, dfn: Column, spa: Column, spd: Column, spe: Column) -> Column:
-    """A default ``Nature:hp/atk/def/spa/spd/spe`` from base stats: a fast or strong attacker by its better attack, a slow bulky one by its better defence."""
-    quick = spe >= 90
-    special = F.when(quick, "Timid:4/0/0/252/0/252").otherwise("Modest:4/0/0/252/0/252")
-    physical = F.when(quick, "Jolly:4/252/0/0/0/252").otherwise("Adamant:4/252/0/0/0/252")
-    bulky = F.when(dfn > spd, "Bold:252/0/252/0/4/0").otherwise("Calm:252/0/4/0/252/0")
-    return F.when(F.greatest(atk, spa) >= 110, F.when(atk >= spa, physical).otherwise(special)).when((hp >= 95) & (spe <= 70), bulky).otherwise(special)
+@dataclass(frozen=True)
+class Role:
+    """A spread and the base stats it is for: least and greatest values by stat, and pairs (a, b, strict) of which a must be above b, or as high unless strict."""
+
+    spread: str
+    least: Mapping[str, int] = field(default_factory=dict)
+    most: Mapping[str, int] = field(default_factory=dict)
+    above: tuple[tuple[str, str, bool], ...] = ()
+
+    def fits(self, stats: Mapping[str, Column]) -> Column:
+        tests = [stats[s] >= v for s, v in self.least.items()] + [stats[s] <= v for s, v in self.most.items()]
+        tests += [stats[a] > stats[b] if strict else stats[a] >= stats[b] for a, b, strict in self.above]
+        return reduce(lambda x, y: x & y, tests, F.lit(True))
+
+
+#: Default spreads in order of precedence, with their cut-offs (``best`` is the higher attack).
+ROLES = (
+    Role("Jolly:4/252/0/0/0/252", least={"best": 110, "spe": 90}, above=(("atk", "spa", False),)),
+    Role("Adamant:4/252/0/0/0/252", least={"best": 110}, above=(("atk", "spa", False),)),
+    Role("Timid:4/0/0/252/0/252", least={"best": 110, "spe": 90}),
+    Role("Modest:4/0/0/252/0/252", least={"best": 110}),
+    Role("Bold:252/0/252/0/4/0", least={"hp": 95}, most={"spe": 70}, above=(("def", "spd", True),)),
+    Role("Calm:252/0/4/0/252/0", least={"hp": 95}, most={"spe": 70}),
+    Role("Timid:4/0/0/252/0/252", least={"spe": 90}),
+    Role("Modest:4/0/0/252/0/252"),
+)
+
+
+def heuristic_spread(hp: Column, atk: Column, dfn: Column, spa: Column, spd: Column, spe: Column, roles: Sequence[Role] = ROLES) -> Column:
+    """A default ``Nature:hp/atk/def/spa/spd/spe`` from base stats: that of the first role that fits."""
+    stats = {"hp": hp, "atk": atk, "def": dfn, "spa": spa, "spd": spd, "spe": spe, "best": F.greatest(atk, spa)}
+    return F.coalesce(*[F.when(r.fits(stats), r.spread) for r in roles])
 
 
 def spreads_with_fallback(wanted: DataFrame, top: DataFrame, curated: DataFrame, base: DataFrame) -> DataFrame:

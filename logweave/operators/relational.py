@@ -52,18 +52,20 @@ def ordered_pairs(df: DataFrame, key: str, pos: str, side: str, columns: Sequenc
 
 
 def nearest_match(left: DataFrame, right: DataFrame, key: str, position: str, most: float, columns: Sequence[str], tiebreak: str) -> DataFrame:
-    """For each left row the right row of the key with the least distance, at most ``most``; ties by the right tiebreak. Left rows without one stay.
+    """For each left row the right row of the key with the least distance, at most ``most``; ties by the right tiebreak. Left rows without one stay, and so do repeated ones.
 
-    Positions are cut into cells of width ``most``, so a row meets the rows of three cells, not of its whole key. Left
-    rows are told apart by their columns, so these should hold an id.
+    Positions are cut into cells of width ``most``, so a row meets the rows of three cells, not of its whole key. Equal
+    left rows are joined once and repeated at the end, as often as they were counted.
     """
     cell = F.floor(F.col(position) / F.lit(most)).cast("long")
-    lhs = left.withColumn("__row", F.struct(*left.columns)).withColumn("__cell", F.explode(F.array(cell - 1, cell, cell + 1)))
+    distinct = left.groupBy(*left.columns).agg(F.count("*").alias("__times"))
+    lhs = distinct.withColumn("__row", F.struct(*left.columns, "__times")).withColumn("__cell", F.explode(F.array(cell - 1, cell, cell + 1)))
     rhs = right.select(key, cell.alias("__cell"), F.col(position).alias("__p"), F.col(tiebreak).alias("__t"), *[F.col(c).alias(f"near_{c}") for c in columns])
     j = lhs.join(rhs, [key, "__cell"], "left").withColumn("__d", F.abs(F.col(position) - F.col("__p")))
     near = F.struct("__d", "__t", *[f"near_{c}" for c in columns])
     best = j.groupBy("__row").agg(F.min(F.when(F.col("__d") <= most, near)).alias("__best"))
-    return best.select("__row.*", *[F.col(f"__best.near_{c}").alias(f"near_{c}") for c in columns], F.col("__best.__d").alias("distance"))
+    out = best.select("__row.*", *[F.col(f"__best.near_{c}").alias(f"near_{c}") for c in columns], F.col("__best.__d").alias("distance"))
+    return out.withColumn("__times", F.explode(F.array_repeat(F.lit(1), F.col("__times").cast("int")))).drop("__times")
 
 
 def top_n_share(df: DataFrame, group: str, item: str, weight: str, n: int) -> DataFrame:

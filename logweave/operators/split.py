@@ -22,11 +22,18 @@ def bucket(value: Column, low: Column, high: Column) -> Column:
 def stratified_split(df: DataFrame, unit: str, stratum: str, holdout: int, seed: int) -> DataFrame:
     """Adds split (holdout, train): of each stratum its rounded (half to even) proportional share, by the order of a seeded hash.
 
-    Every stratum gives its share, so the holdout's size may differ from ``holdout`` by rounding.
+    Every stratum gives its share, so the holdout's size may differ from ``holdout`` by rounding. Rows are counted by the
+    hash's leading digits; only rows with the same digits are put in order, so a stratum of any size is many tasks' work.
+    Null strata are a stratum.
     """
-    sizes = df.groupBy(stratum).agg(F.count("*").alias("__n"))
-    total = sizes.agg(F.sum("__n").alias("__total"))
-    quota = sizes.crossJoin(F.broadcast(total)).select(stratum, F.bround(F.lit(holdout) * F.col("__n") / F.col("__total")).alias("__quota"))  # total is one row
-    order = F.row_number().over(Window.partitionBy(stratum).orderBy(F.xxhash64(F.col(unit), F.lit(seed)), unit))
-    placed = df.withColumn("__place", order).join(F.broadcast(quota), stratum)  # a row for each stratum
-    return placed.withColumn("split", F.when(F.col("__place") <= F.col("__quota"), "holdout").otherwise("train")).drop("__place", "__quota")
+    d = df.withColumn("__h", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(unit).cast("string"), F.lit("")))))
+    d = d.withColumn("__b", F.left("__h", F.lit(4)))
+    counts = d.groupBy(F.col(stratum).alias("__s"), F.col("__b").alias("__c")).agg(F.count("*").alias("__n"))
+    sizes = counts.groupBy(F.col("__s").alias("__t")).agg(F.sum("__n").alias("__size"))
+    total = sizes.agg(F.sum("__size").alias("__total"))
+    quota = sizes.crossJoin(F.broadcast(total)).select("__t", F.bround(F.lit(holdout) * F.col("__size") / F.col("__total")).alias("__quota"))  # total is one row
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy("__s").orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    room = counts.withColumn("__before", before).join(quota, F.col("__s").eqNullSafe(F.col("__t"))).select("__s", "__c", (F.col("__quota") - F.col("__before")).alias("__room"))
+    place = F.row_number().over(Window.partitionBy(stratum, "__b").orderBy("__h", unit))
+    placed = d.withColumn("__place", place).join(room, F.col(stratum).eqNullSafe(F.col("__s")) & (F.col("__b") == F.col("__c")))
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], F.when(F.col("__place") <= F.col("__room"), "holdout").otherwise("train").alias("split"))

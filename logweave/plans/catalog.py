@@ -272,7 +272,8 @@ def capped_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relational.capped_histogram(turns, "turns", 6)
 
 
-@query()
+@query("""WITH q AS (SELECT *, count(*) OVER (PARTITION BY o_orderpriority) AS n, count(*) OVER () AS total, row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('42:' || o_orderkey), o_orderkey) AS place FROM orders)
+SELECT o_orderkey, o_orderpriority, CASE WHEN place <= round_even(500 * n / total, 0) THEN 'holdout' ELSE 'train' END AS split FROM q""")
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     return split.stratified_split(o, "o_orderkey", "o_orderpriority", 500, 42)
@@ -373,11 +374,14 @@ def audit_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.issues(table(spark, sf_dir, "documents"), checks, ["doc_id"])
 
 
-@query()
+@query("""WITH RECURSIVE c AS (SELECT doc_id, text, -1 AS chunk, 0 AS start, 0 AS stop FROM documents WHERE length(text) > 0 UNION ALL
+SELECT doc_id, text, chunk + 1, stop, CASE WHEN stop + 1000 >= length(text) THEN length(text) WHEN contains(w, '. ') THEN stop + 502 + length(regexp_extract(w, '(?s)^(.*)\\. ', 1)) ELSE stop + 1000 END
+FROM (SELECT *, substring(text, stop + 501, 500) AS w FROM c WHERE stop < length(text)))
+SELECT doc_id, chunk, start, (stop - start)::INT AS chars, md5(substring(text, start + 1, stop - start)) AS digest FROM c WHERE chunk >= 0""")
 def text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.udtf.register("text_chunks", textops.TextChunks)
-    table(spark, sf_dir, "documents").createOrReplaceTempView("documents_for_chunks")
-    return spark.sql("SELECT doc_id, c.chunk, c.start, length(c.piece) AS chars, md5(c.piece) AS digest FROM documents_for_chunks, LATERAL text_chunks(text, 1000) c")
+    docs = table(spark, sf_dir, "documents")
+    return spark.sql("SELECT doc_id, c.chunk, c.start, length(c.piece) AS chars, md5(c.piece) AS digest FROM {docs}, LATERAL text_chunks(text, 1000) c", docs=docs)
 
 
 @query(r"""SELECT page_id, (i - 1)::BIGINT AS section, regexp_extract(part, '^<([a-z0-9]+)', 1) AS tag, md5(trim(regexp_replace(regexp_replace(part, '<[^>]*>', ' ', 'g'), '[ \t\n\r\f\v]+', ' ', 'g'))) AS body

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logweave.domain import inference, protocol, series, texts, usage
 from logweave.functions import scalars
-from logweave.operators import intervals, sequence
+from logweave.operators import intervals, quality, relational, sequence, textops
 from logweave.plans.catalog import query, table
 
 _LINE = """CASE event_type WHEN 'signup' THEN '|switch|' || slot || ': x|S' || (event_id % 5) || ', L50|100/100' WHEN 'click' THEN '|move|' || slot || ': x|M' || (event_id % 4) || '|' || other || ': y'
@@ -17,6 +17,27 @@ row_number() OVER w - 1 AS pos FROM events WINDOW w AS (PARTITION BY user_id ORD
 l AS (SELECT user_id, pos, {_LINE} AS line, event_type, n FROM e)"""
 
 
+_STATES = f"""{_EVENT_LINES}, ev AS (SELECT *, CASE WHEN event_type = 'purchase' THEN other ELSE slot END AS s, CASE WHEN event_type = 'signup' THEN 'S' || (event_id % 5) END AS sp, CASE WHEN event_type = 'click' THEN 'M' || (event_id % 4) END AS mv,
+CASE WHEN event_type = 'signup' THEN 100.0 WHEN event_type = 'purchase' THEN (event_id % 100)::DOUBLE END AS hp, count(*) FILTER (event_type <> 'purchase') OVER (PARTITION BY user_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS grp FROM e),
+st AS (SELECT *, count(*) FILTER (event_type = 'signup') OVER (PARTITION BY user_id, s ORDER BY pos ROWS UNBOUNDED PRECEDING) AS stint, coalesce(last_value(hp IGNORE NULLS) OVER b, 100.0) AS was, last_value(sp IGNORE NULLS) OVER b AS left_sp
+FROM ev WHERE event_type IN ('signup', 'click', 'purchase', 'error') WINDOW b AS (PARTITION BY user_id, s ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT user_id, n AS turn, min(pos) AS at FROM ev WHERE event_type NOT IN ('signup', 'click', 'purchase', 'error') GROUP BY 1, 2),
+q AS (SELECT t.turn, st.* FROM t JOIN st ON st.user_id = t.user_id AND st.pos < t.at),
+cur AS (SELECT user_id, turn, s, max(stint) AS stint, arg_max(sp, pos) FILTER (sp IS NOT NULL) AS species FROM q GROUP BY ALL),
+now AS (SELECT user_id, turn, s, arg_max(hp, pos) FILTER (hp IS NOT NULL) AS hp, arg_max(mv, pos) FILTER (mv IS NOT NULL) AS last_move FROM q JOIN cur USING (user_id, turn, s, stint) GROUP BY ALL),
+moves AS (SELECT user_id, turn, s, string_agg(mv, ',' ORDER BY p) AS revealed FROM (SELECT user_id, turn, s, mv, min(pos) AS p FROM q JOIN cur USING (user_id, turn, s, stint) WHERE mv IS NOT NULL GROUP BY ALL) GROUP BY ALL),
+seen AS (SELECT user_id, turn, side, string_agg(sp, ',' ORDER BY p) AS seen FROM (SELECT user_id, turn, left(s, 2) AS side, sp, min(pos) AS p FROM q WHERE sp IS NOT NULL GROUP BY ALL) GROUP BY ALL),
+snap AS (SELECT c.user_id::VARCHAR AS game_id, c.turn::INT AS turn, c.s AS slot, species, coalesce(hp, 100.0) AS hp_percent, coalesce(hp, 100.0) <= 0 AS fainted, last_move, coalesce(revealed, '') AS revealed, 0::INT AS side_faints, coalesce(seen, '') AS seen
+FROM cur c LEFT JOIN now USING (user_id, turn, s) LEFT JOIN moves USING (user_id, turn, s) LEFT JOIN seen ON seen.user_id = c.user_id AND seen.turn = c.turn AND side = left(c.s, 2))"""
+_LABELS = f"""{_STATES}, h AS (SELECT user_id, grp, list_sort(list_distinct(list(s))) AS targets FROM st WHERE event_type = 'purchase' GROUP BY ALL),
+own AS (SELECT user_id::VARCHAR AS game_id, n AS turn, arg_max(sp, pos) FILTER (sp IS NOT NULL) AS sp, arg_min(mv, pos) FILTER (mv IS NOT NULL) AS mv, arg_min(coalesce(targets, []), pos) FILTER (mv IS NOT NULL) AS targets, bool_or(event_type = 'error') AS cant
+FROM st LEFT JOIN h USING (user_id, grp) WHERE s = 'p1a' AND event_type <> 'purchase' GROUP BY ALL),
+act AS (SELECT game_id, turn, CASE WHEN species IS NULL OR fainted THEN 'pass' WHEN sp IS NOT NULL THEN 'switch' WHEN mv IS NOT NULL THEN 'move' WHEN cant THEN 'pass' END AS kind, mv, targets, sp
+FROM (SELECT DISTINCT game_id, turn FROM snap) LEFT JOIN (SELECT * FROM snap WHERE slot = 'p1a') USING (game_id, turn) LEFT JOIN own USING (game_id, turn)),
+labels AS (SELECT game_id, turn, 'p1a' AS slot, kind AS action_type, CASE WHEN kind = 'move' THEN mv END AS move, CASE WHEN kind = 'move' THEN CASE len(targets) WHEN 0 THEN 'self' WHEN 1 THEN targets[1] ELSE 'spread' END END AS target, CASE WHEN kind = 'switch' THEN sp END AS switch_to FROM act
+UNION ALL SELECT game_id, turn, 'p1b', 'pass', NULL, NULL, NULL FROM act)"""
+
+
 def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """game_id, log: one line for each event of a user."""
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
@@ -50,24 +71,218 @@ def protocol_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.groupBy("game_id").agg(F.sum(F.size("hits")).alias("hits"))
 
 
-@query()
+@query(f"WITH {_STATES} SELECT * FROM snap")
 def protocol_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = protocol.snapshots(event_logs(spark, sf_dir))
     return s.select("game_id", "turn", "slot", "species", "hp_percent", "fainted", "last_move", F.array_join("revealed_moves", ",").alias("revealed"), "side_faints", F.array_join("seen_species", ",").alias("seen"))
 
 
-@query()
+@query(f"WITH {_LABELS} SELECT * FROM labels")
 def turn_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = event_logs(spark, sf_dir)
     s = protocol.snapshots(logs)
     return series.labels(s, s, protocol.events(logs)).select("game_id", "turn", "slot", "action.action_type", "action.move", "action.target", "action.switch_to")
 
 
-@query()
+@query(f"""WITH {_STATES}, hit AS (SELECT user_id, grp, string_agg(s || ' ' || printf('%.1f', was) || '→' || printf('%.1f', hp) || CASE WHEN hp <= 0 THEN ' KO' ELSE '' END, ', ' ORDER BY pos) AS hits FROM st WHERE event_type = 'purchase' GROUP BY ALL),
+told AS (SELECT user_id, n, pos, CASE event_type WHEN 'click' THEN slot || ': ' || mv || coalesce(' → ' || hits, '') WHEN 'signup' THEN slot || ': ' || coalesce(left_sp, '–') || ' ⇒ ' || sp ELSE slot || ': can''t move (par)' END AS told FROM st LEFT JOIN hit USING (user_id, grp) WHERE event_type <> 'purchase')
+SELECT user_id::VARCHAR AS game_id, n::INT AS turn, 'Turn ' || n || chr(10) || '  ' || string_agg(told, chr(10) || '  ' ORDER BY pos) AS text FROM told GROUP BY user_id, n""")
 def turn_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.history(protocol.events(event_logs(spark, sf_dir)))
 
 
+@query(f"WITH {_LABELS} SELECT game_id, turn, string_agg(action_type, ',' ORDER BY slot) AS actions FROM labels GROUP BY ALL HAVING count(*) = count(action_type)")
+def clear_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = event_logs(spark, sf_dir)
+    s = protocol.snapshots(logs)
+    clear = series.clear_turns(series.labels(s, s, protocol.events(logs)))
+    return clear.select("game_id", "turn", F.array_join(F.transform("actions", lambda x: x["action"]["action_type"]), ",").alias("actions"))
+
+
+@query(f"""WITH {_STATES} SELECT game_id, turn, '=== GAME STATE ===' || chr(10) || string_agg('[' || slot || '] ' || coalesce(species, '?') || ' | HP ' || CASE WHEN fainted THEN '0%' ELSE printf('%.1f', hp_percent) || '%' END
+|| CASE WHEN revealed <> '' THEN ' | moves: ' || replace(revealed, ',', ', ') ELSE '' END, chr(10) ORDER BY slot) AS text FROM snap GROUP BY ALL""")
+def state_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return texts.state_lines(protocol.snapshots(event_logs(spark, sf_dir)))
+
+
+_CONDITION = """CASE event_type WHEN 'click' THEN '|-sidestart|p' || (event_id % 2 + 1) || ': x|move: C' || (event_id % 3) WHEN 'error' THEN '|-sideend|p' || (event_id % 2 + 1) || ': x|move: C' || (event_id % 3)
+WHEN 'purchase' THEN '|-weather|' || CASE WHEN event_id % 3 = 0 THEN 'none' ELSE 'W' || (event_id % 3) END WHEN 'signup' THEN '|-fieldstart|move: F' || (event_id % 2) ELSE '|turn|' || n END"""
+
+
+@query("""WITH e AS (SELECT *, count(*) FILTER (event_type = 'view') OVER w AS n, row_number() OVER w AS pos FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
+c AS (SELECT user_id, pos, CASE WHEN event_type IN ('click', 'error') THEN 'p' || (event_id % 2 + 1) ELSE 'field' END AS scope, CASE event_type WHEN 'purchase' THEN 'weather' WHEN 'signup' THEN 'F' || (event_id % 2) ELSE 'C' || (event_id % 3) END AS name,
+CASE event_type WHEN 'click' THEN 'C' || (event_id % 3) WHEN 'signup' THEN 'F' || (event_id % 2) WHEN 'purchase' THEN CASE WHEN event_id % 3 > 0 THEN 'W' || (event_id % 3) END END AS v FROM e WHERE event_type IN ('click', 'error', 'purchase', 'signup')),
+t AS (SELECT user_id, n, min(pos) AS at FROM e WHERE event_type = 'view' GROUP BY ALL),
+h AS (SELECT c.user_id, n, scope, name, arg_max([v], pos)[1] AS v FROM t JOIN c ON c.user_id = t.user_id AND c.pos < t.at GROUP BY ALL)
+SELECT user_id::VARCHAR AS game_id, n::INT AS turn, scope, v AS name FROM h WHERE v IS NOT NULL""")
+def protocol_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
+    e = e.withColumn("n", F.count_if(F.col("event_type") == "view").over(sequence.so_far(["user_id"], ["ts", "event_id"])))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", F.expr(_CONDITION).alias("line")))), lambda x: x["line"])
+    return protocol.conditions(e.groupBy(F.col("user_id").cast("string").alias("game_id")).agg(F.array_join(lines, "\n").alias("log")))
+
+
+@query("""WITH x AS (SELECT *, CASE WHEN event_id % 2 = 0 THEN 'mon-' ELSE 'Mon ' END || (event_id // 2 % 3) AS species, 'mon' || (event_id // 2 % 3) AS species_key, CASE WHEN value > 50 THEN 'I' || (event_id % 5) END AS item, 'M' || (event_id * 7 % 11) AS mv FROM events),
+m AS (SELECT user_id, species_key, list_concat(list(mv ORDER BY p)[1:4], ['?', '?', '?', '?'])[1:4] AS moves FROM (SELECT user_id, species_key, mv, min(event_id) AS p FROM x GROUP BY ALL) GROUP BY ALL)
+SELECT user_id, species_key, arg_min(species, ((species = lower(species))::INT, event_id)) AS species, arg_min(item, event_id) FILTER (item IS NOT NULL) AS item, min(event_id) AS first_pos, array_to_string(any_value(moves), ',') AS moves FROM x JOIN m USING (user_id, species_key) GROUP BY ALL""")
+def team_reconstruction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, none = F.col("event_id"), F.lit(None).cast("string")
+    text = lambda head, n: F.concat(F.lit(head) if isinstance(head, str) else head, n.cast("long").cast("string"))
+    species = text(F.when(k % 2 == 0, "mon-").otherwise("Mon "), F.floor(k / 2) % 3)
+    seen = table(spark, sf_dir, "events").select("user_id", species.alias("species"), F.when(F.col("value") > 50, text("I", k % 5)).alias("item"), none.alias("ability"), none.alias("tera_type"), F.array(text("M", k * 7 % 11)).alias("moves"), k.alias("pos"))
+    return series.reconstruct_teams(seen, ["user_id"]).select("user_id", "species_key", "species", "item", "first_pos", F.array_join("moves", ",").alias("moves"))
+
+
+@query("""WITH c AS (SELECT l_orderkey AS row_id, (l_suppkey % 5)::VARCHAR AS target, l_quantity::DOUBLE AS lo, (l_quantity + l_linenumber)::DOUBLE AS hi, l_partkey % 120 - 20 AS gap FROM lineitem)
+SELECT DISTINCT row_id, CASE WHEN hi < 25 THEN 'ko_impossible' ELSE 'ko_not_guaranteed' END AS violation, target, lo, hi FROM c WHERE gap BETWEEN 0 AND 70 AND lo < 25""")
+def claim_grounding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, q = F.col("l_linenumber"), F.col("l_quantity").cast("double")
+    claims = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("row_id"), (k * 10).alias("target_pos"), (F.col("l_suppkey") % 5).cast("string").alias("target"), q.alias("lo"), (q + k).alias("hi"), (k * 10 + F.col("l_partkey") % 120 - 20).alias("ko_pos"), F.lit(25.0).alias("hp"),
+    )
+    return texts.grounded_claims(claims).select("row_id", "violation", "target", "lo", "hi")
+
+
+@query("""SELECT a.l_orderkey, b.species, min(cap)::INT AS hi FROM (SELECT * FROM lineitem) a JOIN (SELECT *, 's' || (l_partkey % 9) AS species FROM lineitem) b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber AND a.l_linenumber % 2 <> b.l_linenumber % 2,
+LATERAL (SELECT max(x) AS cap FROM (SELECT unnest(range(0, 253, 4)) AS x) WHERE (2 * (50 + b.l_partkey % 100) + 31 + x // 4) * 50 // 100 + 5 <= (2 * (50 + a.l_partkey % 100) + 31 + 252 // 4) * 50 // 100 + 5) WHERE cap IS NOT NULL GROUP BY 1, 2""")
+def speed_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("l_linenumber")
+    order = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("match_id"), F.lit(1).alias("turn_key"), k.alias("pos"), (k % 2).cast("string").alias("side"), F.concat(F.lit("s"), (F.col("l_partkey") % 9).cast("string")).alias("species_key"),
+        (50 + F.col("l_partkey") % 100).alias("base_speed"), F.lit(0).alias("known_lo"), F.lit(252).alias("known_hi"),
+    )
+    caps = inference.speed_caps(order)
+    return caps.groupBy(F.col("match_id").alias("l_orderkey"), F.col("species_key").alias("species")).agg(F.min("hi").cast("int").alias("hi"))
+
+
+@query("""WITH m AS (SELECT 's' || (p_size % 7) AS species_key, CASE WHEN p_partkey % 3 = 0 THEN 'Spreads' WHEN p_partkey % 3 = 1 THEN 'Items' ELSE 'Moves' END AS field, p_brand AS value, p_retailprice AS weight, p_partkey % 3 = 0 AS is_spread, p_partkey FROM part),
+v AS (SELECT species_key, field, CASE WHEN is_spread THEN CASE WHEN p_partkey % 2 = 0 THEN 'Bold:' || p_partkey % 9 || '/0/0/0/0/4' ELSE 'broken' || p_partkey END WHEN p_partkey % 11 = 1 THEN 'Nothing' ELSE 'v' || p_partkey END AS value, weight FROM m),
+s AS (SELECT species_key, field, value, weight, p.mass FROM v JOIN (SELECT species_key, sum(weight) AS mass FROM v WHERE field = 'Spreads' GROUP BY 1) p USING (species_key) WHERE weight > 0 AND lower(value) NOT IN ('', 'nothing', 'other', 'noitem', 'noability') AND (field <> 'Spreads' OR value LIKE 'Bold:%')),
+r AS (SELECT *, row_number() OVER (PARTITION BY species_key, field ORDER BY weight DESC, value) AS rank FROM s)
+SELECT species_key, field, rank::INT AS rank, value, round(weight * 100 / mass, 6) AS usage_pct FROM r WHERE rank <= CASE field WHEN 'Spreads' THEN 2 WHEN 'Items' THEN 3 ELSE 4 END""")
+def usage_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    is_spread = k % 3 == 0
+    value = F.when(is_spread & (k % 2 == 0), F.concat(F.lit("Bold:"), (k % 9).cast("string"), F.lit("/0/0/0/0/4"))).when(is_spread, F.concat(F.lit("broken"), k.cast("string"))).when(k % 11 == 1, "Nothing").otherwise(F.concat(F.lit("v"), k.cast("string")))
+    m = table(spark, sf_dir, "part").select(F.concat(F.lit("s"), (F.col("p_size") % 7).cast("string")).alias("species_key"), F.when(is_spread, "Spreads").when(k % 3 == 1, "Items").otherwise("Moves").alias("field"), value.alias("value"), F.col("p_retailprice").alias("weight"))
+    return usage.top_shares(m, {"Spreads": 2, "Items": 3, "Moves": 4}).withColumn("usage_pct", F.round("usage_pct", 6))
+
+
+@query("""SELECT o_orderkey, 'Big-' || k % 3 AS head, 'Rain ' || k % 4 AS source, 'Rain ' || k % 4 AS effect, CASE k % 3 WHEN 0 THEN 'X' WHEN 1 THEN 'X' ELSE 'X-Mega' END AS forme, 'p' || (k % 2 + 1) || 'b' AS slot, 'p' || (k % 2 + 1) AS side,
+CASE WHEN k % 2 = 0 THEN floor((k % 100) * 320 / 100.0) ELSE (k % 100)::DOUBLE END AS hp, CASE WHEN k % 5 > 0 THEN 'Calm' END AS nature, printf('%.1f', least(k % 7, k % 11)::DOUBLE) || '–' || printf('%.1f', greatest(k % 7, k % 11)::DOUBLE) || '%' AS span,
+'a ' || printf('%.1f', (k % 50)::DOUBLE) || '%, b ' || printf('%.1f', (k % 9)::DOUBLE) || '%' AS shares, CASE WHEN length(o_orderpriority) > 5 THEN left(o_orderpriority, 5) || '…' ELSE o_orderpriority END AS short FROM (SELECT *, o_orderkey AS k FROM orders)""")
+def text_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    s = lambda *x: F.concat(*[F.lit(y) if isinstance(y, str) else y.cast("string") for y in x])
+    effect = s("move: Rain ", k % 4)
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        scalars.head_of(s("Big-", k % 3, ", L50, M")).alias("head"),
+        scalars.keyword(s("[from] Rain ", k % 4), "from").alias("source"),
+        scalars.effect_name(effect).alias("effect"),
+        scalars.base_forme(F.when(k % 3 == 0, "X-Stellar").when(k % 3 == 1, "X-Tera").otherwise("X-Mega")).alias("forme"),
+        scalars.slot_of(s("p", k % 2 + 1, "b: name")).alias("slot"),
+        scalars.side_of(s("p", k % 2 + 1, "b: name")).alias("side"),
+        scalars.hp_value(F.when(k % 2 == 0, s(k % 100, "%")).otherwise((k % 100).cast("string")), F.lit(320)).alias("hp"),
+        scalars.spread(F.when(k % 5 > 0, s("Calm:4/0/0/0/", k % 5, "/0")).otherwise("Calm:1/2/3"))["nature"].alias("nature"),
+        scalars.range_text((k % 7).cast("double"), (k % 11).cast("double")).alias("span"),
+        scalars.share_text(F.array(F.lit("a"), F.lit("b")), F.array((k % 50).cast("double"), (k % 9).cast("double"))).alias("shares"),
+        textops.truncated(F.col("o_orderpriority"), 5, "…").alias("short"),
+    )
+
+
+@query("""SELECT o_orderkey, 'alpha' AS species, k % 3 AS n, (3 * (k % 3) * (k % 3 - 1))::BIGINT AS places FROM (SELECT *, o_orderkey AS k FROM orders) WHERE k % 3 > 0 UNION ALL SELECT o_orderkey, 'beta', 2, (12 * (o_orderkey % 3) + 15)::BIGINT FROM orders""")
+def name_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.udtf.register("name_mentions", texts.Mentions)
+    text = F.concat(F.repeat(F.lit("alpha "), (F.col("o_orderkey") % 3).cast("int")), F.lit("Beta alphabeta BETA"))
+    told = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("told"))
+    found = spark.sql("SELECT o_orderkey, m.species, m.start FROM {told}, LATERAL name_mentions(told, array('alpha', 'beta')) m", told=told)
+    return found.groupBy("o_orderkey", "species").agg(F.count("*").alias("n"), F.sum("start").alias("places"))
+
+
+@query("""SELECT o_orderkey, 'alpha' AS name, (o_orderkey % 101)::DOUBLE AS hp FROM orders UNION ALL SELECT o_orderkey, 'betaii', 12.5 FROM orders""")
+def active_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit("[p1a] Alpha | HP 3%\n[b] Alpha | HP "), (F.col("o_orderkey") % 101).cast("string"), F.lit("%\nbench: Gamma | HP 9%\n[p2c] Beta-II  | HP 12.5 % | Tera"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.explode(texts.on_field_hp(text)).alias("name", "hp"))
+
+
+@query("""SELECT o_orderkey, 0 AS rule, 'Intro' AS text FROM orders UNION ALL SELECT o_orderkey, 1, 'first ' || o_orderkey % 7 || chr(10) || '   more' FROM orders UNION ALL SELECT o_orderkey, 2, 'second' FROM orders""")
+def numbered_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.udtf.register("numbered_rules", textops.NumberedRules)
+    text = F.concat(F.lit("Intro\n1. first "), (F.col("o_orderkey") % 7).cast("string"), F.lit("\n   more\n2) second\n"))
+    listed = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("told"))
+    return spark.sql("SELECT o_orderkey, r.rule, r.text FROM {listed}, LATERAL numbered_rules(told) r", listed=listed)
+
+
+@query("""SELECT o_orderkey, best, CASE WHEN n = 3 THEN NULL WHEN sure THEN best ELSE best + 1 END AS worst FROM (SELECT *, CASE n WHEN 0 THEN 1 WHEN 3 THEN NULL ELSE n + 1 END::INT AS best FROM (SELECT o_orderkey, o_orderkey % 4 AS n, o_custkey % 2 = 0 AS sure FROM orders))""")
+def ko_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("o_orderkey") % 4
+    hits = F.when(n == 0, "OHKO").when(n == 3, "nothing").otherwise(F.concat((n + 1).cast("string"), F.lit("HKO")))
+    best, worst = textops.ko_count(F.concat(F.when(F.col("o_custkey") % 2 == 0, "guaranteed ").otherwise("41% chance to "), hits))
+    return table(spark, sf_dir, "orders").select("o_orderkey", best.alias("best"), worst.alias("worst"))
+
+
+@query("""SELECT conv_id, turn, n AS chars, next_n AS next_chars FROM (SELECT *, length(text)::INT AS n, lead(length(text)::INT) OVER (PARTITION BY conv_id ORDER BY turn) AS next_n FROM conversations) WHERE role = 'assistant'""")
+def source_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.length("text").alias("n"))
+    out = relational.source_trace(c.where("role = 'assistant'").select("conv_id", "turn"), c, ["conv_id", "turn"], "turn", ["n"])
+    return out.select("conv_id", "turn", F.col("state.n").alias("chars"), F.col("next_state.n").alias("next_chars"))
+
+
+@query("""WITH p AS (SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN lead(text) OVER (PARTITION BY conv_id ORDER BY turn) END AS answer, role, text FROM conversations)
+SELECT conv_id, count(*) AS calls, count(answer) AS answered, max(length(text))::INT AS longest FROM p WHERE role = 'assistant' GROUP BY 1""")
+def call_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "conversations")
+    j = relational.paired(c.where("role = 'assistant'").select("conv_id", "turn", "text"), c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")), ["conv_id", "turn"]).where("status <> 'orphan'")
+    return j.groupBy("conv_id").agg(F.count("*").alias("calls"), F.count("answer").alias("answered"), F.max(F.length("text")).alias("longest"))
+
+
+@query("""SELECT counter, sum(n)::BIGINT AS n FROM (SELECT o_orderstatus AS counter, 1 AS n FROM orders UNION ALL SELECT o_orderpriority, 2 FROM orders) GROUP BY 1""")
+def merged_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "orders").select(F.create_map(F.col("o_orderstatus"), F.lit(1), F.col("o_orderpriority"), F.lit(2)).alias("c"))
+    return relational.counters(parts, "c")
+
+
+@query("SELECT count(*) AS n, min(k) AS least, floor(median(k))::BIGINT AS median, max(k) AS most FROM (SELECT count(*) AS k FROM lineitem GROUP BY l_orderkey)")
+def size_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relational.profile(table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("k")), "k")
+
+
+@query("""SELECT key, CASE WHEN key IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000) THEN 'rich' WHEN key IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900) THEN 'buyer' ELSE 'any' END AS origin FROM (SELECT n_nationkey AS key FROM nation)""")
+def first_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = lambda df, key, name: df.select(F.col(key).alias("key"), F.lit(name).alias("origin")).distinct()
+    rich = made(table(spark, sf_dir, "supplier").where("s_acctbal > 9000"), "s_nationkey", "rich")
+    buyer = made(table(spark, sf_dir, "customer").where("c_acctbal > 9900"), "c_nationkey", "buyer")
+    return relational.first_source([rich, buyer, made(table(spark, sf_dir, "nation"), "n_nationkey", "any")], "key")
+
+
+@query("""SELECT o_orderkey, coalesce(s, 'failed') AS status FROM orders LEFT JOIN (SELECT l_orderkey, max(l_linestatus) AS s FROM lineitem WHERE l_quantity > 45 GROUP BY 1) ON l_orderkey = o_orderkey""")
+def result_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "orders").select("o_orderkey", F.lit("pending").alias("status"))
+    results = table(spark, sf_dir, "lineitem").where("l_quantity > 45").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_linestatus").alias("status"))
+    return relational.routed_results(items, results, "o_orderkey", "status")
+
+
+@query("""SELECT CASE WHEN text IS NULL OR text = '' THEN 'empty' WHEN n_chars < 200 THEN 'short' ELSE 'foreign' END AS drop_reason, count(*) AS n FROM documents WHERE text IS NULL OR text = '' OR n_chars < 200 OR lang <> 'en' GROUP BY 1""")
+def drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("text", "n_chars", "lang")
+    reasons = {"empty": F.coalesce(F.col("text"), F.lit("")) == "", "short": F.col("n_chars") < 200, "foreign": F.col("lang") != "en"}
+    return relational.with_drop_reason(docs, reasons)[1]
+
+
+@query("""WITH a AS (SELECT o_orderkey, CASE WHEN k % 3 = 0 THEN 'switch' ELSE 'move' END AS kind, 'm' || k % 5 AS mv, k % 7 = 0 AS trapped, CASE WHEN k % 4 = 0 THEN 'M' || o_custkey % 5 ELSE '' END AS lock, k % 2 = 0 AS tera, o_custkey % 9 = 0 AS used FROM (SELECT *, o_orderkey AS k FROM orders))
+SELECT o_orderkey, 'trapped_switch' AS issue FROM a WHERE kind = 'switch' AND trapped UNION ALL SELECT o_orderkey, 'not_in_moveset' FROM a WHERE kind = 'move' AND mv = 'm4'
+UNION ALL SELECT o_orderkey, 'choice_locked' FROM a WHERE kind = 'move' AND lock <> '' AND lower(lock) <> mv UNION ALL SELECT o_orderkey, 'disabled' FROM a WHERE kind = 'move' AND mv = 'm3' UNION ALL SELECT o_orderkey, 'second_tera' FROM a WHERE kind = 'move' AND tera AND used""")
+def action_legality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    action = F.struct(F.when(k % 3 == 0, "switch").otherwise("move").alias("action_type"), F.concat(F.lit("m"), (k % 5).cast("string")).alias("move"), (k % 2 == 0).alias("tera"))
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", action.alias("action"), (k % 7 == 0).alias("trapped"), F.when(k % 4 == 0, F.concat(F.lit("M"), (c % 5).cast("string"))).otherwise("").alias("choice_lock"), F.lit("").alias("encored"),
+        F.lit("M-3").alias("disabled"), F.array(*[F.lit(f"M {x}") for x in range(4)]).alias("known_moves"), (c % 9 == 0).alias("tera_used"),
+    )
+    return quality.issues(rows, series.legality_checks(), ["o_orderkey"])
+
+
 @query("""WITH g AS (SELECT o_orderkey AS id, o_custkey, epoch_us(o_orderdate) // 1000000 AS t FROM orders), p AS (SELECT *, lag(t) OVER (PARTITION BY o_custkey ORDER BY t, id::VARCHAR) AS prev FROM g),
 r AS (SELECT *, sum(CASE WHEN t - prev > 2592000 THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey ORDER BY t, id::VARCHAR) AS run FROM p),
 c AS (SELECT *, (row_number() OVER (PARTITION BY o_custkey, run ORDER BY t, id::VARCHAR) - 1) // 3 AS chunk FROM r),
@@ -136,7 +351,7 @@ def interval_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem")
     even = F.col("l_linenumber") % 2 == 0
     e = line.select(
-        F.col("l_orderkey").cast("string").alias("match_id"), F.col("l_linenumber").cast("long").alias("turn_key"), F.lit(0).alias("event_pos"), F.when(even, "p1").otherwise("p2").alias("attacker_side"), F.lit("a").alias("attacker"),
+        F.col("l_orderkey").cast("string").alias("match_id"), F.col("l_linenumber").cast("long").alias("turn_key"), F.col("l_partkey").cast("int").alias("event_pos"), F.when(even, "p1").otherwise("p2").alias("attacker_side"), F.lit("a").alias("attacker"),
         F.when(even, "p2").otherwise("p1").alias("defender_side"), F.lit("a").alias("defender"), F.when(F.col("l_returnflag") == "R", "Special").otherwise("Physical").alias("category"), F.lit(80.0).alias("power"),
         F.lit(100.0).alias("hp_before_pct"), (F.lit(75.0) - F.col("l_quantity") / 5).alias("hp_after_pct"), F.lit(False).alias("is_ko"),
     )

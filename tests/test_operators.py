@@ -163,3 +163,16 @@ def test_groups_are_replaced_whole(spark, tmp_path):
     readers.replace_groups(spark.createDataFrame([("a", 1), ("b", 2)], "g string, v int"), path, "g")
     readers.replace_groups(spark.createDataFrame([("b", 3)], "g string, v int"), path, "g")
     assert sorted((r["g"], r["v"]) for r in spark.read.parquet(path).collect()) == [("a", 1), ("b", 3)]
+
+
+def test_nearest_match_keeps_repeated_left_rows(spark):
+    left = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("b", 9.0)], "g string, p double")
+    right = spark.createDataFrame([(7, "a", 2.0)], "id int, g string, p double")
+    got = sorted(map(tuple, relational.nearest_match(left, right, "g", "p", 4.0, ["id"], "id").collect()), key=repr)
+    assert got == [("a", 1.0, 7, 1.0), ("a", 1.0, 7, 1.0), ("b", 9.0, None, None)]
+
+
+def test_stratified_split_with_null_strata_and_one_large(spark):
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN NULL WHEN id % 10 = 1 THEN 's' ELSE 'l' END AS s")
+    got = {(r["s"], r["split"]): r["count"] for r in split.stratified_split(df, "id", "s", 301, 7).groupBy("s", "split").count().collect()}
+    assert got == {(None, "holdout"): 30, (None, "train"): 270, ("s", "holdout"): 30, ("s", "train"): 270, ("l", "holdout"): 241, ("l", "train"): 2159}
