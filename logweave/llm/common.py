@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows up to which a table of ids and digests is broadcast, after counting (about 100 bytes each).
+BROADCAST_ROWS = 500_000
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

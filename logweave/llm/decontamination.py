@@ -2,12 +2,13 @@ r"""Benchmark decontamination with DataFrame functions only.
 
 Benchmark texts are cut into windows of ``n`` normalised words (an item with fewer words is one
 window). Their 64-bit hashes form the broadcast hash set; every window of every document is hashed
-and probed, and a hit counts only if the words are equal. The scan, the probe and the check run in
-one stage: the document's word array is never copied per window.
+and probed in the scan's stage. The few that the set holds go on with their words and are joined to
+the benchmark's windows, where a hit counts only if the words are equal.
 
 Words: A-Z lower-cased, then ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``. The hash set is broadcast only
 while the benchmark's texts have at most ``broadcast_chars`` characters, counted before; beyond
-that the windows themselves are the key of a shuffled join.
+that the windows themselves are the key of a shuffled join. Texts of any length are read whole;
+ties don't occur.
 
 Null and empty texts have no words and no hits; a benchmark without words gives no hits. Documents
 are told apart by id and text, so repeated rows get equal results, and rows that share an id but
@@ -21,10 +22,10 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm.common import read
+from logweave.llm.common import BROADCAST_ROWS, read, written
 
 N = 10
-#: Characters of benchmark text up to which its windows are broadcast (about 20 bytes each).
+#: Characters of benchmark text up to which the hashes of its windows are broadcast: at most half as many hashes, of some 24 bytes each, so 50 MB.
 BROADCAST_CHARS = 4_000_000
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -64,8 +65,10 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = N, broadcast_chars: int
         size = F.lit(sizes[0])
     if chars <= broadcast_chars:
         probe = d.select("doc_id", "text_key", "w", "at", size.alias("size"), F.xxhash64(F.slice("w", F.col("at"), size)).alias("h"))
-        side = F.broadcast(grams.withColumn("h", F.xxhash64("gram")))
-        found = probe.join(side, "h").where(F.slice("w", F.col("at"), F.col("size")) == F.col("gram"))
+        side = grams.withColumn("h", F.xxhash64("gram"))
+        near = probe.join(F.broadcast(side.select("h").distinct()), "h", "left_semi")
+        near = near.select("doc_id", "text_key", "at", "h", F.slice("w", F.col("at"), F.col("size")).alias("words"))
+        found = near.join(side, "h").where(F.col("words") == F.col("gram"))
     else:
         key = lambda c: F.array_join(c, " ")
         probe = d.select("doc_id", "text_key", "at", size.alias("size"), key(F.slice("w", F.col("at"), size)).alias("h"))
@@ -108,8 +111,14 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents without any benchmark window, with all their columns."""
+    """Pipeline stage: the documents without any benchmark window, with all their columns.
+
+    Only ids and digests of the documents that are hit go through a shuffle, unless they are more than ``BROADCAST_ROWS``.
+    """
     bad = hits(docs, read(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).distinct()
+    bad = written(bad, "contaminated")
+    if bad.count() <= BROADCAST_ROWS:
+        bad = F.broadcast(bad)
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["hit_id"]) & (F.xxhash64(docs["text"]) == bad["hit_key"]), "left_anti")
 
 
