@@ -14,7 +14,7 @@ Weights are not rounded: the moments are fractions of integers. One task walks t
 / block_docs steps) and streams the place of each block into a table, which is joined to the
 documents; it holds a few numbers for each source.
 
-The number of a document within its source comes from counts of (source, hash bucket) and a
+The number of a document within its source comes from counts of (source, hash bucket of id and text) and a
 row_number within the bucket, so a source with a third of all rows is spread over many tasks.
 
 :func:`mix` returns the rows of ``docs`` with phase, slot, block, release, deadline (slots of the
@@ -192,7 +192,7 @@ def numbered(docs: DataFrame, source: str, c: Config, names: tuple[str, str]) ->
     total = docs.count()
     n_buckets = max(1, -(-total // c.bucket_rows))
     text = F.xxhash64("text") if "text" in docs.columns else F.lit(0)
-    d = docs.withColumn(bucket, F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(n_buckets)))
+    d = docs.withColumn(bucket, F.pmod(F.xxhash64("doc_id", text, F.lit(7)), F.lit(n_buckets)))
     counts = d.groupBy(F.col(source).alias("s"), F.col(bucket).alias("b")).count()
     before = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     counts = written(counts.withColumn("offset", F.coalesce(F.sum("count").over(before), F.lit(0))), "mix-counts")
