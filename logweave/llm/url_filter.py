@@ -7,14 +7,18 @@ starts with the rule's; the longest rule that fits decides.
 Other pages are judged by their template. A path's segments are generalised level by level: first
 by form (numbers, hexadecimal ids, slugs with digits), then by count: a segment of fewer than
 ``least_rows`` pages becomes ``*``, whatever its parent's size. Kept siblings are merged into
-one ``*`` branch where the main form below them is the same and their labelled shares don't differ
-significantly from their parent's, so a variable segment of many pages each becomes a branch, and a
+one ``*`` branch where the main form below them is the same and each one's labelled share doesn't differ
+significantly from that of its siblings together, so a variable segment of many pages each becomes a branch, and a
 section that differs stays by itself however small its share. A template is blocked if its share of bad labelled pages,
 smoothed towards its host's, which is smoothed towards the share of all, is ``block_at`` or more; so
-a template without labels follows its host.
+a template without labels follows its host. How much is smoothed comes from the labels: the weight of
+the wider share is that of a beta-binomial law with the variance between hosts, or between a host's
+templates, that the labels show (by moments, within ``smoothing``). Where labels don't depend on the
+URL, the wider share thus decides; where they do, a few labelled pages are enough.
 
 All steps work on counts of (host, path form), a few rows for each host, so a host with a third of
-all pages costs one row per form and task. Paths of any depth are told apart: level by level while
+all pages costs one row per form and task. Pages of a form with more than ``hot_rows`` pages are spread
+over several keys when they get their template. Paths of any depth are told apart: level by level while
 pages of a template differ below it, and all at once where they don't.
 
 Null URLs and URLs without ``://`` have empty host and path and belong to one template of that empty
@@ -32,7 +36,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm.common import read, written
+from logweave.llm.common import BROADCAST_ROWS, read, written
 
 
 @dataclass(frozen=True)
@@ -57,9 +61,11 @@ class Config:
     least_rows: int = 5
     #: Siblings whose labelled share lies within this many standard deviations are alike.
     alike_z: float = 2.0
-    #: Weight of the wider share in a smoothed one, in pages.
-    smoothing: float = 20.0
+    #: Least and greatest weight of the wider share in a smoothed one, in pages.
+    smoothing: tuple[float, float] = (3.0, 100.0)
     block_at: float = 0.5
+    #: Pages of a (host, form) that one key gets when pages are joined to their templates.
+    hot_rows: int = 100_000
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -113,9 +119,11 @@ def tree(counts: DataFrame, c: Config) -> DataFrame:
         parent = child.groupBy("host", "template").agg(*[F.sum(x).alias("all_" + x) for x in ("n", "labelled", "bad")])
         child = child.join(parent, ["host", "template"])
         kept = F.col("n") >= c.least_rows
+        own, others, others_bad = F.col("labelled"), F.col("all_labelled") - F.col("labelled"), F.col("all_bad") - F.col("bad")
         p = (F.col("all_bad") + 0.5) / (F.col("all_labelled") + 1)
-        z = F.abs(F.col("bad") - F.col("labelled") * p) / F.sqrt(F.col("labelled") * p * (1 - p) + 1e-9)
-        alike = (F.col("labelled") == 0) | (z < c.alike_z)
+        apart = F.abs(F.col("bad") / F.greatest(own, F.lit(1)) - others_bad / F.greatest(others, F.lit(1)))
+        z = apart / F.sqrt(p * (1 - p) * (1 / F.greatest(own, F.lit(1)) + 1 / F.greatest(others, F.lit(1))))
+        alike = (own == 0) | (others == 0) | (z < c.alike_z)
         branch = F.concat(F.lit("*>"), F.col("main"))
         size = child.withColumn("kept", kept).withColumn("branch", F.when(kept & alike, branch))
         groups = size.where("branch is not null").groupBy("host", "template", "branch").agg(F.count("*").alias("siblings"))
@@ -128,6 +136,37 @@ def tree(counts: DataFrame, c: Config) -> DataFrame:
     return finished.drop("open")
 
 
+def wider_weight(groups: DataFrame, wide: Column, parents: Column | int, c: Config) -> float:
+    """Pages that the share ``wide`` weighs against those of a group (labelled, bad), by the variance between groups beyond chance."""
+    rows = groups.where("labelled > 0").withColumn("p", F.col("bad") / F.col("labelled")).withColumn("wide", wide)
+    got = rows.agg(
+        F.count("*").alias("groups"),
+        (F.lit(parents) if isinstance(parents, int) else parents).alias("parents"),
+        F.sum("labelled").alias("n"),
+        F.sum(F.col("labelled") * F.col("labelled")).alias("squares"),
+        F.sum(F.col("labelled") * F.pow(F.col("p") - F.col("wide"), 2)).alias("between"),
+        F.sum(F.col("labelled") * F.col("wide") * (1 - F.col("wide"))).alias("chance"),
+    ).first()
+    free = got["groups"] - got["parents"]
+    least, most = c.smoothing
+    if free < 1 or not got["chance"]:
+        return most
+    spread = (got["between"] * got["n"] / got["chance"] - free) / max(got["n"] - got["squares"] / got["n"] - free, 1e-9)
+    return min(max(1 / spread - 1, least), most) if spread > 0 else most
+
+
+def with_templates(p: DataFrame, table: DataFrame, counts: DataFrame, c: Config) -> DataFrame:
+    """``p`` (page_id, host, path, forms) with the columns of ``table`` for its host and forms; hot ones are split over several keys."""
+    hot = counts.where(F.col("n") > c.hot_rows).select("host", "forms", F.ceil(F.col("n") / c.hot_rows).cast("int").alias("parts"))
+    many = hot.count()
+    if not 0 < many <= BROADCAST_ROWS:
+        return p.join(table, ["host", "forms"], "left")
+    parts = F.coalesce("parts", F.lit(1))
+    p = p.join(F.broadcast(hot), ["host", "forms"], "left").withColumn("part", F.pmod(F.xxhash64("page_id", "path"), parts).cast("int")).drop("parts")
+    table = table.join(F.broadcast(hot), ["host", "forms"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    return p.join(table, ["host", "forms", "part"], "left").drop("part")
+
+
 def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule] = RULES, c: Config = Config()) -> DataFrame:
     """Per row of ``pages`` (page_id, url): page_id, host, path, rule, verdict, template, bad_share.
 
@@ -139,17 +178,19 @@ def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule] = RULES, c:
     marked = p.join(marks, "page_id", "left")
     counts = written(marked.groupBy("host", "forms").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "url-counts")
     t = tree(counts, c)
-    every = counts.agg(F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"))
+    every = counts.agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")).first()
+    overall = every["bad"] / every["labelled"] if every["labelled"] else 0.0
     hosts = counts.groupBy("host").agg(F.sum("labelled").alias("host_labelled"), F.sum("bad").alias("host_bad"))
     byt = t.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    share = byt.join(hosts, "host").crossJoin(F.broadcast(every))  # one row
-    overall = F.coalesce(F.try_divide(F.col("all_bad"), F.col("all_labelled")), F.lit(0.0))
-    wide = (F.col("host_bad") + c.smoothing * overall) / (F.col("host_labelled") + c.smoothing)
-    smooth = (F.col("bad") + c.smoothing * wide) / (F.col("labelled") + c.smoothing)
+    share = written(byt.join(hosts, "host"), "url-shares")
+    of_host = wider_weight(share.select("host", F.col("host_labelled").alias("labelled"), F.col("host_bad").alias("bad")).distinct(), F.lit(overall), 1, c)
+    of_template = wider_weight(share, F.try_divide("host_bad", "host_labelled"), F.count_distinct("host"), c)
+    wide = (F.col("host_bad") + of_host * overall) / (F.col("host_labelled") + of_host)
+    smooth = (F.col("bad") + of_template * wide) / (F.col("labelled") + of_template)
     share = share.select("host", "template", smooth.alias("bad_share"))
     table = t.select("host", "forms", "template").join(share, ["host", "template"])
     rule, decided = fitting(F.col("host"), F.col("path"), rules)
-    judged = p.join(table, ["host", "forms"], "left")
+    judged = with_templates(p, table, counts, c)
     return judged.select(
         "page_id",
         "host",
