@@ -1,7 +1,7 @@
 r"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Terms are words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` (A-Z lower-cased) and their beginnings of 4 to 8
-bytes. The vocabulary is the terms whose share differs most between toxic and other examples
+characters. The vocabulary is the terms whose share differs most between toxic and other examples
 (|z| at least ``least_z``, ``max_terms`` at most), and one term that stands for all words. A text's
 vector has (1 + ln count) * idf for its terms, with document frequencies counted over the whole
 corpus, at length one; so a telling word among a thousand others weighs less than among ten.
@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from logweave.llm import textbytes as tb
 from logweave.llm.common import labelled_sample, read, remainder, removed
@@ -62,9 +63,12 @@ def terms(s: tb.Slice, c: Config) -> Iterator[tuple[np.ndarray, np.ndarray, tb.S
     low = tb.Slice(s.first, s.rows, tb.LOWER[s.data], s.offs)
     w = tb.words(low, GAP)
     yield tb.hashes(low.data, w), w.row, w
+    begins = np.flatnonzero((low.data & 0xC0) != 0x80)  # of characters
+    first = np.searchsorted(begins, w.start)
+    chars = np.searchsorted(begins, w.end) - first
     for k in c.prefixes:
-        long = w.end - w.start > k
-        part = tb.Spans(w.start[long], w.start[long] + k, w.row[long])
+        long = chars > k
+        part = tb.Spans(w.start[long], begins[first[long] + k], w.row[long])
         yield tb.mix(tb.hashes(low.data, part) + _U(k)), part.row, part
 
 
@@ -255,7 +259,7 @@ def classify(docs: DataFrame, model: Model, held: Column, c: Config = Config())
     """Per row: doc_id, held_out, score, predicted, evidence (nearest examples), terms."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by fit_rows and max_terms
-    like = pa.struct([("doc_id", {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())), ("cosine", pa.float64()), ("label", pa.int32())])
+    like = pa.struct([("doc_id", to_arrow_type(docs.schema["doc_id"].dataType)), ("cosine", pa.float64()), ("label", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, known = shared.value, {}
