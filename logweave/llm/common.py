@@ -18,9 +18,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, set as the checkpoint folder; where it is unset, as in tests, a new local one."""
+    """The folder named by spark.checkpoint.dir, set as the checkpoint folder; where it is unset, as in tests, a new local one, but not on a cluster."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not sc.master.startswith("local") and sc._jsc.sc().getCheckpointDir().isEmpty():
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='checkpoints-')}")
     return folder or sc._jsc.sc().getCheckpointDir().get()

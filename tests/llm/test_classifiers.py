@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from logweave.llm import quality_classifier as qc
 from logweave.llm import textbytes as tb
 from logweave.llm import toxicity as tx
-from logweave.llm.common import remainder
+from logweave.llm.common import labelled_sample, remainder
 
 SF = "/root/testdata/sf0.1"
 
@@ -92,3 +92,29 @@ def test_features_do_not_depend_on_the_slice():
     for k, t in enumerate(texts):
         s = next(tb.slices(pa.array([t])))
         assert (qc.features(s, c)[1] == place[row == k]).all()
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "decimal(20,0)", "smallint"])
+def test_toxicity_with_ids_of_any_type(spark, kind):
+    rng = random.Random(3)
+    rows_ = [(k, prose(rng, 30) + (" nasty nastier" if k % 2 else ""), k % 2) for k in range(80)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, toxic int").selectExpr(f"CAST(doc_id AS {kind}) AS doc_id", "text", "toxic")
+    got = tx.classify(df, tx.fit(df, df.select("doc_id", "toxic"), "toxic", F.lit(True)), F.lit(False))
+    assert got.schema["doc_id"].dataType == df.schema["doc_id"].dataType and got.where("size(evidence) > 0").count() > 70
+
+
+def test_beginnings_are_whole_characters():
+    texts = ["éééééééééé", "aé日本語日本", "abcd", ""]
+    s = next(tb.slices(pa.array(texts)))
+    low = tb.LOWER[s.data]
+    seen = {low[a:b].tobytes().decode() for _, _, span in tx.terms(s, tx.Config()) for a, b in zip(span.start, span.end, strict=True)}
+    assert seen == {"éééééééééé", "aé日本語日本", "abcd", *("é" * k for k in range(4, 9)), *("aé日本語日本"[:k] for k in range(4, 7))}
+
+
+def test_labelled_sample_is_the_same_in_every_run(spark):
+    docs = spark.createDataFrame([(k, f"t{k}") for k in range(3000)] + [(5, "a"), (5, "zz")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(3000)] + [(7, 1)] * 5 + [(None, 1), (9999, 0)], "doc_id long, y int")
+    take = lambda d, l: rows(labelled_sample(d, l, "y", F.lit(True), {0: 100, 1: 200}, "sample")[0], "doc_id", "text", "label")
+    a = take(docs, labels)
+    assert a == take(docs.repartition(7), labels.repartition(5)) and len({r[0] for r in a}) == len(a)
+    assert sum(r[2] == 1 for r in a) == 200 and sum(r[2] == 0 for r in a) in (99, 100)

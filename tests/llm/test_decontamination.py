@@ -63,3 +63,12 @@ def test_stage_removes_what_is_hit(spark, tables, tmp_path):
 def test_no_python_in_the_plan(tables):
     plan = d.decontaminate(*tables)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_stage_without_broadcast_and_with_repeated_rows(spark, tables, tmp_path, monkeypatch):
+    docs, bench = tables
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = rows(d.stage(spark, docs.union(docs), str(tmp_path)), "doc_id")
+    assert want == sorted(2 * rows(d.stage(spark, docs, str(tmp_path)), "doc_id"), key=repr)
+    monkeypatch.setattr(d, "BROADCAST_ROWS", 0)
+    assert rows(d.stage(spark, docs.union(docs), str(tmp_path)), "doc_id") == want

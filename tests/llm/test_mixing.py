@@ -125,3 +125,13 @@ def test_many_sources(spark):
     got = m.mix(df, c=m.Config(block_docs=2, bucket_rows=1000)).collect()
     assert sorted(r["doc_id"] for r in got) == list(range(9000)) and len({r["source"] for r in got}) == 1001
     assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
+
+
+def test_null_and_repeated_ids_are_spread(spark):
+    """A hot source without ids is numbered in many buckets, whole."""
+    df = spark.createDataFrame([(None, f"text {k}", "a") for k in range(4000)] + [(7, "same", "b")] * 50, "doc_id long, text string, source string")
+    c = m.Config(bucket_rows=100)
+    got = m.mix(df, c=c)
+    assert got.count() == 4050 and got.select("position").distinct().count() == 4050
+    sizes = df.where("doc_id is null").selectExpr("pmod(xxhash64(doc_id, xxhash64(text), 7), 41) AS b").groupBy("b").count().collect()
+    assert len(sizes) > 30 and max(r["count"] for r in sizes) < 200

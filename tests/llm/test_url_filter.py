@@ -77,3 +77,33 @@ def test_small_sections_of_a_large_host_and_deep_paths_are_told_apart(spark):
     got = u.judge(pages(spark, urls), labels(spark, [(k, int(k in bad)) for k in range(len(urls))]), rules=()).collect()
     assert {r["page_id"] for r in got if r["verdict"] == "block"} == bad
     assert {r["template"] for r in got if r["page_id"] in bad} == {"/bad/{n}", "/a/b/c/d/e/f/bad/x/{n}"}
+
+
+def test_clashing_columns_and_hot_templates(spark):
+    urls = [f"http://hot.example.com/main/{k}" for k in range(300)] + URLS
+    df, marks = pages(spark, urls), labels(spark, [(k, k % 2) for k in range(100)])
+    columns = ("page_id", "host", "path", "rule", "verdict", "template", "bad_share")
+    want = rows(u.judge(df, marks), *columns)
+    assert rows(u.judge(df, marks, c=u.Config(hot_rows=7)), *columns) == want
+    extra = df.selectExpr("*", *[f"'x' AS {c}" for c in ("host", "path", "forms", "part", "parts", "n", "template", "bad", "labelled", "verdict")])
+    assert rows(u.judge(extra, marks.selectExpr("*", "'x' AS host", "'x' AS part")), *columns) == want
+    assert rows(u.judge(df.union(df), marks), "page_id", "verdict") == sorted(2 * rows(u.judge(df, marks), "page_id", "verdict"), key=repr)
+
+
+def test_labels_say_how_much_is_smoothed(spark):
+    """With labels by chance a template of two bad pages stays; where sections are all bad or all good, two labels decide."""
+    few = ["http://x.example.com/odd/1", "http://x.example.com/odd/2"] + [f"http://x.example.com/odd/{k}" for k in range(3, 9)]
+    many = [f"http://h{k // 40}.example.com/s{chr(97 + k // 10 % 4)}/{k}" for k in range(1600)]
+    chance = labels(spark, [(0, 1), (1, 1)] + [(8 + k, int(k * 7919 % 13 == 0)) for k in range(1600)])
+    sure = labels(spark, [(0, 1), (1, 1)] + [(8 + k, int(k // 10 % 4 == 0)) for k in range(1600)])
+    df = pages(spark, few + many)
+    verdict = lambda marks: {r["page_id"]: r["verdict"] for r in u.judge(df, marks, rules=()).collect()}
+    a, b = verdict(chance), verdict(sure)
+    assert "block" not in a.values()
+    assert all(b[k] == "block" for k in range(8)) and all(b[8 + k] == ("block" if k // 10 % 4 == 0 else "allow") for k in range(1600))
+
+
+def test_very_long_url(spark):
+    urls = ["http://a.example.com/" + "x" * 500_000, "http://" + "h" * 100_000 + "/p", "http://a.example.com/" + "s/" * 300 + "1"]
+    got = rows(u.judge(pages(spark, urls), labels(spark, [])), "page_id", "host", "path", "verdict")
+    assert got == sorted(((k, brute(x)[0], brute(x)[1], "allow") for k, x in enumerate(urls)), key=repr)
