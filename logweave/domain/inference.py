@@ -10,12 +10,14 @@ One pass gives the state before each turn and the final state.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logweave.functions import scalars
 from logweave.operators import intervals
 
 STATS = ("hp", "atk", "def", "spa", "spd", "spe")
@@ -153,6 +155,25 @@ def fold(events: DataFrame, effect: Effect = stand_in) -> DataFrame:
     return ordered.mapInPandas(run, KNOWN)
 
 
+#: Conditions in which, and moves after which, the order of moves doesn't tell speeds.
+ORDER_CONDITIONS = ("trickroom", "tailwind", "stickyweb")
+ORDER_MOVES = ("afteryou", "quash", "instruct")
+
+
+def clean_order(moves: DataFrame, conditions: DataFrame) -> DataFrame:
+    """The rows of ``moves`` (match_id, turn_key, move_name, called_via, priority, category, ...) that tell speeds.
+
+    These are damaging moves of priority 0 that their user chose, in turns without a condition
+    (match_id, turn_key, name) or a move that changes the order.
+    """
+    turn = ["match_id", "turn_key"]
+    named = scalars.name_key(F.col("name"))
+    odd = reduce(lambda x, y: x | y, [F.contains(named, F.lit(c)) for c in ORDER_CONDITIONS])
+    spoilt = conditions.where(odd).select(*turn).union(moves.where(scalars.name_key(F.col("move_name")).isin(*ORDER_MOVES)).select(*turn)).distinct()
+    plain = F.col("called_via").isNull() & (F.coalesce("priority", F.lit(0)) == 0) & F.col("category").isin("Physical", "Special")
+    return moves.where(plain).join(spoilt, turn, "left_anti")
+
+
 def speed_caps(order: DataFrame) -> DataFrame:
     """match_id, side, species_key, hi: greatest speed investment of a slower mover.
 

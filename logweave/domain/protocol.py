@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweave.functions import scalars
-from logweave.operators import sequence
+from logweave.operators import relational, sequence
 
 GAME, POS = ["game_id"], ["pos"]
 SWITCHES = ("switch", "drag", "replace")
@@ -158,6 +158,19 @@ def snapshots(logs: DataFrame) -> DataFrame:
     )
 
 
+def brought(logs: DataFrame) -> DataFrame:
+    """game_id, side, brought: the species that a side sends out anywhere in the log, by first appearance. It looks ahead on purpose: a turn's bench is what comes later or was there before."""
+    enters = slot_history(lines(logs)).where(tag_is(*SWITCHES)).select("game_id", "side", "pos", scalars.head_of(arg(1)).alias("species"))
+    return relational.ordered_distinct(enters, ["game_id", "side"], "species", "pos").withColumnRenamed("values", "brought")
+
+
+def bench(state: DataFrame, team: DataFrame) -> DataFrame:
+    """game_id, turn, side, bench: what a side brought (``team``, of :func:`brought`) and has in no slot when the turn begins; names compared by key."""
+    on = state.groupBy("game_id", "turn", "side").agg(F.collect_set(scalars.name_key(F.col("species"))).alias("on"))  # a few slots
+    j = on.join(team, ["game_id", "side"])
+    return j.select("game_id", "turn", "side", F.filter("brought", lambda s: ~F.array_contains("on", scalars.name_key(s))).alias("bench"))
+
+
 def conditions(logs: DataFrame) -> DataFrame:
     """game_id, turn, scope (field, p1, p2), name: conditions that hold when the turn begins: the last start or end of each wins."""
     d = lines(logs)

@@ -45,6 +45,13 @@ def winner_first(df: DataFrame, winner: str = "winner") -> DataFrame:
     return out
 
 
+def summaries(games: DataFrame) -> DataFrame:
+    """``games`` (match_id, game_no, winner, turns, id) with earlier: a line for each game of the match before this one."""
+    line = F.concat(F.lit("Game "), F.col("game_no").cast("string"), F.lit(": "), F.coalesce(F.concat("winner", F.lit(" won")), F.lit("tie")), F.lit(" in "), F.col("turns").cast("string"), F.lit(" turns"))
+    before = F.collect_list(line).over(sequence.before(["match_id"], ["game_no", "id"]))
+    return games.withColumn("earlier", F.array_join(before, "\n"))
+
+
 def without_fragments(matches: DataFrame, least_turns: int = 2) -> DataFrame:
     """``matches`` with the games that have at least so many turns (snapshots less one), and dropped_fragment_games."""
     keep = F.filter("games", lambda g: F.greatest(F.size(g["snapshots"]) - 1, F.lit(0)) >= least_turns)

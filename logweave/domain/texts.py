@@ -65,6 +65,24 @@ def matrix_line() -> Column:
     return F.concat(F.lit("  "), F.col("move"), F.lit(" → "), F.rpad("defender", 14, " "), F.lit(" "), scalars.range_text(F.col("lo"), F.col("hi")))
 
 
+_ENTRY = r"(?m)^  (\S.*?) → (\S.*?) +(-?[0-9.]+)–(-?[0-9.]+)%(?: (\S+))?$"
+
+
+def matrix_entries(text: Column) -> Column:
+    """move, target, lo, hi, label (empty without one) of every matrix line of a text, in order: what ``matrix_line`` renders, read back."""
+    part = lambda k: F.regexp_extract_all(text, F.lit(_ENTRY), F.lit(k))
+    zipped = F.arrays_zip(*[part(k).alias(n) for k, n in enumerate(("move", "target", "lo", "hi", "label"), 1)])
+    return F.transform(zipped, lambda e: e.withField("lo", e["lo"].cast("double")).withField("hi", e["hi"].cast("double")))
+
+
+def usage_block(top: DataFrame) -> DataFrame:
+    """species_key, text: a line of shares for each field of ``usage.top_shares``."""
+    lists = top.groupBy("species_key", "field").agg(F.array_sort(F.collect_list(F.struct("rank", "value", "usage_pct"))).alias("x"))  # a few ranks
+    line = F.concat(F.lit("  "), F.col("field"), F.lit(": "), scalars.share_text(F.transform("x", lambda e: e["value"]), F.transform("x", lambda e: e["usage_pct"])))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("field", line.alias("line")))), lambda e: e["line"])
+    return lists.groupBy("species_key").agg(F.concat_ws("\n", F.first("species_key"), lines).alias("text"))
+
+
 def prompt(parts: list[Column]) -> Column:
     """Sections joined, empty ones skipped."""
     return F.array_join(F.filter(F.array(*parts), lambda p: p.isNotNull() & (p != "")), "\n\n")
@@ -119,3 +137,20 @@ def row_checks() -> dict[str, quality.Check]:
         "calls_answered": quality.Check(F.size(F.array_except(F.filter(ids, lambda i: ~F.array_contains(F.transform(final, lambda t: t["id"]), i)), answers)) > 0),
         "leak": quality.Check(F.rlike(F.coalesce(thought, F.lit("")), F.lit(LEAK)), real),
     }
+
+
+def text_checks() -> dict[str, quality.Check]:
+    """Checks of rows with user (text) and action (JSON): matrix ranges, knock-out labels against the health shown, and the structure of both slots' actions."""
+    entries, health = matrix_entries(F.col("user")), on_field_hp(F.col("user"))
+    shown = lambda e: F.try_element_at(health, scalars.name_key(e["target"]))
+    at = lambda slot, name: F.get_json_object("action", f"$.{slot}.{name}")
+    broken = F.lit(False)
+    for slot in ("slot_1", "slot_2"):
+        kind, given = at(slot, "action_type"), lambda n, slot=slot: F.coalesce(at(slot, n), F.lit("")) != ""
+        sound = F.when(kind == "move", given("move")).when(kind == "switch", given("switch_to")).otherwise(kind == "pass")
+        broken = broken | ~F.coalesce(sound, F.lit(False))
+    return {
+        "matrix_ranges": quality.Check(F.exists(entries, lambda e: (e["lo"] > e["hi"] + 1e-6) | (e["lo"] < 0) | (e["hi"] > 10_000))),
+        "ko_labels": quality.Check(F.exists(entries, lambda e: (e["label"] == "OHKO") & (e["lo"] < shown(e) - 5))),
+        "action_structure": quality.Check(broken),
+    }

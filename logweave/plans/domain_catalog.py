@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logweave.domain import inference, protocol, series, texts, usage
@@ -374,3 +374,69 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         scalars.or_default(k % 3, F.lit(0), F.lit(-1)).cast("long").alias("truthy"),
         intervals.speed_stat(k % 150, k % 253).alias("speed"),
     )
+
+
+@query(f"""WITH {_STATES}, b AS (SELECT user_id::VARCHAR AS game_id, left(s, 2) AS side, sp, min(pos) AS p FROM st WHERE sp IS NOT NULL GROUP BY ALL)
+SELECT game_id, turn, side, coalesce(string_agg(CASE WHEN sp IS DISTINCT FROM species THEN sp END, ',' ORDER BY p), '') AS bench FROM (SELECT game_id, turn, left(slot, 2) AS side, species FROM snap) JOIN b USING (game_id, side) GROUP BY ALL""")
+def bench_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = event_logs(spark, sf_dir)
+    out = protocol.bench(protocol.snapshots(logs), protocol.brought(logs))
+    return out.select("game_id", "turn", "side", F.array_join("bench", ",").alias("bench"))
+
+
+@query("""WITH m AS (SELECT event_id, user_id, event_id // 40 AS turn, CASE WHEN event_id % 37 = 0 THEN 'After You' ELSE 'M' || event_id % 5 END AS mv, event_id % 6 = 0 AS called, event_id % 9 = 0 AS quick, event_type FROM events),
+c AS (SELECT user_id, event_id // 40 AS turn FROM events WHERE event_id % 53 = 0) SELECT event_id FROM m WHERE NOT called AND NOT quick AND event_type IN ('click', 'view')
+AND (user_id, turn) NOT IN (SELECT user_id, turn FROM m WHERE mv = 'After You') AND (user_id, turn) NOT IN (SELECT user_id, turn FROM c)""")
+def clean_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("event_id")
+    e = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("match_id"), F.floor(k / 40).alias("turn_key"), "event_type")
+    category = F.when(F.col("event_type") == "click", "Physical").when(F.col("event_type") == "view", "Special").otherwise("Status")
+    moves = e.select("*", F.when(k % 37 == 0, "After You").otherwise(F.concat(F.lit("M"), (k % 5).cast("string"))).alias("move_name"), F.when(k % 6 == 0, "Metronome").alias("called_via"), F.when(k % 9 == 0, 1).otherwise(0).alias("priority"), category.alias("category"))
+    held = e.where(k % 53 < 2).select("match_id", "turn_key", F.when(k % 53 == 0, "move: Tailwind").otherwise("Rain").alias("name"))
+    return inference.clean_order(moves, held).select("event_id")
+
+
+@query("""WITH g AS (SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS game_no, CASE o_orderstatus WHEN 'F' THEN 'p1' WHEN 'O' THEN 'p2' END AS winner, o_orderkey % 20 AS turns FROM orders),
+l AS (SELECT *, 'Game ' || game_no || ': ' || coalesce(winner || ' won', 'tie') || ' in ' || turns || ' turns' AS line FROM g)
+SELECT o_orderkey, coalesce(string_agg(line, chr(10)) OVER (PARTITION BY o_custkey ORDER BY game_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS earlier FROM l""")
+def series_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.col("o_orderstatus")
+    g = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("match_id"), F.row_number().over(sequence.ordered(["o_custkey"], ["o_orderdate", "o_orderkey"])).alias("game_no"), F.when(status == "F", "p1").when(status == "O", "p2").alias("winner"),
+        (F.col("o_orderkey") % 20).alias("turns"), F.col("o_orderkey").alias("id"),
+    )
+    return series.summaries(g).select(F.col("id").alias("o_orderkey"), "earlier")
+
+
+@query("""WITH r AS (SELECT p_brand, p_size % 3 AS f, p_partkey, row_number() OVER (PARTITION BY p_brand, p_size % 3 ORDER BY p_retailprice DESC, p_partkey) AS rank FROM part),
+l AS (SELECT p_brand, f, '  F' || f || ': ' || string_agg('v' || p_partkey || ' ' || printf('%.1f', rank * 10.0) || '%', ', ' ORDER BY rank) AS line FROM r WHERE rank <= 3 GROUP BY p_brand, f)
+SELECT p_brand AS species_key, p_brand || chr(10) || string_agg(line, chr(10) ORDER BY f) AS text FROM l GROUP BY p_brand""")
+def usage_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select(F.col("p_brand").alias("species_key"), F.concat(F.lit("F"), (F.col("p_size") % 3).cast("string")).alias("field"), F.concat(F.lit("v"), F.col("p_partkey").cast("string")).alias("value"), "p_retailprice", "p_partkey")
+    ranked = p.withColumn("rank", F.row_number().over(Window.partitionBy("species_key", "field").orderBy(F.desc("p_retailprice"), "p_partkey"))).where("rank <= 3")
+    return texts.usage_block(ranked.withColumn("usage_pct", F.col("rank") * 10.0))
+
+
+@query("""WITH o AS (SELECT o_orderkey AS k, printf('%.1f', (o_orderkey % 90)::DOUBLE) AS lo, printf('%.1f', (o_orderkey % 70 + 10)::DOUBLE) AS hi FROM orders)
+SELECT k AS o_orderkey, 'Fake Out' AS move, 'Beta-II' AS target, lo::DOUBLE AS lo, hi::DOUBLE AS hi, CASE WHEN k % 3 = 0 THEN 'OHKO' ELSE '' END AS label FROM o UNION ALL SELECT k, 'M' || k % 4, 'Alpha', 5.0, 7.5, '' FROM o""")
+def matrix_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prompts(spark, sf_dir).select("o_orderkey", F.explode(texts.matrix_entries(F.col("user"))).alias("e")).select("o_orderkey", "e.*")
+
+
+def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """o_orderkey, user, action: texts with a state line and a matrix, and actions of which some lack a part."""
+    k = F.col("o_orderkey")
+    number = lambda c: F.format_string("%.1f", c.cast("double"))
+    user = F.concat(
+        F.lit("[p2a] Beta-II | HP "), (k % 101).cast("string"), F.lit("%\n=== THREAT MATRIX ===\n  Fake Out → Beta-II        "), number(k % 90), F.lit("–"), number(k % 70 + 10), F.lit("%"), F.when(k % 3 == 0, " OHKO").otherwise(""),
+        F.lit("\n  M"), (k % 4).cast("string"), F.lit(" → Alpha          5.0–7.5%\n"),
+    )
+    one = F.when(k % 7 == 0, '{"action_type": "move"}').when(k % 7 == 1, '{"action_type": "dance"}').when(k % 7 == 2, '{"action_type": "switch", "switch_to": "X"}').otherwise('{"action_type": "move", "move": "M"}')
+    two = F.when(k % 5 == 0, "null").otherwise('{"action_type": "pass"}')
+    return table(spark, sf_dir, "orders").select("o_orderkey", user.alias("user"), F.concat(F.lit('{"slot_1": '), one, F.lit(', "slot_2": '), two, F.lit("}")).alias("action"))
+
+
+@query("""SELECT o_orderkey, 'matrix_ranges' AS issue FROM orders WHERE o_orderkey % 90 > o_orderkey % 70 + 10 UNION ALL SELECT o_orderkey, 'ko_labels' FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 90 < o_orderkey % 101 - 5
+UNION ALL SELECT o_orderkey, 'action_structure' FROM orders WHERE o_orderkey % 7 < 2 OR o_orderkey % 5 = 0""")
+def text_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.issues(_prompts(spark, sf_dir), texts.text_checks(), ["o_orderkey"])
