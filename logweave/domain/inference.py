@@ -3,15 +3,18 @@
 The effect of an attack is bounded below by (least attack, most defence) and above by the reverse.
 An observed range turns into bounds on each side's investment, and later searches start from bounds
 that earlier events have tightened, so events of a match are folded in order: matches are hashed to
-partitions and sorted there, and a task streams through them with the state of one match at a time.
+partitions and sorted there. A task takes a batch of matches at a time: the k-th events of all of them
+are one step over arrays, and a match that a batch's end cuts goes on from its bounds in the next.
 One pass gives the state before each turn and the final state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,8 +26,8 @@ from logweave.operators import intervals
 STATS = ("hp", "atk", "def", "spa", "spd", "spe")
 #: The most of one stat, of all stats, and the rounding slack of observed percents.
 MOST, TOTAL, SLACK = 252, 508, 0.9
-#: (category, attacker's investment, defender's health and defence investment) to least and greatest percent.
-Effect = Callable[[dict, int, int, int], tuple[float, float]]
+#: (columns of events, attackers' investment, defenders' health and defence investment) to least and greatest percents; all are arrays.
+Effect = Callable[[Mapping, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def damage_events(events: DataFrame) -> DataFrame:
@@ -53,63 +56,148 @@ def greatest_where(holds: Callable[[int], bool], top: int = MOST) -> int | None:
     return top if got is None else got - 1 if got > 0 else None
 
 
-def stand_in(event: dict, attack: int, health: int, defence: int) -> tuple[float, float]:
+def stand_in(event: Mapping, attack: np.ndarray, health: np.ndarray, defence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A monotone stand-in for a game's damage formula. Its numbers mean nothing in any game."""
-    power = float(event.get("power") or 80.0)
+    power = np.asarray(event.get("power", 80.0), float)
+    power = np.where(np.isnan(power) | (power == 0), 80.0, power)
     base = 100.0 * power / 200.0 * (100 + attack / 4) / (100 + defence / 4) / (1 + health / 1000)
+    if np.ndim(base) == 0:
+        base = float(base)
     return base * 0.85, base
 
 
-class Knowledge:
-    """Bounds of one entity's stats."""
+def first_where(holds: Callable[[np.ndarray], np.ndarray], n: int, top: int = MOST) -> tuple[np.ndarray, np.ndarray]:
+    """``least_where`` for ``n`` conditions at once: the values, and whether there is one."""
+    lo, hi = np.zeros(n, np.int64), np.full(n, top)
+    found = holds(hi)
+    while (open_ := lo < hi).any():
+        mid = (lo + hi) // 2
+        ok = holds(mid)
+        lo, hi = np.where(open_ & ~ok, mid + 1, lo), np.where(open_ & ok, mid, hi)
+    return lo, found
+
 
-    def __init__(self) -> None:
-        self.lo, self.hi, self.observed = dict.fromkeys(STATS, 0), dict.fromkeys(STATS, MOST), False
+def last_where(holds: Callable[[np.ndarray], np.ndarray], n: int, top: int = MOST) -> tuple[np.ndarray, np.ndarray]:
+    """``greatest_where`` for ``n`` conditions at once."""
+    past, found = first_where(lambda v: ~holds(v), n, top)
+    return np.where(found, past - 1, top), ~found | (past > 0)
 
-    def raise_lo(self, stat: str, v: int | None) -> None:
-        if v is not None:
-            self.lo[stat] = max(self.lo[stat], v)
 
-    def lower_hi(self, stat: str, v: int | None) -> None:
-        if v is not None:
-            self.hi[stat] = min(self.hi[stat], v)
+class Bounds:
+    """Bounds of all stats of many entities, one row each; and which of them have been met."""
 
-    def settle(self) -> None:
+    def __init__(self, n: int) -> None:
+        self.lo, self.hi, self.met = np.zeros((n, len(STATS)), np.int64), np.full((n, len(STATS)), MOST), np.zeros(n, bool)
+
+    def settle(self, who: np.ndarray) -> None:
         """The budget over all stats, then lower bounds not above upper ones."""
-        spent = sum(self.lo.values())
-        if spent <= TOTAL:
-            for s in STATS:
-                self.hi[s] = max(min(self.hi[s], TOTAL - (spent - self.lo[s])), self.lo[s])
-        for s in STATS:
-            self.lo[s] = min(self.lo[s], self.hi[s])
-
-
-def update(a: Knowledge, d: Knowledge, event: dict, effect: Effect) -> None:
-    """One observed hit: six searches from the bounds as they are, applied together."""
-    off, dfn = ("atk", "def") if event["category"] == "Physical" else ("spa", "spd")
-    ko = bool(event["is_ko"])
-    least = max((event["hp_before_pct"] if ko else event["hp_before_pct"] - event["hp_after_pct"]) - SLACK, 0.0)
-    most = float("inf") if ko else event["hp_before_pct"] - event["hp_after_pct"] + SLACK
-    al, ah, dl, dh = dict(a.lo), dict(a.hi), dict(d.lo), dict(d.hi)
-    lo = lambda x, h, y: effect(event, x, h, y)[0]
-    hi = lambda x, h, y: effect(event, x, h, y)[1]
-    raises = [
-        (d, dfn, least_where(lambda v: lo(al[off], dh["hp"], v) <= most)),
-        (d, "hp", least_where(lambda v: lo(al[off], v, dh[dfn]) <= most)),
-        (a, off, least_where(lambda v: hi(v, dl["hp"], dl[dfn]) >= least)),
-    ]
-    lowers = [] if ko else [
-        (d, dfn, greatest_where(lambda v: hi(ah[off], dl["hp"], v) >= least)),
-        (d, "hp", greatest_where(lambda v: hi(ah[off], v, dl[dfn]) >= least)),
-        (a, off, greatest_where(lambda v: lo(v, dh["hp"], dh[dfn]) <= most)),
-    ]
-    for who, stat, v in raises:
-        who.raise_lo(stat, v)
-    for who, stat, v in lowers:
-        who.lower_hi(stat, v)
-    for who in (a, d):
-        who.observed = True
-        who.settle()
+        lo, hi = self.lo[who], self.hi[who]
+        spent = lo.sum(1, keepdims=True)
+        hi = np.where(spent <= TOTAL, np.maximum(np.minimum(hi, TOTAL - (spent - lo)), lo), hi)
+        self.lo[who], self.hi[who], self.met[who] = np.minimum(lo, hi), hi, True
+
+    def update(self, a: np.ndarray, d: np.ndarray, event: Mapping[str, np.ndarray], effect: Effect) -> None:
+        """One observed hit of each pair (attackers a, defenders d, all different): six searches from the bounds as they are, applied together."""
+        n, physical = len(a), event["category"] == "Physical"
+        off, dfn = np.where(physical, STATS.index("atk"), STATS.index("spa")), np.where(physical, STATS.index("def"), STATS.index("spd"))
+        ko, before = event["is_ko"].astype(bool), event["hp_before_pct"].astype(float)
+        dealt = before - event["hp_after_pct"].astype(float)
+        least, most = np.maximum(np.where(ko, before, dealt) - SLACK, 0.0), np.where(ko, np.inf, dealt + SLACK)
+        al, ah, health_lo, health_hi, def_lo, def_hi = self.lo[a, off], self.hi[a, off], self.lo[d, 0], self.hi[d, 0], self.lo[d, dfn], self.hi[d, dfn]
+        lo = lambda x, h, y: effect(event, x, h, y)[0]
+        hi = lambda x, h, y: effect(event, x, h, y)[1]
+        health = np.zeros(n, np.int64)
+        raises = [
+            (d, dfn, first_where(lambda v: lo(al, health_hi, v) <= most, n)),
+            (d, health, first_where(lambda v: lo(al, v, def_hi) <= most, n)),
+            (a, off, first_where(lambda v: hi(v, health_lo, def_lo) >= least, n)),
+        ]
+        lowers = [
+            (d, dfn, last_where(lambda v: hi(ah, health_lo, v) >= least, n)),
+            (d, health, last_where(lambda v: hi(ah, v, def_lo) >= least, n)),
+            (a, off, last_where(lambda v: lo(v, health_hi, def_hi) <= most, n)),
+        ]
+        for who, stat, (v, found) in raises:
+            self.lo[who, stat] = np.where(found, np.maximum(self.lo[who, stat], v), self.lo[who, stat])
+        for who, stat, (v, found) in lowers:
+            self.hi[who, stat] = np.where(found & ~ko, np.minimum(self.hi[who, stat], v), self.hi[who, stat])
+        self.settle(a)
+        self.settle(d)
+
+
+@dataclass
+class Unfinished:
+    """The last match of a batch: it may go on in the next one."""
+
+    match: str
+    turn: int
+    sides: np.ndarray
+    species: np.ndarray
+    bounds: Bounds
+
+    def rows(self) -> pd.DataFrame:
+        n = int(self.bounds.met.sum())
+        return known_rows(np.full(n, self.match, object), np.full(n, self.turn + 1), True, self.sides[self.bounds.met], self.species[self.bounds.met], self.bounds.lo[self.bounds.met], self.bounds.hi[self.bounds.met])
+
+
+def known_rows(match: np.ndarray, turn: np.ndarray, final: bool, side: np.ndarray, species: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pd.DataFrame:
+    """A row for each stat of each entity; entities are put down once they have been met, so all are observed."""
+    k = len(STATS)
+    rep = lambda x: np.repeat(x, k)
+    return pd.DataFrame({"match_id": rep(match), "turn_key": rep(turn), "final": final, "side": rep(side), "species_key": rep(species), "stat": np.tile(np.array(STATS, object), len(match)), "lo": lo.ravel().astype(np.int32), "hi": hi.ravel().astype(np.int32), "observed": True})
+
+
+def stepped(batch: pd.DataFrame, before: Unfinished | None, effect: Effect) -> tuple[list[pd.DataFrame], Unfinished]:
+    """The rows of a batch of events (in order of match, turn and position), and its last match. The k-th events of all matches go together."""
+    out = []
+    m, matches = pd.factorize(batch["match_id"], use_na_sentinel=False)
+    goes_on = before is not None and matches[0] == before.match
+    if before is not None and not goes_on:
+        out.append(before.rows())
+    old = before if goes_on else None
+    sides, all_sides = pd.factorize(np.concatenate([batch["attacker_side"], batch["defender_side"], old.sides if old else []]), sort=True)
+    species, all_species = pd.factorize(np.concatenate([batch["attacker"], batch["defender"], old.species if old else []]), sort=True)
+    key = (np.concatenate([m, m, np.zeros(len(old.sides), np.int64) if old else []]).astype(np.int64) * (len(all_sides) + 1) + sides + 1) * (len(all_species) + 1) + species + 1
+    entity, at = np.unique(key, return_inverse=True)
+    n = len(m)
+    a, d = at[:n], at[n : 2 * n]
+    of_match = entity // (len(all_species) + 1) // (len(all_sides) + 1)
+    name = lambda codes, names: np.append(names.astype(object), None)[codes]  # noqa: E731  (code -1: null)
+    side_of, species_of = name(entity // (len(all_species) + 1) % (len(all_sides) + 1) - 1, all_sides), name(entity % (len(all_species) + 1) - 1, all_species)
+    b = Bounds(len(entity))
+    if old:
+        b.lo[at[2 * n :]], b.hi[at[2 * n :]], b.met[at[2 * n :]] = old.bounds.lo, old.bounds.hi, old.bounds.met
+    first_entity, end_entity = np.searchsorted(of_match, np.arange(len(matches))), np.searchsorted(of_match, np.arange(len(matches)), "right")
+
+    def put(some: np.ndarray, turn: np.ndarray, final: bool) -> None:
+        size = end_entity[some] - first_entity[some]
+        who = np.repeat(first_entity[some], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        met = b.met[who]
+        who = who[met]
+        if len(who):
+            out.append(known_rows(np.asarray(matches, object)[np.repeat(some, size)[met]], np.repeat(turn, size)[met], final, side_of[who], species_of[who], b.lo[who], b.hi[who]))
+
+    turn = batch["turn_key"].to_numpy()
+    start = np.searchsorted(m, np.arange(len(matches)))
+    end = np.append(start[1:], n)
+    new_turn = np.append(True, (m[1:] != m[:-1]) | (turn[1:] != turn[:-1]))
+    if old:
+        new_turn[0] = turn[0] != old.turn
+    counts = (batch["category"] != "Status").to_numpy() & (batch["attacker_side"] != batch["defender_side"]).to_numpy()
+    columns = {c: batch[c].to_numpy() for c in batch.columns}
+    for step in range(int((end - start).max())):
+        rows = start[start + step < end] + step
+        begins = rows[new_turn[rows]]
+        put(m[begins], turn[begins], False)
+        hits = rows[counts[rows]]
+        if len(hits):
+            b.update(a[hits], d[hits], {c: v[hits] for c, v in columns.items()}, effect)
+    done = np.arange(len(matches) - 1)
+    put(done, turn[end[done] - 1] + 1, True)
+    last = np.flatnonzero(of_match == len(matches) - 1)
+    rest = Bounds(len(last))
+    rest.lo, rest.hi, rest.met = b.lo[last], b.hi[last], b.met[last]
+    return out, Unfinished(matches[-1], int(turn[-1]), side_of[last], species_of[last], rest)
 
 
 KNOWN = "match_id string, turn_key long, final boolean, side string, species_key string, stat string, lo int, hi int, observed boolean"
@@ -119,39 +207,15 @@ def fold(events: DataFrame, effect: Effect = stand_in) -> DataFrame:
     """Bounds before each turn (final false) and at the end (final true) from hits (match_id, turn_key, event_pos, attacker_side, attacker, defender_side, defender, category, power, hp_before_pct, hp_after_pct, is_ko)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state: dict[tuple[str, str], Knowledge] = {}
-        rows: list[tuple] = []
-        match, turn = None, None
-
-        def put(at: int, final: bool) -> None:
-            for (side, species), k in sorted(state.items()):
-                rows.extend((match, at, final, side, species, s, k.lo[s], k.hi[s], k.observed) for s in STATS)
-
-        def table() -> pd.DataFrame:
-            out = pd.DataFrame(rows, columns=[c.split()[0] for c in KNOWN.split(", ")])
-            rows.clear()
-            return out
-
+        last = None
         for batch in batches:
-            for e in batch.to_dict("records"):
-                if e["match_id"] != match:
-                    if match is not None:
-                        put(turn + 1, True)
-                    state, match, turn = {}, e["match_id"], None
-                if e["turn_key"] != turn:
-                    turn = int(e["turn_key"])
-                    put(turn, False)
-                if e["category"] != "Status" and e["attacker_side"] != e["defender_side"]:
-                    a = state.setdefault((e["attacker_side"], e["attacker"]), Knowledge())
-                    d = state.setdefault((e["defender_side"], e["defender"]), Knowledge())
-                    update(a, d, e, effect)
-            yield table()
-        if match is not None:
-            put(turn + 1, True)
-            yield table()
-
-    n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number: the rows are few, the work on each is not
-    ordered = events.repartition(n, "match_id").sortWithinPartitions("match_id", "turn_key", "event_pos")
+            if len(batch):
+                out, last = stepped(batch, last, effect)
+                yield from out
+        if last is not None:
+            yield last.rows()
+
+    ordered = events.repartition("match_id").sortWithinPartitions("match_id", "turn_key", "event_pos")
     return ordered.mapInPandas(run, KNOWN)
 
 
@@ -202,9 +266,9 @@ def matrix(attackers: DataFrame, defenders: DataFrame, effect: Effect = stand_in
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = pdf.to_dict("records")
-            pdf["lo"] = [effect(r, r["atk_lo"], r["hp_hi"], r["def_hi"])[0] for r in rows]
-            pdf["hi"] = [effect(r, r["atk_hi"], r["hp_lo"], r["def_lo"])[1] for r in rows]
+            rows = {c: pdf[c].to_numpy() for c in pdf.columns}
+            pdf["lo"] = effect(rows, rows["atk_lo"], rows["hp_hi"], rows["def_hi"])[0]
+            pdf["hi"] = effect(rows, rows["atk_hi"], rows["hp_lo"], rows["def_lo"])[1]
             yield pdf
 
     return j.mapInPandas(run, schema)

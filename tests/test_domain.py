@@ -140,6 +140,61 @@ def test_fold_brackets_the_truth(spark):
     assert before == []
 
 
+def plain_fold(rows):
+    """The fold one event at a time, by linear searches."""
+    state, out, match, turn = {}, [], None, None
+    put = lambda at, final: out.extend((match, at, final, *k, s, v[0][s], v[1][s]) for k, v in state.items() for s in inference.STATS)
+    every = range(inference.MOST + 1)
+    for r in sorted(rows, key=lambda r: r[:3]):
+        if r[0] != match:
+            if match is not None:
+                put(turn + 1, True)
+            state, match, turn = {}, r[0], None
+        if r[1] != turn:
+            turn = r[1]
+            put(turn, False)
+        _, _, _, aside, aname, dside, dname, category, power, was, now, ko = r
+        if category == "Status" or aside == dside:
+            continue
+        (al, ah), (dl, dh) = (state.setdefault(k, (dict.fromkeys(inference.STATS, 0), dict.fromkeys(inference.STATS, 252))) for k in ((aside, aname), (dside, dname)))
+        off, dfn = ("atk", "def") if category == "Physical" else ("spa", "spd")
+        least, most = max((was if ko else was - now) - 0.9, 0.0), float("inf") if ko else was - now + 0.9
+        lo, hi = (lambda x, h, y, k=k: float(inference.stand_in({"power": power}, x, h, y)[k]) for k in (0, 1))
+        first, last = (lambda test: min((v for v in every if test(v)), default=None)), (lambda test: max((v for v in every if test(v)), default=None))
+        raised = [(dl, dfn, first(lambda v: lo(al[off], dh["hp"], v) <= most)), (dl, "hp", first(lambda v: lo(al[off], v, dh[dfn]) <= most)), (al, off, first(lambda v: hi(v, dl["hp"], dl[dfn]) >= least))]
+        lowered = [(dh, dfn, last(lambda v: hi(ah[off], dl["hp"], v) >= least)), (dh, "hp", last(lambda v: hi(ah[off], v, dl[dfn]) >= least)), (ah, off, last(lambda v: lo(v, dh["hp"], dh[dfn]) <= most))]
+        for x, s, v in raised:
+            x[s] = max(x[s], v if v is not None else 0)
+        for x, s, v in [] if ko else lowered:
+            x[s] = min(x[s], v if v is not None else 252)
+        for low, high in ((al, ah), (dl, dh)):
+            spent = sum(low.values())
+            for s in inference.STATS:
+                if spent <= 508:
+                    high[s] = max(min(high[s], 508 - (spent - low[s])), low[s])
+            for s in inference.STATS:
+                low[s] = min(low[s], high[s])
+    put(turn + 1, True)
+    return sorted(out)
+
+
+def test_fold_against_a_plain_loop(spark):
+    rng, rows = random.Random(12), []
+    for g in range(12):
+        for k in range(rng.randint(1, 25)):
+            (a, d) = rng.sample(["p1", "p2"], 2) if rng.random() < 0.9 else ("p1", "p1")
+            before = rng.uniform(20, 100)
+            rows.append((f"g{g:02}", k // 3, k, a, rng.choice("xy"), d, rng.choice("zw"), rng.choice(["Physical", "Special", "Status"]), rng.choice([0.0, 60.0, 120.0]), before, before - rng.uniform(0, 20), rng.random() < 0.1))
+    schema = "match_id string, turn_key long, event_pos int, attacker_side string, attacker string, defender_side string, defender string, category string, power double, hp_before_pct double, hp_after_pct double, is_ko boolean"
+    want, df = plain_fold(rows), spark.createDataFrame(rows, schema)
+    for size in ("10000", "7"):  # batches that end within a match
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        got = inference.fold(df).collect()
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert sorted((r["match_id"], r["turn_key"], r["final"], r["side"], r["species_key"], r["stat"], r["lo"], r["hi"]) for r in got) == want
+        assert all(r["observed"] for r in got)
+
+
 def test_speed_caps(spark):
     rows = [("m", 1, 0, "p1", "fast", 100, 0, 252), ("m", 1, 1, "p2", "slow", 100, 0, 252), ("m", 2, 0, "p1", "low", 50, 0, 0), ("m", 2, 1, "p2", "mid", 50, 0, 252)]
     got = {r["species_key"]: r["hi"] for r in inference.speed_caps(spark.createDataFrame(rows, "match_id string, turn_key long, pos int, side string, species_key string, base_speed int, known_lo int, known_hi int")).collect()}
