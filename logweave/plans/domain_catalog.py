@@ -440,3 +440,28 @@ def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 UNION ALL SELECT o_orderkey, 'action_structure' FROM orders WHERE o_orderkey % 7 < 2 OR o_orderkey % 5 = 0""")
 def text_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.issues(_prompts(spark, sf_dir), texts.text_checks(), ["o_orderkey"])
+
+
+_BASE = "100::DOUBLE * 80::DOUBLE / 200::DOUBLE * (100 + {x} / 4::DOUBLE) / (100 + {y} / 4::DOUBLE) / (1 + {h} / 1000::DOUBLE)"
+_LEAST = "coalesce(list_min(list_filter(range(0, 253), lambda v: " + _BASE + "{scale} {test})), 0)"
+_MOST = "coalesce(CASE WHEN NOT ko THEN list_max(list_filter(range(0, 253), lambda v: " + _BASE + "{scale} {test})) END, 252)"
+_LOW = " * 0.85::DOUBLE"
+
+
+@query(f"""WITH e AS (SELECT o_orderkey AS k, o_orderkey % 13 = 0 AS ko, 100::DOUBLE AS was, 100::DOUBLE - (o_orderkey % 53 + 12)::DOUBLE AS now, CASE WHEN o_custkey % 2 = 0 THEN ['atk', 'def'] ELSE ['spa', 'spd'] END AS s FROM orders),
+r AS (SELECT *, greatest((CASE WHEN ko THEN was ELSE was - now END) - 0.9::DOUBLE, 0::DOUBLE) AS least, CASE WHEN ko THEN 'infinity'::DOUBLE ELSE was - now + 0.9::DOUBLE END AS most FROM e),
+b AS (SELECT k, s, {_LEAST.format(x=0, y='v', h=252, scale=_LOW, test='<= most')} AS def_lo, {_LEAST.format(x=0, y=252, h='v', scale=_LOW, test='<= most')} AS hp_lo, {_LEAST.format(x='v', y=0, h=0, scale='', test='>= least')} AS off_lo,
+{_MOST.format(x=252, y='v', h=0, scale='', test='>= least')} AS def_hi, {_MOST.format(x=252, y=0, h='v', scale='', test='>= least')} AS hp_hi, {_MOST.format(x='v', y=252, h=252, scale=_LOW, test='<= most')} AS off_hi FROM r),
+w AS (SELECT k, side, stat, CASE WHEN side = 'p1' AND stat = s[1] THEN off_lo WHEN side = 'p2' AND stat = s[2] THEN def_lo WHEN side = 'p2' AND stat = 'hp' THEN hp_lo ELSE 0 END AS lo,
+CASE WHEN side = 'p1' AND stat = s[1] THEN off_hi WHEN side = 'p2' AND stat = s[2] THEN def_hi WHEN side = 'p2' AND stat = 'hp' THEN hp_hi ELSE 252 END AS hi
+FROM b, (SELECT unnest(['p1', 'p2']) AS side), (SELECT unnest(['hp', 'atk', 'def', 'spa', 'spd', 'spe']) AS stat)),
+t AS (SELECT *, sum(lo) OVER (PARTITION BY k, side) AS spent FROM w), c AS (SELECT *, CASE WHEN spent <= 508 THEN greatest(least(hi, 508 - (spent - lo)), lo) ELSE hi END AS top FROM t)
+SELECT k::VARCHAR AS match_id, side, stat, least(lo, top)::INT AS lo, top::INT AS hi FROM c""")
+def two_way_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One hit for each order: what six searches and the budget leave of both sides' bounds."""
+    k = F.col("o_orderkey")
+    e = table(spark, sf_dir, "orders").select(
+        k.cast("string").alias("match_id"), F.lit(1).cast("long").alias("turn_key"), F.lit(0).alias("event_pos"), F.lit("p1").alias("attacker_side"), F.lit("a").alias("attacker"), F.lit("p2").alias("defender_side"), F.lit("b").alias("defender"),
+        F.when(F.col("o_custkey") % 2 == 0, "Physical").otherwise("Special").alias("category"), F.lit(80.0).alias("power"), F.lit(100.0).alias("hp_before_pct"), (F.lit(100.0) - (k % 53 + 12).cast("double")).alias("hp_after_pct"), (k % 13 == 0).alias("is_ko"),
+    )
+    return inference.fold(e).where("final").select("match_id", "side", "stat", "lo", "hi")
