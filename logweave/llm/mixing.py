@@ -47,7 +47,7 @@ class Config:
     #: Slots in a period of ``pattern``, for weights that are whole shares of it. The mix has no period.
     period: int = 1000
     #: Rows for each (source, bucket) that the numbering aims at.
-    bucket_rows: int = 4_000
+    bucket_rows: int = 1_000
 
 
 def shares(weights: Mapping, period: int) -> dict:
@@ -186,39 +186,34 @@ def planned(rows: DataFrame, weights: Mapping | None, c: Config) -> DataFrame:
     return written(rows.select("s", "n").repartition(1).mapInArrow(run, PLAN), "mix-plan")
 
 
-def numbered(docs: DataFrame, source: str, c: Config, names: tuple[str, str]) -> tuple[DataFrame, DataFrame]:
-    """``docs`` with the number of each row within its source (names[0]); and the rows (n) of each source (s)."""
-    number, bucket = names
-    total = docs.count()
-    n_buckets = max(1, -(-total // c.bucket_rows))
+def mix(docs: DataFrame, weights: Mapping | None = None, c: Config = Config(), source: str = "source") -> DataFrame:
+    """``docs`` with its place in the mix. Weights default to the square root of the sources' rows; a source without a weight gets the least weight.
+
+    The rows go through one shuffle, by source and bucket: there they are numbered, and meet the places of the blocks that their bucket holds.
+    """
+    key, bucket, number = (unused(docs, x) for x in ("key", "bucket", "number"))
+    keyed = lambda s: F.when(s.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), s.cast("string")))
+    n_buckets = max(1, -(-docs.count() // c.bucket_rows))
     text = F.xxhash64("text") if "text" in docs.columns else F.lit(0)
-    d = docs.withColumn(bucket, F.pmod(F.xxhash64("doc_id", text, F.lit(7)), F.lit(n_buckets)))
-    counts = d.groupBy(F.col(source).alias("s"), F.col(bucket).alias("b")).count()
-    before = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    d = docs.withColumn(key, keyed(F.col(source))).withColumn(bucket, F.pmod(F.xxhash64("doc_id", text, F.lit(7)), F.lit(n_buckets)))
+    counts = d.groupBy(F.col(key).alias("k"), F.col(bucket).alias("b")).count()
+    before = Window.partitionBy("k").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     counts = written(counts.withColumn("offset", F.coalesce(F.sum("count").over(before), F.lit(0))), "mix-counts")
-    rows = counts.groupBy(F.col("s").cast("string").alias("s")).agg(F.sum("count").alias("n"))
-    within = F.row_number().over(Window.partitionBy(source, bucket).orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id", text))
-    d = d.withColumn(number, within)
-    o = counts.select("s", "b", "offset")
-    o = o.select(F.col("s").alias("of"), F.col("b").alias("in"), "offset").alias("o")
-    d = d.alias("d").join(o, F.col(f"d.{source}").eqNullSafe(F.col("o.of")) & (F.col(f"d.{bucket}") == F.col("o.in")))
-    return d.select(*[F.col(f"d.`{x}`") for x in docs.columns], (F.col(f"d.{number}") - 1 + F.col("o.offset")).alias(number)), rows
-
-
-def mix(docs: DataFrame, weights: Mapping | None = None, c: Config = Config(), source: str = "source") -> DataFrame:
-    """``docs`` with its place in the mix. Weights default to the square root of the sources' rows; a source without a weight gets the least weight."""
-    number, bucket = unused(docs, "number"), unused(docs, "bucket")
-    d, rows = numbered(docs, source, c, (number, bucket))
-    plan = planned(rows, weights, c).alias("plan")
-    of = lambda x: F.col(f"docs.{x}")
-    block = F.floor(of(number) / c.block_docs).cast("long")
-    # A key has block_docs rows at most, so no task gets more than others.
-    d = d.alias("docs").join(plan, of(source).cast("string").eqNullSafe(F.col("plan.s")) & (block == F.col("plan.block")))
+    rows = counts.groupBy("k").agg(F.sum("count").alias("n")).select(F.when(F.col("k") != "n", F.substring("k", 2, 1 << 30)).alias("s"), "n")
+    plan = planned(rows, weights, c).withColumn("k", keyed(F.col("s")))
+    block = lambda n: F.floor(n / c.block_docs).cast("long")
+    held = counts.select("k", "b", "offset", F.explode(F.sequence(block(F.col("offset")), block(F.col("offset") + F.col("count") - 1))).alias("block"))
+    place = F.struct("block", "phase", "slot", "release", "deadline")
+    places = held.join(plan.drop("s"), ["k", "block"]).groupBy("k", "b", "offset").agg(F.sort_array(F.collect_list(place)).alias("places"))  # a bucket's blocks
+    within = F.row_number().over(Window.partitionBy(key, bucket).orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id", text))
+    d = d.withColumn(number, within - 1).alias("docs").join(places.alias("plan"), (F.col(f"docs.{key}") == F.col("plan.k")) & (F.col(f"docs.{bucket}") == F.col("plan.b")))
+    at = F.col(f"docs.{number}") + F.col("plan.offset")
+    mine = F.get(F.col("plan.places"), (block(at) - block(F.col("plan.offset"))).cast("int"))
     names = {x: unused(docs, x) for x in ("phase", "slot", "block", "release", "deadline", "position")}
     return d.select(
-        *[of(f"`{x}`").alias(x) for x in docs.columns],
-        *[F.col(f"plan.{x}").alias(names[x]) for x in ("phase", "slot", "block", "release", "deadline")],
-        (F.col("plan.slot") * c.block_docs + of(number) % c.block_docs).alias(names["position"]),
+        *[F.col(f"docs.`{x}`").alias(x) for x in docs.columns],
+        *[mine[x].alias(names[x]) for x in ("phase", "slot", "block", "release", "deadline")],
+        (mine["slot"] * c.block_docs + at % c.block_docs).alias(names["position"]),
     )
 
 
