@@ -465,3 +465,48 @@ def two_way_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_custkey") % 2 == 0, "Physical").otherwise("Special").alias("category"), F.lit(80.0).alias("power"), F.lit(100.0).alias("hp_before_pct"), (F.lit(100.0) - (k % 53 + 12).cast("double")).alias("hp_after_pct"), (k % 13 == 0).alias("is_ko"),
     )
     return inference.fold(e).where("final").select("match_id", "side", "stat", "lo", "hi")
+
+
+_ITEM_LINES = (
+    "|-enditem|p1a: x|Berry|[eat]", "|-enditem|p1a: x|Belt|[from] move: Knock Off", "|-enditem|p1a: x|Orb|[from] move: Fling", "|-enditem|p1a: x|Band|[from] move: Thief", "|-enditem|p1a: x|Herb",
+    "|-item|p1a: x|Vest|[from] move: Trick", "|-item|p1a: x|Scarf|[from] ability: Frisk", "|-item|p1a: x|Seed",
+)
+
+
+@query("""SELECT o_orderkey, ['eaten', 'knocked_off', 'flung', 'stolen', 'consumed', 'swapped', 'revealed', 'gained'][o_orderkey % 8 + 1] AS kind, ['Berry', 'Belt', 'Orb', 'Band', 'Herb', 'Vest', 'Scarf', 'Seed'][o_orderkey % 8 + 1] AS item FROM orders""")
+def item_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    logs = table(spark, sf_dir, "orders").select(k.cast("string").alias("game_id"), F.get(F.array(*map(F.lit, _ITEM_LINES)), (k % 8).cast("int")).alias("log"))
+    return protocol.events(logs).select(F.col("game_id").cast("long").alias("o_orderkey"), "kind", "item")
+
+
+@query("""WITH s AS (SELECT *, count(*) FILTER (event_type = 'signup') OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS stint FROM events)
+SELECT event_id, bool_or(event_type = 'purchase') OVER (PARTITION BY user_id, stint ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS touched FROM s""")
+def touched_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys, order = ["user_id"], ["ts", "event_id"]
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    e = e.withColumn("stint", sequence.stint(F.col("event_type") == "signup", keys, order))
+    return e.select("event_id", sequence.touched_since_reset(F.col("event_type") == "purchase", keys, order, "stint").alias("touched"))
+
+
+@query("""WITH n AS (SELECT n_nationkey AS k, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS s, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey AND c_acctbal > 9000) AS c FROM nation)
+SELECT k, s > 0 OR c > 0 AS either, s > 0 AND c > 0 AS both, s > 0 AND c = 0 AS only_first, s = 0 AND c = 0 AS missing FROM n""")
+def key_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Union, intersection, difference and complement of the keys of two tables."""
+    every = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"))
+    a = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k")).distinct()
+    b = table(spark, sf_dir, "customer").where("c_acctbal > 9000").select(F.col("c_nationkey").alias("k")).distinct()
+    out, missing = every, relational.without(every, a.union(b), ["k"])
+    for name, keys in {"either": a.union(b).distinct(), "both": a.intersect(b), "only_first": relational.without(a, b, ["k"]), "missing": missing}.items():
+        out = out.join(keys.withColumn(name, F.lit(True)), "k", "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    return out
+
+
+@query("""SELECT user_id, arg_max(event_type, (ts, event_id)) AS last_type, arg_min(event_id, (ts, event_id)) AS first_event, (list(event_id ORDER BY ts, event_id))[1:2]::VARCHAR AS head FROM events GROUP BY 1""")
+def group_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last row's attribute, the first row's id, and the first two ids of each group."""
+    e, at = table(spark, sf_dir, "events"), F.struct("ts", "event_id")
+    head = sequence.first_wins(e.select("user_id", "event_id", "ts"), ["user_id"], ["ts", "event_id"]).select("user_id", F.col("event_id").alias("first_event"))
+    two = relational.examples_per_group(e, "user_id", ["ts", "event_id"], 2).groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("rank", "event_id"))).alias("x"))
+    two = two.select("user_id", F.concat(F.lit("["), F.array_join(F.transform("x", lambda r: r["event_id"].cast("string")), ", "), F.lit("]")).alias("head"))
+    return e.groupBy("user_id").agg(F.max_by("event_type", at).alias("last_type")).join(head, "user_id").join(two, "user_id")
