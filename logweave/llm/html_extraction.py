@@ -34,7 +34,9 @@ from logweave.llm.common import read
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text isn't shown as text of the page; their content is skipped up to the end tag.
-RAW = frozenset("script style template noscript textarea title iframe svg math object select noframes xmp".split())
+RAW = frozenset("script style template noscript textarea title iframe svg math select noframes xmp".split())
+#: Of these, the ones that may close themselves, and that without an end tag are passed over as a tag only: what follows is read.
+MARKUP = frozenset("template noscript svg math select".split())
 #: A start tag of these ends an open p.
 ENDS_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul li dd dt".split())
 #: A start tag ends an open element of the second set, looked for up to an element of the third.
@@ -166,9 +168,12 @@ def parse(source: str) -> Page:
                     break
             continue
         if name in RAW:
-            end = _raw_end(source, name, at)
-            at = n if end < 0 else end
             run.append(" ")
+            if name in MARKUP and raw.endswith("/"):
+                continue
+            end = _raw_end(source, name, at)
+            if end >= 0 or name not in MARKUP:
+                at = n if end < 0 else end
             continue
         if name in VOID:
             if name == "hr":

@@ -85,3 +85,18 @@ def test_pages_of_the_tables(spark, model):
         article = re.search(r"(?s)<article>(.*?)</article>", r["html"])[1].replace("<br>", " ")
         blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", article))
         assert text(model, r["html"]) == "\n\n".join(b for b in blocks if b)
+
+
+@pytest.mark.parametrize("tag", ['<svg viewBox="0 0 1 1"/>', "<math/>", "<noscript>", "<select>", "<svg>", "<template>", "<svg><path d='M0 0'/><text>no</text></svg>", "<noscript><p>no</p></noscript>"])
+def test_embedded_markup_ends_where_it_can(model, tag):
+    """Embedded elements that close themselves, or never close, hide nothing of the article."""
+    assert text(model, PAGE.replace("Second paragraph", tag + " Second paragraph")) == text(model, PAGE)
+
+
+def test_fallback_of_an_object_is_read(model):
+    assert text(model, PAGE.replace("<a href=/x>link</a>", '<object data="x">link</object>')).count("link") == 1
+
+
+def test_very_long_page(model):
+    long = "Another sentence of the same text, and it goes on. " * 40_000
+    assert text(model, PAGE.replace("Second paragraph", long + "Second paragraph")).count("Another sentence") == 40_000
