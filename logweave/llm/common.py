@@ -63,12 +63,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, wanted: Colu
     """Labelled rows of ``docs`` as (doc_id, text, label), at most ``most[v]`` for each label v; and the share of each label's rows that it has.
 
     ``wanted`` is a condition on labels.doc_id. The sample is the rows with the lowest hashed ids
-    (ties: the lower id), so it is the same in every run and for any partitioning. Only its ids pass
+    (ties: the lower id), so it is the same in every run and for any partitioning. Ids are compared as the documents' type. Only the sample's ids pass
     through the driver and are broadcast; of documents that share an id the least text counts. Labels
     other than the keys of ``most``, null ids and repeated labels are ignored.
     """
     spark = docs.sparkSession
-    rows = labels.where(wanted & F.col(label).isin(*most) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("label")).distinct()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = labels.where(wanted & F.col(label).isin(*most)).select(F.col("doc_id").try_cast(kind).alias("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id is not null").distinct()
     have = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_003)) / F.lit(1_000_003.0)
     ids: list[tuple] = []
@@ -77,7 +78,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, wanted: Colu
         share = (n + 6 * n**0.5 + 20) / have[v] if have.get(v) else 1.0
         drawn = rows.where(F.col("label") == v).select(draw.alias("draw"), "doc_id").where(F.col("draw") <= share).collect()
         ids += [(i, v) for _, i in sorted(map(tuple, drawn))[:n]]
-    kind = docs.schema["doc_id"].dataType.simpleString()
     chosen = F.broadcast(spark.createDataFrame(ids, f"doc_id {kind}, label int"))
     texts = docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
     return written(texts, name), {v: min(1.0, n / have[v]) if have.get(v) else 1.0 for v, n in most.items()}

@@ -118,3 +118,12 @@ def test_labelled_sample_is_the_same_in_every_run(spark):
     a = take(docs, labels)
     assert a == take(docs.repartition(7), labels.repartition(5)) and len({r[0] for r in a}) == len(a)
     assert sum(r[2] == 1 for r in a) == 200 and sum(r[2] == 0 for r in a) in (99, 100)
+
+
+def test_labels_with_ids_of_another_type(spark):
+    docs = spark.createDataFrame([(str(k), f"t{k}") for k in range(20)] + [("x", "y")], "doc_id string, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(30)], "doc_id long, y int")
+    got = labelled_sample(docs, labels, "y", F.lit(True), {0: 100, 1: 100}, "sample")[0]
+    assert rows(got, "doc_id", "label") == sorted(((str(k), k % 2) for k in range(20)), key=repr)
+    back = labelled_sample(labels.selectExpr("doc_id", "'a' AS text"), docs.selectExpr("doc_id", "1 AS y"), "y", F.lit(True), {1: 100}, "sample")[0]
+    assert back.count() == 20
