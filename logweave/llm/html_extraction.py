@@ -14,7 +14,7 @@ varied layouts.
 Character references are decoded, white space within a run becomes one space, runs are joined by
 ``\n\n``. Null html is empty; a page without content gives an empty string. Pages are judged one by one:
 repeated rows repeat their result, an empty table gives an empty result, extra columns are not read.
-Unclosed tags and comments end with their parent or the page.
+Pages of any length are read whole; a marginal that ties with ``keep_at`` is content. Unclosed tags and comments end with their parent or the page.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ margins to probabilities.
 
 Everything is fitted on at most ``fit_rows`` labelled rows of each class (a documented bound; only
 rows whose remainder allows it); scoring covers every row. Null and empty texts have no indicators
-and get the model's bias. Rows are scored one by one, so repeated rows repeat their score. Without
+and get the model's bias. Rows are scored one by one, so repeated rows repeat their score.
+Texts of any length are read whole; a score that ties with the threshold is predicted 1. Without
 labelled rows of both classes every score is the share of label 1 (0.5 without any). An empty table
 gives an empty result. Extra columns are not read.
 """

@@ -23,7 +23,8 @@ pages of a template differ below it, and all at once where they don't.
 
 Null URLs and URLs without ``://`` have empty host and path and belong to one template of that empty
 host. Repeated pages count repeatedly and get the same result. Labels of no page are ignored, null
-labels too; with no labels at all nothing is blocked but by rules. An empty table gives an empty
+labels too; with no labels at all nothing is blocked but by rules. URLs of any length
+are read whole; rules that tie in length are told apart by their text, and a share that ties with ``block_at`` blocks. An empty table gives an empty
 result. Extra columns are not read.
 """
 
