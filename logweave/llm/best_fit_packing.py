@@ -257,7 +257,7 @@ def pack(docs: DataFrame, c: Config = Config()) -> DataFrame:
     hist = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}  # at most ``capacity`` rows
     table = runs(planned(hist, c.capacity))
     numbered = cut.withColumn("at", F.row_number().over(Window.partitionBy(*group).orderBy("row")) - 1)
-    numbered = numbered.join(counts.drop("count"), group).withColumn("number", F.col("first") + F.col("at"))
+    numbered = numbered.join(counts.drop("count").hint("merge"), group).withColumn("number", F.col("first") + F.col("at"))
     names = NAMES + ["ids"] * c.with_ids
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
