@@ -7,12 +7,14 @@ state of every slot and side at the start of each turn. Everything is a window o
 over (game, position), so games of any length and number spread over the cluster; nothing is
 collected per game in Python.
 
-Not covered, since they need the game's own rules: illusions and forme changes (a slot's species is
-the last one that entered it), durations of conditions, trapping by ability.
+A slot's species is the last one that entered it; with ``fix`` (:func:`logweave.domain.identity.corrected`) it is who really was
+there. Conditions with their durations are in :mod:`logweave.domain.conditions`. Not covered, since it needs the game's own rules: trapping by ability.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +37,7 @@ def tag_is(*tags: str) -> Column:
     return F.col("tag").isin(*tags)
 
 
-def _keyword(name: str) -> Column:
+def keyword(name: str) -> Column:
     """Value of an argument ``[name] value``."""
     hit = F.filter("args", lambda a: F.startswith(a, F.lit(f"[{name}]")))
     return F.when(F.size(hit) > 0, scalars.keyword(F.element_at(hit, 1), name))
@@ -58,11 +60,19 @@ def lines(logs: DataFrame) -> DataFrame:
     return d.withColumn("group", sequence.stint(tag_is(*CLOSES), GAME, POS))
 
 
+Fix = Callable[[DataFrame], DataFrame]
+
+
+def read(logs: DataFrame, fix: Fix | None) -> DataFrame:
+    """The lines of ``logs``, corrected by ``fix`` if it is given."""
+    return fix(lines(logs)) if fix else lines(logs)
+
+
 def slot_history(d: DataFrame) -> DataFrame:
     """``d`` with slot, side, health (on this line) and species (that occupies the slot after this line)."""
     d = d.withColumn("slot", scalars.slot_of(arg(0))).withColumn("side", scalars.side_of(arg(0)))
     enters = F.when(tag_is(*SWITCHES), scalars.head_of(arg(1)))
-    d = d.withColumn("species", F.last(enters, ignorenulls=True).over(sequence.so_far([*GAME, "slot"], POS)))
+    d = d.withColumn("species", F.col("named") if "named" in d.columns else F.last(enters, ignorenulls=True).over(sequence.so_far([*GAME, "slot"], POS)))
     health = F.when(tag_is("-damage", "-heal", "-sethp"), percent(arg(1))).when(tag_is(*SWITCHES), percent(arg(2))).when(tag_is("faint"), F.lit(0.0))
     return d.withColumn("health", health)
 
@@ -73,7 +83,7 @@ def hits(d: DataFrame) -> DataFrame:
     was = F.coalesce(F.last("health", ignorenulls=True).over(sequence.before(per_slot, POS)), F.lit(100.0))
     crit = F.coalesce(F.bool_or(tag_is("-crit")).over(sequence.before([*GAME, "group", "slot"], POS)), F.lit(False))
     d = d.withColumn("was", was).withColumn("crit", crit)
-    direct = tag_is("-damage") & _keyword("from").isNull()
+    direct = tag_is("-damage") & keyword("from").isNull()
     outcome = F.when(direct, "hit")
     for tag, name in OUTCOMES.items():
         outcome = F.when(tag_is(tag), name).otherwise(outcome)
@@ -87,16 +97,16 @@ def hits(d: DataFrame) -> DataFrame:
 
 def item_kind() -> Column:
     """What an item line says."""
-    how = F.coalesce(_keyword("from"), F.lit(""))
+    how = F.coalesce(keyword("from"), F.lit(""))
     eaten = F.exists("args", lambda a: F.startswith(a, F.lit("[eat]")))
     end = F.when(eaten, "eaten").when(how.contains("Knock Off"), "knocked_off").when(how.contains("Fling"), "flung").when(how.contains("Thief") | how.contains("Covet"), "stolen").otherwise("consumed")
     gain = F.when(how.contains("Trick") | how.contains("Switcheroo"), "swapped").when(how.contains("Frisk"), "revealed").otherwise("gained")
     return F.when(tag_is("-enditem"), end).otherwise(gain)
 
 
-def events(logs: DataFrame) -> DataFrame:
+def events(logs: DataFrame, fix: Fix | None = None) -> DataFrame:
     """One row per turn event, event_pos counting from 0 within the game: see the module's text."""
-    d = slot_history(lines(logs))
+    d = slot_history(read(logs, fix))
     gathered = hits(d).groupBy("game_id", "group").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "hit"))), lambda x: x["hit"]).alias("hits"))
     kind = (
         F.when(tag_is("move"), "move").when(tag_is("cant"), "cant_move").when(tag_is(*SWITCHES), "switch").when(tag_is("faint"), "faint")
@@ -109,7 +119,7 @@ def events(logs: DataFrame) -> DataFrame:
     is_move = F.col("type") == "move"
     d = d.withColumn("event_pos", order).join(gathered, ["game_id", "group"], "left")
     targets = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["defender_slot"])))
-    source = _keyword("from")
+    source = keyword("from")
     no_text = F.lit(None).cast("string")
     return d.select(
         "game_id", "turn", "event_pos", "type", "side", "slot", F.when(is_move, F.col("slot")).alias("attacker_slot"), F.when(is_move, arg(1)).alias("move_name"),
@@ -128,17 +138,17 @@ def first_seen(value: Column, keys: list[str]) -> Column:
     return F.when(value.isNotNull() & (F.row_number().over(Window.partitionBy(*keys, value).orderBy(*POS)) == 1), value)
 
 
-def snapshots(logs: DataFrame) -> DataFrame:
+def snapshots(logs: DataFrame, fix: Fix | None = None) -> DataFrame:
     """game_id, turn, slot, side, species, hp_percent, fainted, last_move, revealed_moves, item, terastallized, side_faints, seen_species: state of each slot when the turn begins; the first of repeated turn lines.
 
     A mark for each turn and slot is put among the slot's lines and takes the last state before it, so the work grows with the lines.
     """
-    d = slot_history(lines(logs))
+    d = slot_history(read(logs, fix))
     stint = [*GAME, "slot"]
     d = d.withColumn("stint", sequence.stint(tag_is(*SWITCHES), stint, POS))
     run = sequence.so_far([*stint, "stint"], POS)
     d = d.withColumn("s_health", F.last("health", ignorenulls=True).over(run))
-    d = d.withColumn("s_moves", F.collect_list(first_seen(F.when(tag_is("move") & _keyword("from").isNull(), arg(1)), [*stint, "stint"])).over(run))
+    d = d.withColumn("s_moves", F.collect_list(first_seen(F.when(tag_is("move") & keyword("from").isNull(), arg(1)), [*stint, "stint"])).over(run))
     d = d.withColumn("s_last", F.last(F.when(tag_is("move"), arg(1)), ignorenulls=True).over(run))
     d = d.withColumn("s_item", F.last(F.when(tag_is("-item"), arg(1)).when(tag_is("-enditem"), F.lit("")), ignorenulls=True).over(run))
     d = d.withColumn("s_tera", F.coalesce(F.bool_or(tag_is("-terastallize")).over(run), F.lit(False)))
@@ -158,9 +168,9 @@ def snapshots(logs: DataFrame) -> DataFrame:
     )
 
 
-def brought(logs: DataFrame) -> DataFrame:
+def brought(logs: DataFrame, fix: Fix | None = None) -> DataFrame:
     """game_id, side, brought: the species that a side sends out anywhere in the log, by first appearance. It looks ahead on purpose: a turn's bench is what comes later or was there before."""
-    enters = slot_history(lines(logs)).where(tag_is(*SWITCHES)).select("game_id", "side", "pos", scalars.head_of(arg(1)).alias("species"))
+    enters = slot_history(read(logs, fix)).where(tag_is(*SWITCHES)).select("game_id", "side", "pos", scalars.head_of(arg(1)).alias("species"))
     return relational.ordered_distinct(enters, ["game_id", "side"], "species", "pos").withColumnRenamed("values", "brought")
 
 
