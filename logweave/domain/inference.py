@@ -219,6 +219,29 @@ def fold(events: DataFrame, effect: Effect = stand_in) -> DataFrame:
     return ordered.mapInPandas(run, KNOWN)
 
 
+def asymmetric(known: DataFrame, present: DataFrame, own: str) -> DataFrame:
+    """match_id, turn_key, side, species_key, stat, lo, hi, observed: what ``own`` side goes by in a turn.
+
+    Its own entities have their bounds from the whole match (it knows its team), the others' only what had been seen before the turn: the last
+    bounds of :func:`fold` up to it. ``present``: match_id, turn_key, side, species_key. Who was never met is unbounded and not observed. Rows with a null side count as the others'.
+    """
+    entity = ["match_id", "side", "species_key", "stat"]
+    stats = F.explode(F.array(*map(F.lit, STATS))).alias("stat")
+    asked = present.select("match_id", "turn_key", "side", "species_key").distinct().select("*", stats)
+    bounds = F.struct("lo", "hi", "observed")
+    is_own = F.coalesce(F.col("side") == own, F.lit(False))
+    final = known.where("final").select(*[F.col(c).alias(f"__{c}") for c in entity], bounds.alias("b"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in entity]
+    mine = asked.where(is_own).join(final, reduce(lambda x, y: x & y, same), "left").select(*asked.columns, "b")
+    # the others' bounds before the turn are put among the turns that ask for them
+    told = known.where(~is_own).select("match_id", "turn_key", "side", "species_key", "stat", bounds.alias("b"), F.lit(False).alias("asks"))
+    u = told.unionByName(asked.where(~is_own).withColumn("asks", F.lit(True)), allowMissingColumns=True)
+    before = F.last("b", ignorenulls=True).over(Window.partitionBy(*entity).orderBy("turn_key", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    theirs = u.withColumn("b", before).where("asks").select(*asked.columns, "b")
+    every = mine.unionByName(theirs)
+    return every.select(*asked.columns, F.coalesce("b.lo", F.lit(0)).alias("lo"), F.coalesce("b.hi", F.lit(MOST)).alias("hi"), F.coalesce("b.observed", F.lit(False)).alias("observed"))
+
+
 #: Conditions in which, and moves after which, the order of moves doesn't tell speeds.
 ORDER_CONDITIONS = ("trickroom", "tailwind", "stickyweb")
 ORDER_MOVES = ("afteryou", "quash", "instruct")

@@ -345,17 +345,59 @@ def effect_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inference.matrix(a, d).select("turn", "attacker", "defender", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"))
 
 
-@query()
-def interval_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of an order as hits, in order of line; bounds before each line and at the end."""
+# The fold as a recursion over the lines of an order: lists of six bounds for each side, searches as filters over all values.
+_EFFECT = "40.0 * (100 + {0} / 4) / (100 + {2} / 4) / (1 + {1} / 1000)"
+_LEAST = "list_min(list_filter(range(0, 253), lambda v: {}))"
+_MOST = "list_max(list_filter(range(0, 253), lambda v: {}))"
+
+
+def _e(x: str, h: str, y: str, part: str = "") -> str:
+    return f"({_EFFECT.format(x, h, y)}){part}"
+
+
+_SETTLED = "(SELECT {'lo': list_transform(range(1, 7), lambda j: least(l[j], h2[j])), 'hi': h2} FROM (SELECT l, CASE WHEN list_sum(l) <= 508 THEN list_transform(range(1, 7), lambda j: greatest(least(h[j], 508 - (list_sum(l) - l[j])), l[j])) ELSE h END::BIGINT[] AS h2 FROM (SELECT {l} AS l, {h} AS h)))"
+_FOLD = f"""RECURSIVE ev AS (SELECT l_orderkey AS m, l_linenumber AS t, row_number() OVER w AS k, count(*) OVER (PARTITION BY l_orderkey) AS n, coalesce(lag(l_linenumber) OVER w <> l_linenumber, false) AS begins, l_linenumber % 2 = 0 AS first_side, CASE WHEN l_returnflag = 'R' THEN 4 ELSE 2 END AS off,
+CASE WHEN l_returnflag = 'R' THEN 5 ELSE 3 END AS df, greatest(100.0::DOUBLE - (75.0::DOUBLE - l_quantity::DOUBLE / 5) - 0.9::DOUBLE, 0) AS low, 100.0::DOUBLE - (75.0::DOUBLE - l_quantity::DOUBLE / 5) + 0.9::DOUBLE AS high FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey)),
+f AS (SELECT m, 0::BIGINT AS k, [0, 0, 0, 0, 0, 0]::BIGINT[] AS lo1, [252, 252, 252, 252, 252, 252]::BIGINT[] AS hi1, [0, 0, 0, 0, 0, 0]::BIGINT[] AS lo2, [252, 252, 252, 252, 252, 252]::BIGINT[] AS hi2 FROM ev WHERE k = 1
+UNION ALL SELECT m, k, CASE WHEN first_side THEN a.lo ELSE d.lo END, CASE WHEN first_side THEN a.hi ELSE d.hi END, CASE WHEN first_side THEN d.lo ELSE a.lo END, CASE WHEN first_side THEN d.hi ELSE a.hi END
+FROM (SELECT m, k, first_side, {_SETTLED.replace("{l}", "list_transform(range(1, 7), lambda j: CASE WHEN j = off THEN greatest(al[j], coalesce(r3, 0)) ELSE al[j] END)").replace("{h}", "list_transform(range(1, 7), lambda j: CASE WHEN j = off THEN least(ah[j], coalesce(l3, 252)) ELSE ah[j] END)")} AS a,
+{_SETTLED.replace("{l}", "list_transform(range(1, 7), lambda j: CASE WHEN j = df THEN greatest(dl[j], coalesce(r1, 0)) WHEN j = 1 THEN greatest(dl[j], coalesce(r2, 0)) ELSE dl[j] END)").replace("{h}", "list_transform(range(1, 7), lambda j: CASE WHEN j = df THEN least(dh[j], coalesce(l1, 252)) WHEN j = 1 THEN least(dh[j], coalesce(l2, 252)) ELSE dh[j] END)")} AS d
+FROM (SELECT *, {_LEAST.format(_e("al[off]", "dh[1]", "v", " * 0.85 <= high"))} AS r1, {_LEAST.format(_e("al[off]", "v", "dh[df]", " * 0.85 <= high"))} AS r2, {_LEAST.format(_e("v", "dl[1]", "dl[df]", " >= low"))} AS r3,
+{_MOST.format(_e("ah[off]", "dl[1]", "v", " >= low"))} AS l1, {_MOST.format(_e("ah[off]", "v", "dl[df]", " >= low"))} AS l2, {_MOST.format(_e("v", "dh[1]", "dh[df]", " * 0.85 <= high"))} AS l3
+FROM (SELECT ev.m, ev.k, first_side, off, df, low, high, CASE WHEN first_side THEN lo1 ELSE lo2 END AS al, CASE WHEN first_side THEN hi1 ELSE hi2 END AS ah, CASE WHEN first_side THEN lo2 ELSE lo1 END AS dl, CASE WHEN first_side THEN hi2 ELSE hi1 END AS dh FROM f JOIN ev ON ev.m = f.m AND ev.k = f.k + 1)))),
+st AS (SELECT ev.m, ev.t AS turn, false AS final, lo1, hi1, lo2, hi2 FROM ev JOIN f ON f.m = ev.m AND f.k = ev.k - 1 WHERE begins UNION ALL SELECT ev.m, ev.t + 1, true, lo1, hi1, lo2, hi2 FROM ev JOIN f ON f.m = ev.m AND f.k = ev.k WHERE ev.k = ev.n),
+known AS (SELECT m::VARCHAR AS match_id, turn::BIGINT AS turn_key, final, side, 'a' AS species_key, ['hp', 'atk', 'def', 'spa', 'spd', 'spe'][j] AS stat, CASE side WHEN 'p1' THEN lo1[j] ELSE lo2[j] END::INT AS lo, CASE side WHEN 'p1' THEN hi1[j] ELSE hi2[j] END::INT AS hi, true AS observed
+FROM (SELECT *, unnest(['p1', 'p2']) AS side FROM st) CROSS JOIN (SELECT unnest(range(1, 7)) AS j))"""
+
+
+def _line_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of an order as hits, in order of line."""
     line = table(spark, sf_dir, "lineitem")
     even = F.col("l_linenumber") % 2 == 0
-    e = line.select(
+    return line.select(
         F.col("l_orderkey").cast("string").alias("match_id"), F.col("l_linenumber").cast("long").alias("turn_key"), F.col("l_partkey").cast("int").alias("event_pos"), F.when(even, "p1").otherwise("p2").alias("attacker_side"), F.lit("a").alias("attacker"),
         F.when(even, "p2").otherwise("p1").alias("defender_side"), F.lit("a").alias("defender"), F.when(F.col("l_returnflag") == "R", "Special").otherwise("Physical").alias("category"), F.lit(80.0).alias("power"),
         F.lit(100.0).alias("hp_before_pct"), (F.lit(75.0) - F.col("l_quantity") / 5).alias("hp_after_pct"), F.lit(False).alias("is_ko"),
     )
-    return inference.fold(e)
+
+
+@query(f"WITH {_FOLD} SELECT * FROM known")
+def interval_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds before each line and at the end."""
+    return inference.fold(_line_hits(spark, sf_dir))
+
+
+@query(f"""WITH {_FOLD}, asked AS (SELECT DISTINCT l_orderkey::VARCHAR AS match_id, l_linenumber + x AS turn_key, side, species_key FROM lineitem, (SELECT unnest([0, 9]) AS x), (SELECT unnest(['p1', 'p2']) AS side), (SELECT unnest(['a', 'b']) AS species_key)),
+got AS (SELECT a.*, s.stat, CASE WHEN a.side = 'p1' THEN (SELECT [lo, hi, 1] FROM known k WHERE k.final AND k.match_id = a.match_id AND k.side = 'p1' AND k.species_key = a.species_key AND k.stat = s.stat)
+ELSE (SELECT arg_max([lo, hi, 1], (k.turn_key, k.final)) FROM known k WHERE k.turn_key <= a.turn_key AND k.match_id = a.match_id AND k.side = a.side AND k.species_key = a.species_key AND k.stat = s.stat) END AS b FROM asked a, (SELECT unnest(['hp', 'atk', 'def', 'spa', 'spd', 'spe']) AS stat) s)
+SELECT match_id, side, species_key, stat, count(*) AS n, sum(coalesce(b[1], 0))::BIGINT AS lo, sum(coalesce(b[2], 252))::BIGINT AS hi, sum(coalesce(b[3], 0))::BIGINT AS observed FROM got GROUP BY ALL""")
+def asymmetric_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At every line, and nine later: p1's final bounds, and what had been seen of p2; of two entities, one of which is never met."""
+    hits = _line_hits(spark, sf_dir)
+    turns = hits.select("match_id", F.explode(F.array("turn_key", F.col("turn_key") + 9)).alias("turn_key")).distinct()
+    present = turns.select("*", F.explode(F.array(F.lit("p1"), F.lit("p2"))).alias("side")).select("*", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("species_key"))
+    b = inference.asymmetric(inference.fold(hits), present, "p1")
+    return b.groupBy("match_id", "side", "species_key", "stat").agg(F.count("*").alias("n"), F.sum("lo").alias("lo"), F.sum("hi").alias("hi"), F.count_if("observed").alias("observed"))
 
 
 @query("""SELECT o_orderkey, floor(o_totalprice * 10 + 0.5) / 10 AS rounded, CASE WHEN k % 9 > 0 THEN floor((k % 7) * 100.0 / (k % 9) * 10 + 0.5) / 10 ELSE 0.0 END AS pct,

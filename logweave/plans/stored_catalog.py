@@ -10,7 +10,7 @@ from logweave.sources import lines
 from logweave.sources.commits import Committed
 from logweave.sources.routed import RoutedJson
 from logweave.sources.shared import folder
-from logweave.streaming import journal, stateful
+from logweave.streaming import journal, repair, stateful
 
 
 @query("""WITH r AS (SELECT user_id, event_id, value FROM events WHERE user_id % 3 > 0 UNION ALL SELECT user_id, event_id, value * 2 FROM events WHERE user_id % 3 = 0 AND event_type = 'purchase' UNION ALL SELECT user_id, event_id, -1 FROM events WHERE event_type = 'error')
@@ -88,19 +88,20 @@ def streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events replayed as a stream, in slices of time whose rows come up to a slice late; the sessions are those of the batch operator."""
     path = folder(spark, "replay")
     e = table(spark, sf_dir, "events").where("ts is not null").select(F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"))
-    low, high = e.agg(F.min("ts"), F.max("ts")).first()
+    low, high, n = e.agg(F.min("ts"), F.max("ts"), F.count("*")).first()
     out = Committed(spark, f"{path}/out")
     if low is None:
         out.append(spark.createDataFrame([], stateful.SESSION), "replay", 0)
         return out.read()
     width = max(1.0, (high - low).total_seconds() / SLICES)
     at = F.floor((F.unix_micros("ts") - F.unix_micros(F.lit(low))) / (width * 1e6)) + F.pmod(F.xxhash64("id"), F.lit(2))
+    files = -(-n // (SLICES * 200_000))  # of a slice
     for k in range(SLICES + 2):
-        e.where(at == k).write.mode("append").parquet(f"{path}/in")
+        e.where(at == k).coalesce(files).write.mode("append").parquet(f"{path}/in")
     for _ in range(2):  # what ends the stream: rows of nobody, far ahead
         high += (high - low) + 10 * (high - low) / SLICES
         spark.createDataFrame([("", -1, high)], e.schema).coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 8).parquet(f"{path}/in")
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/in")
     with stateful.on_rocksdb(spark):
         s = stateful.sessions(stream, SESSION_GAP, SESSION_CEILING, f"{int(3 * width) + 1} seconds", max(60, int(width // 4)))
         q = s.writeStream.foreachBatch(out.sink("replay")).outputMode("append").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
@@ -126,3 +127,25 @@ def line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.rows_at(spark, path, index, wanted).join(n, "bucket").withColumn("j", F.from_json("value", "conv_id string, turn int"))
     kind = c.schema["conv_id"].dataType
     return found.select(F.substring_index("bucket", "=", -1).alias("bucket"), "ordinal", F.col("j.conv_id").cast(kind).alias("conv_id"), "j.turn", "rows", "lines")
+
+
+def _repair_round(k: int) -> str:
+    """A round of the loop in SQL: judged are groups that changed; the longest of an even group is flagged and gets one less."""
+    return f"""g{k} AS (SELECT conv_id, arg_max(turn, (n, turn)) AS turn FROM r{k} WHERE {'true' if k == 0 else f'conv_id IN (SELECT conv_id FROM g{k - 1})'} GROUP BY conv_id HAVING sum(n) % 4 > 0),
+r{k + 1} AS (SELECT r.conv_id, r.turn, n - (g.turn IS NOT NULL)::INT AS n FROM r{k} r LEFT JOIN g{k} g ON g.conv_id = r.conv_id AND g.turn = r.turn)"""
+
+
+@query(f"""WITH r0 AS (SELECT conv_id, turn, any_value(length(coalesce(text, '')))::BIGINT AS n FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn), {", ".join(map(_repair_round, range(3)))}
+SELECT conv_id, turn::INT AS turn, n FROM r2 WHERE (conv_id, turn) NOT IN (SELECT conv_id, turn FROM g2)""")
+def repair_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations whose lengths don't add up to a multiple of four have their longest turn shortened, for two rounds; those still flagged lose that turn."""
+    c = table(spark, sf_dir, "conversations").where("conv_id is not null AND turn is not null")
+    rows = c.groupBy("conv_id", F.col("turn").cast("int").alias("turn")).agg(F.any_value(F.length(F.coalesce("text", F.lit("")))).cast("long").alias("n"))
+
+    def judge(d: DataFrame) -> DataFrame:
+        g = d.groupBy("conv_id").agg(F.max_by("turn", F.struct("n", "turn")).alias("turn"), F.sum("n").alias("total"))
+        return g.where("total % 4 > 0").select("conv_id", "turn", F.lit("total").alias("reason"))
+
+    loop = repair.Repair(spark, folder(spark, "repair"), "conv_id", "turn", judge, lambda d: d.withColumn("n", F.col("n") - 1))
+    loop.run(rows, 2)
+    return loop.result()

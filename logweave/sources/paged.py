@@ -6,6 +6,11 @@ the last; 0: a single request), ``field`` (name of the list in a page; empty: th
 
 Rows: key, pos (place within the key), record (JSON text), error (null if fetched). A key that fails after all attempts
 is one row with its error, so nothing is lost silently.
+
+``spark.readStream`` follows listings that only grow, at their end. The offset of a key is its number of records; a micro-batch takes
+what is new, one partition for each ``pages_per_task`` pages, and reads the same records again if it is repeated. The
+end of a listing is found by doubling steps and halving them, so that looking costs a few requests for each key. A page that can't be fetched fails its task, which Spark
+tries again; a key whose end can't be found keeps its offset until the next batch, but fails the stream when that has just begun, since where it was isn't known then.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 RETRY = frozenset((429, 500, 502, 503, 504))
 
@@ -67,12 +72,87 @@ class PagedSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return PagedReader(dict(self.options))
 
+    def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: N802
+        return PagedStream(dict(self.options))
+
 
 class Key(InputPartition):
     def __init__(self, key: str) -> None:
         self.key = key
 
 
+class Records(InputPartition):
+    """Records ``first`` to before ``end`` of a key."""
+
+    def __init__(self, key: str, first: int, end: int) -> None:
+        self.key, self.first, self.end = key, first, end
+
+
+class Pages:
+    """Requests for pages of a listing."""
+
+    def __init__(self, options: dict) -> None:
+        self.options = o = {k.lower(): v for k, v in options.items()}
+        module, _, function = o.get("fetch", "logweave.sources.paged:http_json").partition(":")
+        self.fetch = getattr(importlib.import_module(module), function)
+        self.size, self.field, self.attempts = int(o.get("page_size", 0)), o.get("field", ""), int(o.get("attempts", 3))
+        self.keys = o.get("keys", "").split(",")
+
+    def page(self, key: str, number: int) -> list:
+        """Records of a page, from 1."""
+        got = attempt(self.fetch, self.options["url"].format(key=key, page=number), self.attempts)
+        rows = got.get(self.field, []) if self.field and isinstance(got, dict) else got
+        return rows if isinstance(rows, list) else [rows]
+
+    def end(self, key: str, known: int) -> int:
+        """Records that the key has, of which ``known`` are known."""
+        low, step = known // self.size, 1  # so many pages are full
+        while (n := len(self.page(key, low + step))) == self.size:
+            low, step = low + step, step * 2
+        high = low + step  # a page that isn't full, with n records
+        while high - low > 1:
+            at = (low + high) // 2
+            m = len(self.page(key, at))
+            low, high, n = (at, high, n) if m == self.size else (low, at, m)
+        return max(known, low * self.size + n)
+
+
+class PagedStream(DataSourceStreamReader):
+    def __init__(self, options: dict) -> None:
+        self.pages = Pages(options)
+        if not self.pages.size:
+            raise ValueError("a stream needs a page_size")
+        self.most = int(self.pages.options.get("pages_per_task", 100))
+        self.told: dict = {}
+
+    def initialOffset(self) -> dict:  # noqa: N802
+        return dict.fromkeys(self.pages.keys, 0)
+
+    def latestOffset(self) -> dict:  # noqa: N802
+        for key in self.pages.keys:
+            try:
+                self.told[key] = self.pages.end(key, self.told.get(key, 0))
+            except Exception:
+                if key not in self.told:
+                    raise
+        return dict(self.told)
+
+    def partitions(self, start: dict, end: dict) -> list[Records]:
+        size = self.most * self.pages.size
+        return [Records(k, max(first, start.get(k, 0)), min(first + size, n)) for k, n in end.items() for first in range(start.get(k, 0) // size * size, n, size) if n > start.get(k, 0)]
+
+    def read(self, partition: Records) -> Iterator[tuple]:
+        size = self.pages.size
+        for number in range(partition.first // size, -(-partition.end // size)):
+            for k, r in enumerate(self.pages.page(partition.key, number + 1)):
+                pos = number * size + k
+                if partition.first <= pos < partition.end:
+                    yield partition.key, pos, json.dumps(r), None
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.options = {k.lower(): v for k, v in options.items()}

@@ -34,7 +34,8 @@ def game_headers(raw: DataFrame, least_players: int = 2) -> DataFrame:
 def transcripts(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files without timestamps and speaker marks, white space collapsed: path, text; empty ones go."""
     raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
-    clean = F.regexp_replace("text", r"\[?[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?\]?|(?m)^\s*[A-Z][A-Za-z ]{0,30}:\s", " ")
+    clean = F.regexp_replace("text", r"\[?[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?\]?", " ")
+    clean = F.regexp_replace(clean, r"(?m)^\s*[A-Z][A-Za-z ]{0,30}:\s", " ")  # also behind a timestamp
     return raw.withColumn("text", F.trim(F.regexp_replace(clean, r"\s+", " "))).where("text <> ''")
 
 

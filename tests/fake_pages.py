@@ -11,3 +11,14 @@ def fetch(url: str):
         raise ValueError("404")
     rows = [{"id": f"{key}-{k}"} for k in range(5)]
     return {"items": rows[(int(page) - 1) * 2 : int(page) * 2]}
+
+
+def growing(url: str):
+    """Pages of two of a listing as long as the number in a file."""
+    path, page = url.rsplit("/", 1)
+    key = path.rsplit("/", 1)[1]
+    with open(path) as f:
+        n = int(f.read())
+    if n < 0:
+        raise RetryLater("away", 0.0)
+    return [{"id": f"{key}-{k}"} for k in range(n)][(int(page) - 1) * 2 : int(page) * 2]

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from logweave.plans import catalog, domain_catalog, state_catalog, stored_catalog  # noqa: F401  (registers its queries)
+from logweave.plans import catalog, domain_catalog, reached_catalog, state_catalog, stored_catalog  # noqa: F401  (registers its queries)
 
 SF = "/root/testdata/sf0.001"
 

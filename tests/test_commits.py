@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from logweave.sources import routed
 from logweave.sources.commits import Committed
 from logweave.streaming import journal as j
+from logweave.streaming import repair
 
 
 def rows(df):
@@ -179,3 +180,28 @@ def test_a_driver_that_dies_is_followed_by_one_that_recovers(spark, tmp_path):
     assert n.recover(3000, ask) == 2
     done = n.run(lambda p: p.select("item_id", F.lit("committed").alias("status"), F.lit(None).cast("string").alias("error")), 3, "third", lambda: 3000)
     assert {r["item_id"] for r in done.where("status = 'committed'").collect()} == {"0", "1", "2", "4", "5", "6", "7"}
+
+
+def test_repair_redoes_and_judges_only_what_is_flagged(spark, tmp_path):
+    data = [("a", k, 0) for k in range(3)] + [("b", k, k) for k in range(3)] + [(None, 0, 1), ("c", None, 2), ("d", 0, 9)]
+    seen = {"judged": [], "redone": []}
+
+    def judge(d):
+        seen["judged"].append({r["g"] for r in d.collect()})
+        return d.where("v > 0").select("g", "k", F.concat(F.lit("v"), F.col("v").cast("string")).alias("reason"))
+
+    def redo(d):
+        seen["redone"].append(sorted(((r["g"], r["k"], r["reason"]) for r in d.collect()), key=repr))
+        return d.where("v < 9").withColumn("v", F.col("v") - 1)
+
+    rows_ = spark.createDataFrame(data, "g string, k int, v int")
+    loop = repair.Repair(spark, str(tmp_path / "r"), "g", "k", judge, redo)
+    assert loop.run(rows_, 2) == 2
+    assert seen["judged"] == [{"a", "b", "c", "d", None}, {"b", "c", "d", None}, {"b", "c", "d"}]
+    assert seen["redone"][1] == [("b", 2, "v1"), ("c", None, "v1"), ("d", 0, "v9")]
+    assert rows(loop.result()) == sorted([("a", k, 0) for k in range(3)] + [("b", k, 0) for k in range(3)] + [(None, 0, 0), ("c", None, 0)], key=repr)
+    assert {r["g"] for r in loop.result(whole_groups=True).collect()} == {"a", "b", "c", None}
+    # a second driver finds all rounds done
+    again = repair.Repair(spark, str(tmp_path / "r"), "g", "k", judge, lambda d: 1 / 0)
+    assert again.run(rows_, 2) == 2 and rows(again.result()) == rows(loop.result())
+    assert repair.Repair(spark, str(tmp_path / "s"), "g", "k", lambda d: d.where("false").select("g", "k", F.lit("x").alias("reason")), redo).run(rows_, 5) == 0

@@ -21,6 +21,37 @@ def test_paged_source(spark):
     assert sorted((r["key"], r["error"]) for r in df if r["error"]) == [("down", "RetryLater: always"), ("gone", "ValueError: 404")]
 
 
+def test_end_of_a_listing_takes_few_requests():
+    for n in (0, 1, 49, 50, 51, 1000, 5000):
+        asked = []
+        p = paged.Pages({"url": "{key}/{page}", "page_size": "50", "keys": "k"})
+        p.fetch = lambda url, n=n: (asked.append(url), list(range(n))[(int(url[2:]) - 1) * 50 :][:50])[1]
+        for known in (0, min(n, 30), min(n, 100), n):
+            asked.clear()
+            assert p.end("k", known) == n and len(asked) <= 16
+
+
+def test_paged_stream_follows_growing_listings(spark, tmp_path):
+    spark.dataSource.register(paged.PagedSource)
+
+    def run(**sizes):
+        for k, n in sizes.items():
+            (tmp_path / k).write_text(str(n))
+        options = {"fetch": "tests.fake_pages:growing", "url": f"{tmp_path}/{{key}}/{{page}}", "keys": "a,b", "page_size": "2", "pages_per_task": "3"}
+        stream = spark.readStream.format("paged_json").options(**options).load()
+        q = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).start()
+        q.processAllAvailable()
+        q.stop()
+        got = spark.read.parquet(str(tmp_path / "out")).collect()
+        assert all(json.loads(r["record"])["id"] == f"{r['key']}-{r['pos']}" for r in got)
+        return sorted((r["key"], r["pos"]) for r in got)
+
+    assert run(a=5, b=0) == [("a", k) for k in range(5)]
+    with pytest.raises(Exception, match="away"):
+        run(a=-1, b=1)
+    assert run(a=17, b=3) == [("a", k) for k in range(17)] + [("b", k) for k in range(3)]  # more than a task
+
+
 def test_attempts_wait_longer():
     waits, calls = [], []
 
@@ -90,3 +121,39 @@ def test_command_line(spark, tmp_path):
     cli.main(["split", "--holdout", "6", str(tmp_path / "m.parquet"), str(tmp_path / "s.json")])
     got = spark.read.json(str(tmp_path / "s.json"))
     assert got.count() == 30 and got.where("split = 'holdout'").count() == 6
+
+
+def test_commands_for_rows_checks_and_usage(spark, tmp_path):
+    from logweave.sources.commits import Committed
+
+    def raw(name, ids):
+        path = tmp_path / name
+        path.write_text("\n".join(json.dumps({"id": f"r{k}", "formatid": "f", "players": ["A", "b"], "uploadtime": k, "log": LOG, "private": False}) for k in ids) + "\nbroken\n")
+        return str(path)
+
+    table, seen = str(tmp_path / "rows"), lambda: {r["game_id"]: r["n"] for r in Committed(spark, table, "game_id").read().groupBy("game_id").agg(F.count("*").alias("n")).collect()}
+    cli.main(["rows", raw("a.jsonl", (0, 1)), table])
+    first = seen()
+    assert set(first) == {"r0", "r1"} and first["r0"] > 0
+    (tmp_path / "held.txt").write_text("r3\n")
+    cli.main(["rows", "--holdout", str(tmp_path / "held.txt"), raw("b.jsonl", (0, 1, 2, 3)), table])
+    assert seen() == {f"r{k}": first["r0"] for k in range(3)}
+    prompts = [r["prompt"] for r in Committed(spark, table).read().collect()]
+    assert all(p.startswith("=== GAME STATE ===") for p in prompts)
+
+    action = {"action_type": "switch", "move": None, "target": None, "tera": False, "switch_to": "X"}
+    acts = [{"match_id": f"m{k}", "turn": k, "slot": "p1a", "action": action | ({"action_type": "move", "move": "Tackle"} if k else {}), "trapped": True, "choice_lock": "Protect" if k == 2 else "", "encored": "", "disabled": "", "known_moves": ["Tackle", "b", "c", "d"], "tera_used": False} for k in range(3)]
+    (tmp_path / "acts.jsonl").write_text("\n".join(map(json.dumps, acts)))
+    cli.main(["legality", str(tmp_path / "acts.jsonl"), str(tmp_path / "legal")])
+    assert {(r["match_id"], r["issue"]) for r in spark.read.json(str(tmp_path / "legal/issues")).collect()} == {("m0", "trapped_switch"), ("m2", "choice_locked")}
+    assert {r["check_name"]: r["n_tripped"] for r in spark.read.json(str(tmp_path / "legal/report")).collect()}["choice_locked"] == 1
+
+    rows_ = [{"match_id": "a", "user": "[p1a] Foe | HP 50%\n  Hit → Foe            20.0–10.0%", "action": json.dumps({"slot_1": {"action_type": "pass"}, "slot_2": {"action_type": "move"}})}]
+    (tmp_path / "cot.jsonl").write_text("\n".join(map(json.dumps, rows_)))
+    cli.main(["reasoning", "--keys", "match_id", str(tmp_path / "cot.jsonl"), str(tmp_path / "cot")])
+    assert {r["issue"] for r in spark.read.json(str(tmp_path / "cot/issues")).collect()} == {"matrix_ranges", "action_structure"}
+
+    months = [{"month": m, "species": "S-1", "data": {"Spreads": {"Bold:4/0/0/0/0/0": w}, "Items": {"Orb": w, "nothing": 9.0}}} for m, w in (("2024-01", 1.0), ("2024-03", 4.0))]
+    (tmp_path / "u.jsonl").write_text("\n".join(map(json.dumps, months)))
+    cli.main(["usage", "--month", "2024-02", str(tmp_path / "u.jsonl"), str(tmp_path / "u")])
+    assert {(r["field"], r["value"], r["usage_pct"]) for r in spark.read.json(str(tmp_path / "u")).collect()} == {("Spreads", "Bold:4/0/0/0/0/0", 100.0), ("Items", "Orb", 100.0)}
