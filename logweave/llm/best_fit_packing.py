@@ -38,6 +38,7 @@ import base64
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator, Mapping
@@ -86,12 +87,22 @@ def encoder(c: Config) -> Callable[[str], list[int]]:
             with open(public_tokenizers.path(c.ranks), "rb") as f:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
             fast = tiktoken.Encoding(c.ranks, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-            special = [re.escape(t.content) for t in exact.get_added_tokens_decoder().values()]
-            odd = re.compile("|".join([r"[^\t\n\r\x20-\x7e¡-ſ]", r"\s{1000}", *special])).search
-            _encoders[c] = lambda text: slow(text) if odd(text) else fast(text)
+            special = [t.content.encode() for t in exact.get_added_tokens_decoder().values()]
+            _encoders[c] = lambda text: slow(text) if odd(text.encode(), special) else fast(text)
     return _encoders[c]
 
 
+#: Bytes of the characters below U+0180, controls but for three left out; those of U+0080 to U+00A0 are looked for apart.
+PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0x80, 0xC0), *range(0xC2, 0xC6)])
+LOW = re.compile(rb"\xc2[\x80-\xa0]").search
+SPACES = bytes.maketrans(b"\t\n\r", b"   ")
+
+
+def odd(text: bytes, special: list[bytes]) -> bool:
+    """Whether only the tokenizer itself is sure to encode the text as it does."""
+    return bool(text.translate(None, PLAIN) or LOW(text) or b" " * 1000 in text.translate(SPACES) or any(s in text for s in special))
+
+
 def pieces(docs: DataFrame, c: Config) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids) of every piece."""
 
@@ -102,7 +113,7 @@ def pieces(docs: DataFrame, c: Config) -> DataFrame:
                 part = batch.slice(at, 500)
                 rows: list[tuple] = []
                 for k, text in enumerate(part.column(1).to_pylist()):
-                    ids = np.array([*encode(text or ""), c.end_id], "<u4")
+                    ids = np.frombuffer(array("I", [*encode(text or ""), c.end_id]), np.uint32).astype("<u4")
                     cuts = [0, *range((len(ids) - 1) % c.capacity + 1, len(ids), c.capacity), len(ids)]
                     for n, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)):
                         rows.append((k, n, i, j - i, zlib.crc32(ids[i:j].tobytes()), ids[i:j].astype(np.int32) if c.with_ids else None))
