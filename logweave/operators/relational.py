@@ -69,11 +69,13 @@ def nearest_match(left: DataFrame, right: DataFrame, key: str, position: str, mo
 
 
 def top_n_share(df: DataFrame, group: str, item: str, weight: str, n: int) -> DataFrame:
-    """The n heaviest items of each group with their percentage of the group's total; ties by item."""
+    """The n heaviest items of each group with their percentage of the group's total; ties by item. Each task keeps n items of a group before they meet."""
     by = df.groupBy(group, item).agg(F.sum(weight).alias("weight"))
+    total = by.groupBy(F.col(group).alias("__g")).agg(F.sum("weight").alias("__total"))
     rank = F.row_number().over(Window.partitionBy(group).orderBy(F.desc("weight"), item))
-    total = F.sum("weight").over(Window.partitionBy(group))
-    return by.withColumn("share_pct", F.try_divide(F.col("weight") * 100, total)).withColumn("rank", rank.cast("long")).where(F.col("rank") <= n)
+    top = by.withColumn("rank", rank).where(F.col("rank") <= n)
+    out = top.join(total, F.col(group).eqNullSafe(F.col("__g")))
+    return out.select(group, item, "weight", F.try_divide(F.col("weight") * 100, F.col("__total")).alias("share_pct"), F.col("rank").cast("long").alias("rank"))
 
 
 def examples_per_group(df: DataFrame, group: str, order: Sequence[Column | str], n: int) -> DataFrame:

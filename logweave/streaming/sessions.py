@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from logweave.sources.shared import Store
+
 SESSION = "key string, session long, first_id long, n int, first_ts timestamp, last_ts timestamp"
 
 
@@ -61,17 +63,12 @@ def windowed_counts(stream: DataFrame, width: str, lateness: str, keys: list[str
 
 
 def once_by_key(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink: rows whose key the table at the path hasn't yet; a repeated batch writes nothing new."""
+    """A foreachBatch sink: rows whose key the table at the path hasn't yet; a repeated batch writes nothing new. It reads the table's keys in each batch; where batches repeat only as a whole, ``Committed.sink`` doesn't."""
 
     def write(batch: DataFrame, _: int) -> None:
         new = batch.dropDuplicates(keys)
-        try:
-            have = batch.sparkSession.read.parquet(path).select(*keys).distinct()
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        else:
-            new = new.join(have, keys, "left_anti")
+        if Store(batch.sparkSession, path).names(""):
+            new = new.join(batch.sparkSession.read.parquet(path).select(*keys).distinct(), keys, "left_anti")
         new.write.mode("append").parquet(path)
 
     return write
