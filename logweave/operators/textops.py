@@ -34,6 +34,35 @@ class TextChunks:
             at, k = end, k + 1
 
 
+def _stripped(c: Column) -> Column:
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
+def sections(text: Column) -> Column:
+    """Array of (title, body): parts of a text by lines ``=== TITLE ===``; text before the first has the title null, and none if it is blank. What :class:`Sections` gives, without Python."""
+    head = r"=== (?:[^\n]* )?===[ \t\r\f]*"
+    parts = F.split(F.coalesce(text, F.lit("")), rf"(?m)(?=^{head}$)")
+
+    def part(p: Column) -> Column:
+        first = F.regexp_extract(p, rf"^({head})(?:\n|$)", 1)
+        title = F.when(first != "", _stripped(F.regexp_replace(_stripped(first), "^=+|=+$", "")))
+        return F.struct(title.alias("title"), _stripped(F.substr(p, F.length(first) + 1)).alias("body"))
+
+    return F.filter(F.transform(parts, part), lambda x: x["title"].isNotNull() | (x["body"] != ""))
+
+
+def numbered(text: Column) -> Column:
+    """Array of (rule, text): items of a numbered list, each with its continuation lines; the text before the first is rule 0, if it isn't blank. What :class:`NumberedRules` gives, without Python."""
+    head = r"[^\S\n]*([0-9]+)[.)][^\S\n]+"
+    parts = F.split(F.coalesce(text, F.lit("")), rf"(?m)(?=^{head})")
+
+    def part(p: Column) -> Column:
+        number = F.regexp_extract(p, f"^{head}", 1)
+        return F.struct(F.coalesce(number.try_cast("int"), F.lit(0)).alias("rule"), _stripped(F.regexp_replace(p, f"^{head}", "")).alias("text"))
+
+    return F.filter(F.transform(parts, part), lambda x: (x["rule"] != 0) | (x["text"] != ""))
+
+
 @F.udtf(returnType="section int, title string, body string")
 class Sections:
     """Parts of a text by lines ``=== TITLE ===``; text before the first has the title null."""

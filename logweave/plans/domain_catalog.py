@@ -208,10 +208,8 @@ def active_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT o_orderkey, 0 AS rule, 'Intro' AS text FROM orders UNION ALL SELECT o_orderkey, 1, 'first ' || o_orderkey % 7 || chr(10) || '   more' FROM orders UNION ALL SELECT o_orderkey, 2, 'second' FROM orders""")
 def numbered_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.udtf.register("numbered_rules", textops.NumberedRules)
     text = F.concat(F.lit("Intro\n1. first "), (F.col("o_orderkey") % 7).cast("string"), F.lit("\n   more\n2) second\n"))
-    listed = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("told"))
-    return spark.sql("SELECT o_orderkey, r.rule, r.text FROM {listed}, LATERAL numbered_rules(told) r", listed=listed)
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.inline(textops.numbered(text)))
 
 
 @query("""SELECT o_orderkey, best, CASE WHEN n = 3 THEN NULL WHEN sure THEN best ELSE best + 1 END AS worst FROM (SELECT *, CASE n WHEN 0 THEN 1 WHEN 3 THEN NULL ELSE n + 1 END::INT AS best FROM (SELECT o_orderkey, o_orderkey % 4 AS n, o_custkey % 2 = 0 AS sure FROM orders))""")

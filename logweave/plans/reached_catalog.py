@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logweave.domain import blocks, inference, protocol, rows, series, texts, usage
 from logweave.functions import packed
-from logweave.operators import relational, split
+from logweave.operators import relational, split, textops
 from logweave.plans.catalog import query, table
 from logweave.plans.domain_catalog import _FOLD, _LABELS, _STATES, _line_hits, event_logs
 from logweave.plans.state_catalog import _PACKED
@@ -146,9 +146,7 @@ def latest_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.latest_month(o, "month", "1997-05").select("o_orderkey", "month")
 
 
-@query(
-    """WITH d AS (SELECT doc_id, text FROM documents WHERE doc_id IS NOT NULL) SELECT count(*)::BIGINT AS held, (SELECT count(*) FROM d WHERE doc_id % 10 > 0)::BIGINT AS train FROM (SELECT DISTINCT doc_id FROM d WHERE doc_id % 10 = 0)"""
-)
+@query("SELECT doc_id::VARCHAR AS id FROM documents WHERE doc_id % 10 > 0")
 def holdout_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids written as holdout lists, in lines of text and as JSON, read back and left out."""
     path = folder(spark, "holdout")
@@ -158,7 +156,7 @@ def holdout_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("part") % 3 == 0, F.array_join("ids", "\n")).when(F.col("part") % 3 == 1, F.to_json("ids")).otherwise(F.to_json(F.struct(F.col("ids").alias("holdout"))))
     listed.select("part", text.alias("value")).write.partitionBy("part").text(path)
     out = readers.excluded_ids(spark, path)
-    return relational.without(d, out, ["id"]).agg(F.count("*").alias("train")).select(F.lit(out.count()).alias("held"), "train")
+    return relational.without(d, out, ["id"])
 
 
 @query("SELECT count(*)::BIGINT AS n, sum(s_suppkey)::BIGINT AS ids, true AS clean FROM supplier WHERE s_suppkey % 9 > 0")
@@ -224,3 +222,12 @@ def game_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = event_logs(spark, sf_dir)
     k = F.col("game_id").cast("long") % 3
     return protocol.winners(logs.withColumn("log", F.concat("log", F.lit("\n"), F.when(k > 0, F.concat(F.lit("|win|P"), k.cast("string"))).otherwise("|tie"))))
+
+
+@query(
+    """SELECT o_orderkey, unnest(CASE WHEN k > 0 THEN ['', 'ONE', 'TWO ' || k] ELSE ['ONE', 'TWO ' || k] END) AS title, unnest(CASE WHEN k > 0 THEN ['before', 'body ' || o_custkey, ''] ELSE ['body ' || o_custkey, ''] END) AS body FROM (SELECT o_orderkey, o_custkey, o_orderkey % 3 AS k FROM orders)"""
+)
+def titled_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey") % 3
+    text = F.concat(F.when(k > 0, "before\n").otherwise(" \n"), F.lit("=== ONE ===\nbody "), F.col("o_custkey").cast("string"), F.lit("\n\n=== TWO "), k.cast("string"), F.lit(" ===\n"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.inline(textops.sections(text))).withColumn("title", F.coalesce("title", F.lit("")))

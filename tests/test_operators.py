@@ -176,3 +176,18 @@ def test_stratified_split_with_null_strata_and_one_large(spark):
     df = spark.range(3000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN NULL WHEN id % 10 = 1 THEN 's' ELSE 'l' END AS s")
     got = {(r["s"], r["split"]): r["count"] for r in split.stratified_split(df, "id", "s", 301, 7).groupBy("s", "split").count().collect()}
     assert got == {(None, "holdout"): 30, (None, "train"): 270, ("s", "holdout"): 30, ("s", "train"): 270, ("l", "holdout"): 241, ("l", "train"): 2159}
+
+
+def test_sections_and_rules_without_python(spark):
+    import random
+
+    rng = random.Random(4)
+    bits = ["=== A ===", "=== B C ===  ", "=== ===", "==== no ====", "=== open", "1. one", "  2) two", "3.no", "0. zero", "text", "", "   ", "\tmore", "12.  twelve", "=== = ==="]
+    texts_ = ["\n".join(rng.choice(bits) for _ in range(rng.randint(0, 9))) for _ in range(400)] + ["", None]
+    d = spark.createDataFrame(list(enumerate(texts_)), "k int, t string")
+    got = d.select("k", textops.sections(F.col("t")).alias("s"), textops.numbered(F.col("t")).alias("n")).collect()
+    for r in got:
+        want = [(t, b) for _, t, b in textops.Sections.func().eval(texts_[r["k"]])]
+        assert [(x["title"], x["body"]) for x in r["s"]] == want, texts_[r["k"]]
+        rules = [(n, t) for n, t in textops.NumberedRules.func().eval(texts_[r["k"]])]
+        assert [(x["rule"], x["text"]) for x in r["n"]] == [x for x in rules if x != (0, "")], texts_[r["k"]]
