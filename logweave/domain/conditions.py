@@ -1,6 +1,6 @@
 r"""Timed conditions and volatile effects of a protocol log, with the turns that are left.
 
-A condition belongs to the field, to a side or to the Pokémon in a slot. Its marks become intervals
+A condition belongs to the field, to a side or to who is in a slot. Its marks become intervals
 (:mod:`logweave.operators.spans`), which end with an end line, a restart, a switch or a faint, or when the longest
 duration is over. Time is counted in ``|upkeep|`` lines, so what begins after a turn's upkeep isn't a turn
 older at the next turn; logs without any are counted in turns.
@@ -8,7 +8,7 @@ older at the next turn; logs without any are counted in turns.
 - A second layer of what has layers adds a level; layers have no duration.
 - A ``[upkeep]`` weather line only repeats what holds. Another weather or terrain takes the place of the one before.
 - ``|-swapsideconditions|`` exchanges the sides' conditions with their time: they are kept by lane, and a lane's side is read off at every turn.
-- A volatile effect ends when its Pokémon leaves, but for a Baton Pass.
+- A volatile effect ends when its occupant leaves, but for a Baton Pass.
 
 :func:`timed` gives one row per turn and condition that holds when the turn begins: game_id, turn, scope (field, p1,
 p2, or a slot), name, value, level, since_turn, turns_left (by the shorter duration, null once that is over), turns_left_max (by the longer one;
@@ -55,7 +55,7 @@ DURATIONS = {
 }
 #: The most layers of side conditions.
 LAYERS = {"Spikes": 3, "Stealth Rock": 1, "Sticky Web": 1, "Toxic Spikes": 2}
-#: Turns left to a Pokémon that has heard the song.
+#: Turns left to an occupant that has heard the song.
 COUNTS = {"perish1": "1", "perish2": "2", "perish3": "3"}
 
 
@@ -74,7 +74,7 @@ def clocked(logs: DataFrame) -> DataFrame:
 
 
 def leaves() -> Column:
-    """The slot's Pokémon changes, and takes its effects with it."""
+    """The slot's occupant changes, and takes its effects with it."""
     return tag_is("switch", "drag") & (F.coalesce(protocol.keyword("from"), F.lit("")) != "Baton Pass")
 
 

@@ -1,12 +1,12 @@
 r"""Who really is in a slot: illusions undone backward, formes and transformations carried forward.
 
-A ``|replace|`` line says that the slot's Pokémon has been another one since it came in. :func:`corrected`
+A ``|replace|`` line says that the slot's occupant has been another one since it came in. :func:`corrected`
 rewrites the lines of that stint from its beginning: the name and species of the line that brought it in, the names of its
 own lines, and who is named. The replace line itself becomes ``-unmasked``, since nobody was switched.
 
-A ``-formechange`` holds until the Pokémon leaves, a ``detailschange`` for the rest of the game, also when it
+A ``-formechange`` holds until the occupant leaves, a ``detailschange`` for the rest of the game, also when it
 comes back; both are carried forward only. A ``-transform`` makes it look like the one in another slot, until it leaves.
-A Pokémon is an *individual*: game, side and its true name. :func:`individuals` unites all species names that one had,
+An occupant is an *individual*: game, side and its true name. :func:`individuals` unites all species names that one had,
 those of its formes included, those that it only pretended to be not.
 
 Everything is windows over a stint, a slot or an individual of one game. Logs without such lines come out as they went in, with
@@ -65,7 +65,7 @@ def corrected(d: DataFrame) -> DataFrame:
 
 
 def with_looks(d: DataFrame) -> DataFrame:
-    """Adds looks_like: the species that a transformed Pokémon looks like, read off the other slot when it transforms."""
+    """Adds looks_like: the species that a transformed occupant looks like, read off the other slot when it transforms."""
     asks = d.where(tag_is("-transform")).select("game_id", "pos", scalars.slot_of(arg(1)).alias("slot")).withColumn("ask", F.lit(True))
     u = d.where("slot is not null").select("game_id", "pos", "slot", "named").unionByName(asks, allowMissingColumns=True)
     seen = F.last("named", ignorenulls=True).over(sequence.before([*GAME, "slot"], POS))
