@@ -392,10 +392,12 @@ SELECT match_id, side, species_key, stat, count(*) AS n, sum(coalesce(b[1], 0)):
 def asymmetric_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """At every line, and nine later: p1's final bounds, and what had been seen of p2; of two entities, one of which is never met."""
     hits = _line_hits(spark, sf_dir)
-    turns = hits.select("match_id", F.explode(F.array("turn_key", F.col("turn_key") + 9)).alias("turn_key")).distinct()
+    turns = hits.select("match_id", F.explode(F.array("turn_key", F.col("turn_key") + 9)).alias("turn_key")).repartition("match_id").distinct()
     present = turns.select("*", F.explode(F.array(F.lit("p1"), F.lit("p2"))).alias("side")).select("*", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("species_key"))
-    b = inference.asymmetric(inference.fold(hits), present, "p1")
-    return b.groupBy("match_id", "side", "species_key", "stat").agg(F.count("*").alias("n"), F.sum("lo").alias("lo"), F.sum("hi").alias("hi"), F.count_if("observed").alias("observed"))
+    b = inference.asymmetric_entities(inference.entities(hits), present, "p1")
+    totals = [F.struct(F.lit(stat).alias("stat"), F.sum(F.get("los", F.lit(k))).alias("lo"), F.sum(F.get("his", F.lit(k))).alias("hi")) for k, stat in enumerate(inference.STATS)]
+    t = b.groupBy("match_id", "side", "species_key").agg(F.count("*").alias("n"), F.count_if("observed").alias("observed"), F.array(*totals).alias("totals"))
+    return t.select("match_id", "side", "species_key", "n", "observed", F.explode("totals").alias("s")).select("match_id", "side", "species_key", "s.stat", "n", "s.lo", "s.hi", "observed")
 
 
 @query("""SELECT o_orderkey, floor(o_totalprice * 10 + 0.5) / 10 AS rounded, CASE WHEN k % 9 > 0 THEN floor((k % 7) * 100.0 / (k % 9) * 10 + 0.5) / 10 ELSE 0.0 END AS pct,
@@ -504,7 +506,7 @@ def two_way_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.cast("string").alias("match_id"), F.lit(1).cast("long").alias("turn_key"), F.lit(0).alias("event_pos"), F.lit("p1").alias("attacker_side"), F.lit("a").alias("attacker"), F.lit("p2").alias("defender_side"), F.lit("b").alias("defender"),
         F.when(F.col("o_custkey") % 2 == 0, "Physical").otherwise("Special").alias("category"), F.lit(80.0).alias("power"), F.lit(100.0).alias("hp_before_pct"), (F.lit(100.0) - (k % 53 + 12).cast("double")).alias("hp_after_pct"), (k % 13 == 0).alias("is_ko"),
     )
-    return inference.fold(e).where("final").select("match_id", "side", "stat", "lo", "hi")
+    return inference.fold(e, turns=False).select("match_id", "side", "stat", "lo", "hi")
 
 
 _ITEM_LINES = (

@@ -24,7 +24,7 @@ FROM lineitem CROSS JOIN (SELECT unnest(['p1', 'p2']) AS side) s LEFT JOIN l ON
 def spread_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is known of each side's investments at the end: all of the own team, of the other one only what was inferred."""
     hits = _line_hits(spark, sf_dir)
-    final = inference.fold(hits).where("final").select("match_id", "side", "species_key", "stat", "lo", "hi")
+    final = inference.fold(hits, turns=False).select("match_id", "side", "species_key", "stat", "lo", "hi")
     roster = hits.select("match_id").distinct().select("match_id", F.explode(F.array(F.lit("p1"), F.lit("p2"))).alias("side")).select("*", F.posexplode(F.array(F.lit("A"), F.lit("B"), F.lit("a"))).alias("pos", "species"))
     lines = blocks.spread_lines(roster, final, ["match_id", "side"])
     own = blocks.spread_block(lines.where("side = 'p1'"), ["match_id", "side"], "YOUR SPREADS", False)

@@ -253,3 +253,22 @@ def test_row_checks(spark):
     ]
     got = sorted((r["id"], r["issue"]) for r in quality.issues(spark.createDataFrame(rows, schema), texts.row_checks(), ["id"]).collect())
     assert got == [(2, "calls_answered"), (2, "leak"), (2, "template_leftovers"), (3, "one_submit"), (3, "prompt_sections")]
+
+
+def test_asymmetric_keeps_entities_whole_and_shuffles_a_match_once(spark):
+    rows = [("m", t, 0, "p1", "a", "p2", "b", "Physical", 80.0, 100.0, 100.0 - 20 * t, False) for t in (1, 2)] + [("n", 1, 0, None, "a", "p2", None, "Special", 80.0, 100.0, 60.0, False)]
+    hits = spark.createDataFrame(rows, "match_id string, turn_key long, event_pos int, attacker_side string, attacker string, defender_side string, defender string, category string, power double, hp_before_pct double, hp_after_pct double, is_ko boolean")
+    known = inference.entities(hits)
+    present = spark.createDataFrame([("m", t, s, k) for t in (1, 2, 3) for s in ("p1", "p2") for k in ("a", "b")] + [("n", 2, None, "a"), ("n", 2, "p2", None)], "match_id string, turn_key long, side string, species_key string")
+    wide = inference.asymmetric_entities(known, present, "p1")
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan  # no row for each stat is shuffled or sorted
+    table = {(r["match_id"], r["turn_key"], r["final"], r["side"], r["species_key"], r["stat"]): (r["lo"], r["hi"]) for r in inference.fold(hits).collect()}
+    assert {k: v for k, v in table.items() if k[2]} == {(*[r[c] for c in ("match_id", "turn_key", "final", "side", "species_key", "stat")],): (r["lo"], r["hi"]) for r in inference.fold(hits, turns=False).collect()}
+    got = inference.asymmetric(known, present, "p1").collect()
+    assert len(got) == 14 * len(inference.STATS)
+    for r in got:
+        mine = {k[1]: v for k, v in table.items() if (k[0], k[3], k[4], k[5]) == (r["match_id"], r["side"], r["species_key"], r["stat"]) and (k[2] or r["side"] != "p1")}
+        told = [v for t, v in sorted(mine.items()) if r["side"] == "p1" or t <= r["turn_key"]]
+        assert (r["lo"], r["hi"]) == (told[-1] if told else (0, inference.MOST)), r
+        assert r["observed"] == bool(told)
