@@ -7,6 +7,8 @@ Names are packed without spaces and get them back before capitals and around num
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,12 +27,15 @@ def _some(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def _once(c: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(c), then), F.lit(0))
+
+
 def _spread(c: Column, default: int) -> Column:
     """Values by stat; null unless one differs from the default."""
-    at = F.split(c, ",")
-    values = [F.coalesce(F.get(at, k).try_cast("int"), F.lit(default)) for k in range(len(STATS))]
-    differs = F.exists(F.array(*values), lambda v: v != default)
-    return F.when(differs, F.create_map(*[x for name, v in zip(STATS, values, strict=True) for x in (F.lit(name), v)]))
+    values = _once(F.split(c, ","), lambda at: F.array(*[F.coalesce(F.get(at, k).try_cast("int"), F.lit(default)) for k in range(len(STATS))]))
+    return F.when(c != "", _once(values, lambda v: F.when(F.exists(v, lambda x: x != default), F.map_from_arrays(F.array(*map(F.lit, STATS)), v))))
 
 
 def sets(packed: Column) -> Column:
@@ -53,8 +58,15 @@ def sets(packed: Column) -> Column:
             _spread(field(8), 31).alias("ivs"),
         )
 
-    whole = (F.size(parts) > 0) & ~F.exists(parts, lambda f: F.size(f) < FIELDS)
-    return F.when(whole, F.transform(parts, one)).cast(f"array<{SET}>")
+    def every(p: Column) -> Column:
+        return F.when((F.size(p) > 0) & ~F.exists(p, lambda f: F.size(f) < FIELDS), F.transform(p, one))
+
+    return _once(parts, every).cast(f"array<{SET}>")
+
+
+def decoded(packed: Column) -> Column:
+    """:func:`sets` as a generated column, one row for each row: filters and later expressions use its value instead of computing it again."""
+    return F.explode(F.array(sets(packed)))
 
 
 def pack(teams: Column) -> Column:

@@ -32,6 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows that are few bytes but much work, dealt over all cores: a small file is one task otherwise."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def is_type(name: str) -> Column:
     return F.col("event_type") == name
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from logweave.domain import conditions, identity, protocol
 from logweave.functions import packed
 from logweave.operators import sequence
-from logweave.plans.catalog import query, table
+from logweave.plans.catalog import query, spread, table
 
 _BEGIN = "CASE WHEN event_id % 7 > 0 THEN '|upkeep' || chr(10) ELSE '' END || '|turn|' || n"
 _SIDE = "CASE event_id % 3 WHEN 0 THEN 'move: Tailwind' WHEN 1 THEN 'Reflect' ELSE 'Spikes' END"
@@ -141,7 +141,7 @@ UNION ALL SELECT k, 2, 'Solo', '', ',,,', NULL, 50, NULL, NULL, NULL, NULL, NULL
 SELECT k AS p_partkey, place, species, item, moves, tera_type, level, gender, nature, hp, spe, atk_iv, 1 AS same FROM s""")
 def packed_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded sets; ``same``: encoding and decoding once more gives the same sets."""
-    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_partkey").alias("k")).select("p_partkey", packed.sets(F.expr(_PACKED)).alias("team"))
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", F.col("p_partkey").alias("k")), "p_partkey").select("p_partkey", packed.decoded(F.expr(_PACKED)).alias("team"))
     p = p.withColumn("same", (packed.sets(packed.pack(F.col("team"))).cast("string") == F.col("team").cast("string")).cast("int"))
     s = p.select("p_partkey", "same", F.posexplode("team").alias("place", "s"))
     return s.select("p_partkey", (F.col("place") + 1).alias("place"), "s.species", "s.item", F.array_join("s.moves", ",").alias("moves"), "s.tera_type", "s.level", "s.gender", "s.nature", F.col("s.evs.hp").alias("hp"), F.col("s.evs.spe").alias("spe"), F.col("s.ivs.atk").alias("atk_iv"), "same")
