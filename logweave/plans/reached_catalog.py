@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from logweave.domain import blocks, inference, protocol, rows, series, texts, usage
 from logweave.functions import packed
 from logweave.operators import relational, split, textops
-from logweave.plans.catalog import query, table
+from logweave.plans.catalog import query, spread, table
 from logweave.plans.domain_catalog import _FOLD, _LABELS, _STATES, _line_hits, event_logs
 from logweave.plans.state_catalog import _PACKED
 from logweave.sources import readers
@@ -36,8 +36,8 @@ def spread_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 || CASE WHEN p_partkey % 4 = 1 THEN chr(10) || '  Solo @ ?, ability=?, tera=?' || chr(10) || '      moves: ' ELSE '' END || chr(10) || '{other}' AS prompt, CASE WHEN p_partkey % 7 < 4 THEN 4 - p_partkey % 7 ELSE 0 END::INT AS unknown FROM part WHERE p_partkey % 4 <> 2"""
 )
 def team_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"))
-    p = p.withColumn("team", packed.sets(F.expr(_PACKED))).where("team is not null")
+    p = spread(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")), "k")
+    p = p.select("k", packed.decoded(F.expr(_PACKED)).alias("team")).where("team is not null")
     brought = F.when(F.col("k") % 2 == 0, F.array(F.concat(F.lit("mon"), (F.col("k") % 3).cast("string"), F.lit("a"))))
     prompt = blocks.system_prompt("Team:\n{team}\n{other}", team=blocks.sheet(F.col("team"), brought))
     return p.select("k", prompt.alias("prompt"), F.size(blocks.placeholders(F.col("k") % 7, F.col("k") % 2 == 0)).alias("unknown"))

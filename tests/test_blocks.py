@@ -52,3 +52,15 @@ def test_packed_teams(spark):
             assert s["ivs"] == (dict.fromkeys(packed.STATS, 31) | {"atk": 0} if f[8] == ",0,,,," else None)
             assert s["tera_type"] == (f[11].split(",")[5] if f[11] else None)
     assert got[0]["t"] is not None and all(got[len(teams) + k]["t"] is None for k in range(len(bad)))
+
+
+def test_team_queries_decode_once_over_all_cores(spark):
+    from logweave.plans import catalog
+
+    for name in ("packed_teams", "team_sheets"):
+        d = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+        plan = d._jdf.queryExecution().optimizedPlan().toString()
+        head, dealt, scan = plan.partition("RepartitionByExpression")
+        assert dealt and "split" not in scan  # no filter decodes before the rows are dealt
+        assert head.count("SafetyGoggles") == 1
+        assert d.count() > 0
