@@ -165,7 +165,7 @@ def transcript_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = folder(spark, "transcripts")
     k = F.col("s_suppkey")
     text = F.when(k % 9 > 0, F.concat(F.lit("[00:0"), (k % 10).cast("string"), F.lit("] Speaker A: first  line\n1:23 text "), k.cast("string"), F.lit("\n   "))).otherwise(" \n [00:12] \n")
-    table(spark, sf_dir, "supplier").select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    spread(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey").select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     raw = readers.transcripts(spark, path)
     words = F.regexp_extract("text", r"text (\d+)", 1).try_cast("long")
     return raw.agg(F.count("*").alias("n"), F.sum(words).alias("ids"), F.bool_and(~F.col("text").rlike(r"\d:\d|Speaker|\s\s")).alias("clean"))

@@ -64,3 +64,12 @@ def test_team_queries_decode_once_over_all_cores(spark):
         assert dealt and "split" not in scan  # no filter decodes before the rows are dealt
         assert head.count("SafetyGoggles") == 1
         assert d.count() > 0
+
+
+def test_transcripts_are_written_by_all_cores(spark, tmp_path, monkeypatch):
+    from logweave.plans import reached_catalog
+
+    monkeypatch.setattr(reached_catalog, "folder", lambda s, name: str(tmp_path / name))
+    reached_catalog.transcript_files(spark, "/root/testdata/sf0.01").collect()
+    tasks = {p.name.split("-")[1] for p in (tmp_path / "transcripts").glob("part-*")}
+    assert len(tasks) > min(2, spark.sparkContext.defaultParallelism)
