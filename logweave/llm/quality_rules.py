@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.llm import textbytes as tb
-from logweave.llm.common import labelled_sample, read, removed, written
+from logweave.llm.common import BROADCAST_ROWS, read, removed, written
 
 
 @dataclass(frozen=True)
@@ -76,8 +76,6 @@ class Bands:
 
 @dataclass(frozen=True)
 class Fit:
-    #: Labelled rows of good quality that the bands are drawn from, at most.
-    rows: int = 4000
     #: Share of good rows that may lie below the lower limit of a fitted curve, and above the upper one.
     loss: float = 0.002
     #: Good rows within three quarters of a doubling that a length needs for limits of its own; and good chunks for a chunks' band.
@@ -154,19 +152,28 @@ def _room(values: np.ndarray, weight: np.ndarray, f: Fit) -> tuple[float, float,
     return mid, lo - f.room[0] * (mid - lo), hi + f.room[1] * (hi - mid)
 
 
+def _median(values: np.ndarray, weight: np.ndarray) -> float:
+    """Median of values that occur ``weight`` times."""
+    order = np.argsort(values)
+    upto = np.cumsum(weight[order])
+    return float(values[order][[np.searchsorted(upto, upto[-1] / 2), np.searchsorted(upto, upto[-1] / 2, "right")]].mean())
+
+
 def drawn(whole: np.ndarray, chunks: np.ndarray, bands: Bands, f: Fit) -> Bands:
-    """``bands`` drawn closer to good rows: ``whole`` has (bytes, ratio), ``chunks`` (ratio, times)."""
+    """``bands`` drawn closer to good rows: ``whole`` has (bytes, ratio) and, unless each counts once, times; ``chunks`` (ratio, times)."""
     x, r = np.log2(whole[:, 0]), whole[:, 1]
+    times = whole[:, 2] if whole.shape[1] > 2 else np.ones(len(whole))
     knots = np.arange(math.floor(2 * x.min()), math.ceil(2 * x.max()) + 1) / 2 if len(x) else np.zeros(0)
     near = [(k, np.abs(x - k) <= 0.75) for k in knots]
-    near = [(k, at) for k, at in near if at.sum() >= f.least]
+    near = [(k, at) for k, at in near if times[at].sum() >= f.least]
     curve = []
     if near:
         # The ratio falls with the length: rows are moved along the medians' line to the knot.
-        middle = np.array([np.median(r[np.abs(x - k) <= 0.25]) if (np.abs(x - k) <= 0.25).any() else np.median(r[at]) for k, at in near])
+        close = [at & (np.abs(x - k) <= 0.25) for k, at in near]
+        middle = np.array([_median(r[c], times[c]) if c.any() else _median(r[at], times[at]) for c, (_, at) in zip(close, near, strict=True)])
         level = np.interp(x, [k for k, _ in near], middle)
         for (k, at), m in zip(near, middle, strict=True):
-            lo, hi = _room(r[at] - level[at] + m, np.ones(at.sum()), f)[1:]
+            lo, hi = _room(r[at] - level[at] + m, times[at], f)[1:]
             least, most = bands.limits(max(1, round(2**k)))
             curve.append((float(k), max(float(lo), least), min(float(hi), most)))
     chunk = bands.chunk
@@ -177,28 +184,36 @@ def drawn(whole: np.ndarray, chunks: np.ndarray, bands: Bands, f: Fit) -> Bands:
 
 
 def fitted(docs: DataFrame, labels: DataFrame, wanted: Column | None = None, bands: Bands = Bands(), f: Fit = Fit()) -> Bands:
-    """Bands drawn from at most ``f.rows`` labelled rows (labels.quality = 1) that pass the base; ``wanted`` is a condition on labels.doc_id."""
-    sample, _ = labelled_sample(docs, labels, "quality", F.lit(True) if wanted is None else wanted, {1: f.rows}, "quality-sample")
+    """Bands drawn from all labelled rows (labels.quality = 1) that pass the base; ``wanted`` is a condition on labels.doc_id.
+
+    Tasks measure the rows; what reaches the driver is how many of them have a length, to a 32nd of a doubling, and a ratio, to a
+    thousandth. Rows that share a labelled id all count. Ids are broadcast, after counting, or rows meet them by shuffle once they are measured.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    good = labels.where((F.col("quality") == 1) & (F.lit(True) if wanted is None else wanted)).select(F.col("doc_id").try_cast(kind).alias("doc_id")).where("doc_id is not null").distinct()
+    few = good.count() <= BROADCAST_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=bands.level)
         for batch in batches:
-            for s in tb.slices(batch.column(0)):
-                n, ratio, parts = [], [], []
-                for k in np.flatnonzero(~failing(base_counts(s))):
+            for s in tb.slices(batch.column(1)):
+                at, n, ratio, parts = np.flatnonzero(~failing(base_counts(s))), [], [], []
+                for k in at:
                     text = s.text(k)
-                    n.append(len(text))
-                    ratio.append(len(pack.compress(text)) / len(text))
+                    n.append(round(32 * math.log2(len(text))))
+                    ratio.append(round(1000 * len(pack.compress(text)) / len(text)))
                     view = memoryview(text)
-                    parts.append([round(1000 * len(pack.compress(view[at : at + bands.chunk_bytes])) / bands.chunk_bytes) for at in range(0, len(text) - bands.chunk_bytes + 1, bands.chunk_bytes)])
-                yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(ratio, pa.float64()), pa.array(parts, pa.list_(pa.int32()))], ["n", "ratio", "chunks"])
-
-    seen = written(sample.select("text").mapInArrow(run, "n long, ratio double, chunks array<int>"), "quality-ratios")
-    whole = seen.select("n", "ratio").collect()  # f.rows at most
+                    parts.append([round(1000 * len(pack.compress(view[i : i + bands.chunk_bytes])) / bands.chunk_bytes) for i in range(0, len(text) - bands.chunk_bytes + 1, bands.chunk_bytes)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at + s.first)), pa.array(n, pa.int32()), pa.array(ratio, pa.int32()), pa.array(parts, pa.list_(pa.int32()))], ["doc_id", "n", "ratio", "chunks"])
+
+    rows = docs.select("doc_id", "text")
+    rows = rows.join(F.broadcast(good), "doc_id", "left_semi") if few else rows
+    seen = rows.mapInArrow(run, f"doc_id {kind}, n int, ratio int, chunks array<int>")
+    seen = written(seen if few else seen.join(good, "doc_id", "left_semi"), "quality-ratios")
+    whole = seen.groupBy("n", "ratio").count().collect()
     chunks = seen.select(F.explode("chunks").alias("r")).groupBy("r").count().collect()  # thousandths of a ratio
-    removed(sample)
     removed(seen)
-    return drawn(np.array([tuple(x) for x in whole], float).reshape(-1, 2), np.array([(x["r"] / 1000, x["count"]) for x in chunks], float).reshape(-1, 2), bands, f)
+    return drawn(np.array([(2 ** (x["n"] / 32), x["ratio"] / 1000, x["count"]) for x in sorted(whole)], float).reshape(-1, 3), np.array([(x["r"] / 1000, x["count"]) for x in chunks], float).reshape(-1, 2), bands, f)
 
 
 def bands_for(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Bands:

@@ -121,3 +121,15 @@ def test_bands_without_good_rows_are_the_default(spark):
     assert q.fitted(df, none) == q.Bands() == q.fitted(df.limit(0), none.limit(0))
     wide = q.drawn(np.array([(2000.0, 0.5)] * 30), np.zeros((0, 2)), q.Bands(), q.Fit())
     assert wide == q.Bands()  # fewer rows than a length needs
+
+
+def test_bands_come_from_every_labelled_row(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    seen = []
+    monkeypatch.setattr(q, "drawn", lambda whole, chunks, bands, f: seen.append(whole) or bands)
+    q.fitted(docs, labels)
+    monkeypatch.setattr(q, "BROADCAST_ROWS", 0)
+    q.fitted(docs, labels)
+    want = q.quality_rules(docs).where("not base_failed").count()
+    assert [w[:, 2].sum() for w in seen] == [want, want]
