@@ -102,8 +102,8 @@ def streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         high += (high - low) + 10 * (high - low) / SLICES
         spark.createDataFrame([("", -1, high)], e.schema).coalesce(1).write.mode("append").parquet(f"{path}/in")
     stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/in")
-    with stateful.on_rocksdb(spark):
-        s = stateful.sessions(stream, SESSION_GAP, SESSION_CEILING, f"{int(3 * width) + 1} seconds", max(60, int(width // 4)))
+    with stateful.on_rocksdb(spark, n):
+        s = stateful.sessions(stream, SESSION_GAP, SESSION_CEILING, f"{int(3 * width) + 1} seconds", max(60, int(width // 4)), max(64, n // 10_000))
         q = s.writeStream.foreachBatch(out.sink("replay")).outputMode("append").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
     kind = "timestamp_ntz" if "ntz" in dict(table(spark, sf_dir, "events").dtypes)["ts"] else "timestamp"

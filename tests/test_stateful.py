@@ -55,3 +55,32 @@ def test_shuffled_batches_and_a_restart_equal_the_batch_operator(spark, tmp_path
     want = batch.groupBy("key", "session").agg(F.min_by("id", F.struct("ts", "id")).alias("first_id"), F.count("*").alias("n"), F.min("ts").alias("a"), F.max("ts").alias("b")).collect()
     assert sorted(got, key=repr) == sorted(((None if r["key"] is None else str(r["key"]), r["session"], r["first_id"], r["n"], r["a"], r["b"]) for r in want), key=repr)
     assert table.last_number("s") > 5
+
+
+class Counted:
+    """Stands in for the handle and its states, and counts their calls."""
+
+    def __init__(self):
+        self.calls, self.value, self.slots, self.timers = 0, None, {}, set()
+
+    def __getattr__(self, name):
+        def call(*x):
+            self.calls += 1
+            return {"get": lambda: self.value, "update": lambda v: setattr(self, "value", v), "getValue": lambda k: self.slots.get(k), "updateValue": self.slots.__setitem__, "keys": lambda: [*self.slots], "removeKey": self.slots.pop, "registerTimer": self.timers.add, "getValueState": lambda *_: self, "getMapState": lambda *_: self}[name](*x)
+
+        return call
+
+
+class At:
+    def __init__(self, at):
+        self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: at
+
+
+def test_calls_to_the_state_do_not_grow_with_the_keys():
+    s, h = stateful.Sessions(1800, 3, 900), Counted()
+    s.init(h)
+    rows = [(0, f"k{k}", 10 * k + j, j * 1_000_000, None) for k in range(500) for j in range(4)]
+    assert not [*s.handleInputRows((0,), iter(rows), At(0))]
+    closed = [x for at in (900_000, 10_000_000) for due in sorted(t for t in h.timers if t <= at) for x in s.handleExpiredTimer((0,), At(at), At(due))]
+    assert sorted((x["key"], x["session"], x["first_id"], x["n"]) for x in closed) == sorted((f"k{k}", *x) for k in range(500) for x in ((1, 10 * k, 3), (2, 10 * k + 3, 1)))
+    assert h.calls < 40 and not h.slots
