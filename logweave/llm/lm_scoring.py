@@ -16,8 +16,9 @@ The model grows with the corpus, the broadcast doesn't: the filter holds the ``m
 all others stay in hash buckets of a table in the shared folder: a slice of texts sends each bucket the
 distinct n-grams that the filter doesn't hold, with the rows they are in, and gets back sums for each
 row. So ``max_pairs`` decides only where a pair is looked up; every word's count and every pair's that
-the smoothing uses reach the score at any size. Pairs are of words of the vocabulary (``max_words``,
-the most frequent); rarer words have shares of their own but no pairs. ``base_score`` uses exact counts.
+the smoothing uses reach the score at any size. Pairs with a word beyond the vocabulary (``max_words``, the
+most frequent) are counted and joined with their words' counts as rows; what each of them, and each such history,
+adds to a score stays in the same buckets. So ``max_words`` decides only that, too (``all_pairs``). ``base_score`` uses exact counts.
 
 Null texts are empty: one end, so n_tokens is 1. Rows are told apart, so repeated rows repeat their
 result (and count twice in training). Null ids count as empty text for the remainder. With no
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.llm import textbytes as tb
-from logweave.llm.common import read, remainder, written
+from logweave.llm.common import read, remainder, removed, written
 
 _U = np.uint64
 END, BEGIN = _U(0x656E64), _U(0x626567696E)
@@ -47,10 +48,12 @@ LOW32 = _U(0xFFFFFFFF)
 
 @dataclass(frozen=True)
 class Config:
-    #: The vocabulary: the most frequent words; the broadcast's bound.
+    #: The vocabulary: the most frequent words; the broadcast's bound. The others, and their pairs, are looked up by a shuffle.
     max_words: int = 500_000
     #: Pairs in the broadcast filter, at most; the others are looked up by a shuffle.
     max_pairs: int = 1_000_000
+    #: Whether words beyond the vocabulary have pairs too, as in op7; else they only have shares of their own.
+    all_pairs: bool = False
     #: Count from which a pair has a probability of its own.
     least_pair: int = 2
     #: Levels to a doubling of the count.
@@ -346,6 +349,12 @@ class Model:
     def score(self, h: np.ndarray, row: np.ndarray, at: np.ndarray, ok: np.ndarray) -> np.ndarray:
         return self.look(h, row, at, ok)[0]
 
+    def weights(self, history: np.ndarray, stored: np.ndarray, covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Levels of the denominator and of the back-off weight of histories that occur ``history`` times."""
+        den = np.ceil(np.log2(np.maximum(history, stored / 0.98)) * 4).astype(np.int64) + 1
+        backoff = np.minimum((1 - stored / self.denominator(den)) / np.maximum(1 - covered, 1e-9), 1.0)
+        return den, np.ceil(-np.log2(backoff) * 8 - 1e-9).astype(np.int64)
+
     def gain(self, pairs: np.ndarray, count: np.ndarray) -> np.ndarray:
         """What a pair's count adds to the log10 probability that ``look`` gave it without."""
         left, right = (pairs >> _U(32)).astype(np.int64), (pairs & LOW32).astype(np.int64)
@@ -396,10 +405,7 @@ def build(model: Model, counts: np.ndarray, starts: int, pairs: tuple[np.ndarray
     pair_level = model.level(pairs[1], c.least_pair)
     history = np.append(counts, starts).astype(float)
     has = np.flatnonzero(stored > 0)
-    den_level = np.ceil(np.log2(np.maximum(history[has], stored[has] / 0.98)) * 4).astype(np.int64) + 1
-    left_mass = 1 - stored[has] / model.denominator(den_level)
-    backoff = np.minimum(left_mass / np.maximum(1 - covered[has], 1e-9), 1.0)
-    back_level = np.ceil(-np.log2(backoff) * 8 - 1e-9).astype(np.int64)
+    den_level, back_level = model.weights(history[has], stored[has], covered[has])
     names = model.words.names
     model.bloom = LogBloom(int(word_level.sum() + pair_level.sum() + den_level.sum() + back_level.sum()), c.bits_per_entry, c.hashes)
     model.bloom.put(tb.mix(keys ^ WORD), word_level)
@@ -409,6 +415,103 @@ def build(model: Model, counts: np.ndarray, starts: int, pairs: tuple[np.ndarray
     return model
 
 
+def rare_pairs(docs: DataFrame, vocabulary, least: int) -> DataFrame:
+    """left, right (hashes), n: pairs that occur ``least`` times or more and have a word beyond the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in tb.slices(batch.column(0)):
+                h, row = tokens(s)
+                before, some = preceding(h, row), ~vocabulary.value.find(h)[1]
+                some[1:] |= some[:-1] & (row[1:] == row[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(before[some].view(np.int64)), pa.array(h[some].view(np.int64))], ["left", "right"])
+
+    pairs = docs.select("text").mapInArrow(run, "left long, right long").groupBy("left", "right").agg(F.count("*").alias("n"))
+    return written(pairs.where(F.col("n") >= least), "lm-rare-pairs")
+
+
+def preceding(h: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Hash of the token before each, or the begin."""
+    before = np.full(len(h), BEGIN, np.uint64)
+    if len(h):
+        before[1:] = np.where(row[1:] == row[:-1], h[:-1], BEGIN)
+    return before
+
+
+def rare_sums(rare: DataFrame, counts: DataFrame, shared) -> tuple[DataFrame, DataFrame]:
+    """``rare`` with the right word's count (times); and for each left word what :func:`histories` sums, over these pairs: left, place in the vocabulary or null, top, follow."""
+
+    least = shared.value.c.least_pair
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k, c in zip(b.column(0), b.column(1), strict=True):
+                key, count = np.frombuffer(k.as_py(), np.int64), np.frombuffer(c.as_py(), np.int64)
+                some = count >= least
+                yield pa.RecordBatch.from_arrays([pa.array(key[some]), pa.array(count[some])], ["right", "times"])
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            left = b.column(0).to_numpy()
+            at, ok = placed(m, left.view(np.uint64))
+            top = np.round(m.top(m.level(b.column(1).to_numpy(), m.c.least_pair)) * 1024).astype(np.int64)
+            follow = np.ceil(m.share(b.column(2).to_numpy()) * 2.0**40).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(at, pa.int64(), mask=~ok), pa.array(top), pa.array(follow)], ["left", "place", "top", "follow"])
+
+    every = counts.select("keys", "counts").mapInArrow(words, "right long, times long")
+    rare = written(rare.join(every, "right").select("left", "right", "n", "times"), "lm-rare-pairs")
+    sums = rare.select("left", "n", "times").mapInArrow(parts, "left long, place long, top long, follow long").groupBy("left", "place").agg(F.sum("top").alias("top"), F.sum("follow").alias("follow"))
+    return rare, written(sums.join(every.withColumnRenamed("right", "left"), "left", "left"), "lm-rare-histories")
+
+
+def placed(m: Model, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of words in the vocabulary, the begin's included."""
+    at, ok = m.words.find(h)
+    at[h == BEGIN], ok[h == BEGIN] = len(m.words.known), True
+    return at, ok
+
+
+def gains(rare: DataFrame, sums: DataFrame, shared, buckets: int) -> DataFrame:
+    """bucket, keys, counts (float64 as bytes): what histories beyond the vocabulary, and pairs with a word beyond it, add to a log10 probability."""
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            den, back = m.weights(*(b.column(k).to_numpy().astype(float) / unit for k, unit in ((1, 1), (2, 1024), (3, 2.0**40))))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.log10(m.denominator(den))), pa.array(back / -8.0 * math.log10(2))], ["left", "den", "weight"])
+
+    def adds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            left, right = (b.column(k).to_numpy().view(np.uint64) for k in (0, 1))
+            den, weight = (b.column(k).to_numpy(zero_copy_only=False).copy() for k in (4, 5))
+            at, ok = placed(m, left)
+            if ok.any():
+                w, d = m.history(left[ok])
+                den[ok], weight[ok] = np.log10(np.maximum(d, 1e-300)), np.log10(w)
+            gain = np.log10(m.top(m.level(b.column(2).to_numpy(), m.c.least_pair))) - den - np.log10(m.share(b.column(3).to_numpy())) - weight
+            yield binned(pair_key(left, right), gain)
+
+    def backs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield binned(tb.mix(b.column(0).to_numpy().view(np.uint64) ^ BACKOFF), b.column(1).to_numpy())
+
+    def binned(key: np.ndarray, gain: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(bucket_of(key, buckets).astype(np.int32)), pa.array(key.view(np.int64)), pa.array(gain)], ["bucket", "key", "gain"])
+
+    def packed(table: pa.Table) -> pa.Table:
+        key, gain = table["key"].to_numpy().view(np.uint64), table["gain"].to_numpy()
+        order = np.argsort(key)
+        return pa.table({"bucket": table["bucket"][:1], "keys": [key[order].tobytes()], "counts": [gain[order].tobytes()]})
+
+    beyond = written(sums.where("place IS NULL").select("left", "times", "top", "follow").mapInArrow(weighed, "left long, den double, weight double"), "lm-rare-histories")
+    row = "bucket int, key long, gain double"
+    pairs = rare.join(beyond, "left", "left").select("left", "right", "n", "times", "den", "weight").mapInArrow(adds, row)
+    every = pairs.union(beyond.select("left", "weight").mapInArrow(backs, row))
+    return written(every.groupBy("bucket").applyInArrow(packed, "bucket int, keys binary, counts binary"), "lm-gains")
+
+
 @dataclass
 class Trained:
     model: Model
@@ -417,6 +520,8 @@ class Trained:
     #: Counts of all words, and of all pairs that have a probability of their own: a row for each of ``buckets``.
     words: DataFrame
     pairs: DataFrame
+    #: What pairs and histories beyond the vocabulary add, in the same buckets.
+    gains: DataFrame
     buckets: int
     totals: dict
 
@@ -440,20 +545,36 @@ def train(docs: DataFrame, training: Column, c: Config = Config()) -> Trained:
         return (before[good].astype(np.uint64) << _U(32)) | at[good].astype(np.uint64)
 
     pair_counts = counted(d, pairs_of, buckets, "lm-pairs", c.least_pair)
+    rare = rare_pairs(d, vocabulary, c.least_pair) if c.all_pairs else None
     vocabulary.unpersist()
     model = Model(LogBloom(1, 1, 1), c, 1.0, Lookup(keys))
     quantised = lambda n: model.value(model.level(n, 1), 1)
     rest = np.array([(n, k) for n, k in totals.pop("by").items() if n < least], float).reshape(-1, 2)
     model.mass = float(quantised(exact).sum() + (quantised(rest[:, 0]) * rest[:, 1]).sum()) + totals["once"] + 1
     stored, covered = histories(pair_counts, model, model.share(exact))
+    if c.all_pairs:
+        shared = d.sparkSession.sparkContext.broadcast(model)
+        rare, sums = rare_sums(rare, counts, shared)
+        shared.unpersist()
+        more = sums.where("place IS NOT NULL").select("place", "top", "follow").toArrow()  # max_words at most
+        at = more["place"].to_numpy()
+        stored[at] += more["top"].to_numpy() / 1024
+        covered[at] += more["follow"].to_numpy() / 2.0**40
     held = frequent(pair_counts, max(c.least_pair, threshold(pair_counts, c.max_pairs)[0]))
     end = np.searchsorted(keys, END)
-    starts = int(exact[end]) if end < len(keys) and keys[end] == END else 0
-    return Trained(build(model, exact, max(starts, 1), held, stored, covered), exact, counts, pair_counts, buckets, totals)
+    starts = int(exact[end]) if end < len(keys) and keys[end] == END else d.count()  # a text has one end
+    model = build(model, exact, max(starts, 1), held, stored, covered)
+    more = d.sparkSession.createDataFrame([], "bucket int, keys binary, counts binary")
+    if c.all_pairs:
+        shared = d.sparkSession.sparkContext.broadcast(model)
+        more = gains(rare, sums, shared, buckets)
+        shared.unpersist()
+        removed(rare)
+    return Trained(model, exact, counts, pair_counts, more, buckets, totals)
 
 
 #: Rows of the lookup: texts with what the broadcast gives, what they ask of a bucket, and the buckets' counts.
-TEXT, ASK_WORDS, ASK_PAIRS, WORDS, PAIRS = range(5)
+TEXT, ASK_WORDS, ASK_PAIRS, ASK_GAINS, WORDS, PAIRS, GAINS = range(7)
 DOC = "doc_id {id}, held_out boolean, n_tokens long, known long, logs double, score double"
 ASKED = "kind int, bucket int, seg long, row long, " + DOC + ", keys binary, counts binary, rows binary"
 ANSWERED = "seg long, row long, " + DOC + ", rows binary, more_known binary, more_logs binary, more_score binary"
@@ -505,6 +626,14 @@ def _asks(kind: int, seg: int, keys: np.ndarray, rows: np.ndarray, buckets: int,
     )
 
 
+def _rare_keys(h: np.ndarray, row: np.ndarray, ok: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the pairs with a word beyond the vocabulary, and of such words as histories; and the rows, counted from ``base``."""
+    before = preceding(h, row)
+    after = np.append(False, ~ok[:-1] & (row[1:] == row[:-1]))[: len(h)]
+    some = after | ~ok
+    return np.concatenate([pair_key(before[some], h[some]), tb.mix(before[after] ^ BACKOFF)]), np.concatenate([row[some], row[after]]) + base
+
+
 def asked(numbered: DataFrame, trained: Trained, shared, kind: str) -> DataFrame:
     """ASKED: the rows of ``numbered`` (row, doc_id, held_out, text), scored by the broadcast, and what they ask of the buckets."""
     buckets = trained.buckets
@@ -513,10 +642,11 @@ def asked(numbered: DataFrame, trained: Trained, shared, kind: str) -> DataFrame
         m, logs = shared.value
         words: list[tuple[np.ndarray, np.ndarray]] = []
         pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        rare: list[tuple[np.ndarray, np.ndarray]] = []
         seg, n, last, types = -1, 0, -1, {}
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for what, have in ((ASK_WORDS, words), (ASK_PAIRS, pairs)):
+            for what, have in ((ASK_WORDS, words), (ASK_PAIRS, pairs), (ASK_GAINS, rare)):
                 if have:
                     got = _asks(what, seg, *(np.concatenate(x) for x in zip(*have, strict=True)), buckets, types)
                     have.clear()
@@ -543,6 +673,8 @@ def asked(numbered: DataFrame, trained: Trained, shared, kind: str) -> DataFrame
                     base = int(number[low]) - seg
                     words.append((h[~ok], row[~ok] + base))
                     pairs.append((open_pairs, row[where] + base))
+                    if m.c.all_pairs:
+                        rare.append(_rare_keys(h, row, ok, base))
                     cut = lambda k: batch.column(k).slice(part.first, part.rows)  # noqa: B023, E731
                     yield _filled(
                         ASKED,
@@ -575,11 +707,11 @@ def answered(asks: DataFrame, trained: Trained, shared, kind: str) -> DataFrame:
         texts = table.filter(pa.array(what == TEXT)).select([n for n in _names(ANSWERED) if n in _names(ASKED) and n != "rows"])
         out = [_filled(ANSWERED, {n: texts[n].combine_chunks() for n in texts.column_names}, types)] if len(texts) else []
         counts = {}
-        for k in np.flatnonzero((what == WORDS) | (what == PAIRS)):
-            counts[what[k]] = np.frombuffer(table["keys"][k].as_py(), np.uint64), np.frombuffer(table["counts"][k].as_py(), np.int64)
-        for kind in (ASK_WORDS, ASK_PAIRS):
+        for k in np.flatnonzero(what >= WORDS):
+            counts[what[k]] = np.frombuffer(table["keys"][k].as_py(), np.uint64), np.frombuffer(table["counts"][k].as_py(), np.float64 if what[k] == GAINS else np.int64)
+        for kind in (ASK_WORDS, ASK_PAIRS, ASK_GAINS):
             at = np.flatnonzero(what == kind)
-            key, count = counts.get(kind + 2, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+            key, count = counts.get(kind + 3, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
             if not len(at) or not len(key):
                 continue
             part = table.take(pa.array(at))
@@ -603,16 +735,16 @@ def answered(asks: DataFrame, trained: Trained, shared, kind: str) -> DataFrame:
                 done |= {"more_known": cut(np.bincount(back, minlength=len(row)), np.uint32), "more_logs": cut(total(np.log10(c + 1.0)), np.float64)}
                 gain = np.log10(m.share(c)) + np.log10(m.mass)
             else:
-                gain = m.gain(wanted, c)
+                gain = c if kind == ASK_GAINS else m.gain(wanted, c)
             out.append(_filled(ANSWERED, done | {"more_score": cut(total(gain), np.float32)}, types))
         schema = out[0].schema if out else _filled(ANSWERED, {"seg": pa.array([], pa.int64())}, types).schema
         return pa.Table.from_batches(out, schema)
 
     tables = [
         t.select(*[{"kind": F.lit(k), "bucket": F.col("bucket"), "keys": F.col("keys"), "counts": F.col("counts")}.get(n, F.lit(None)).cast(asks.schema[n].dataType).alias(n) for n in _names(ASKED)])
-        for k, t in ((WORDS, trained.words), (PAIRS, trained.pairs))
+        for k, t in ((WORDS, trained.words), (PAIRS, trained.pairs), (GAINS, trained.gains))
     ]
-    return asks.union(tables[0]).union(tables[1]).groupBy("bucket").applyInArrow(run, ANSWERED.format(id=kind))
+    return asks.union(tables[0]).union(tables[1]).union(tables[2]).groupBy("bucket").applyInArrow(run, ANSWERED.format(id=kind))
 
 
 def score(docs: DataFrame, c: Config = Config()) -> DataFrame:
@@ -656,7 +788,7 @@ def score(docs: DataFrame, c: Config = Config()) -> DataFrame:
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(read(spark, sf_dir, "documents"))
+    return score(read(spark, sf_dir, "documents"), Config(all_pairs=True))
 
 
 QUERIES = {"op7_lm_scoring": op7_lm_scoring}

@@ -87,6 +87,16 @@ def test_what_is_looked_up_elsewhere_scores_the_same(spark, monkeypatch):
     assert all(abs(x - few[k]) < 1e-4 * abs(x) for k, x in get(lm.Config(bits_per_entry=40, max_pairs=20)).items())
 
 
+def test_the_bound_of_the_vocabulary_changes_no_score(spark):
+    """Pairs and histories of words beyond the broadcast count as much as those within."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    get = lambda n: {r["doc_id"]: r["score"] for r in lm.score(df, lm.Config(bits_per_entry=40, max_words=n, all_pairs=True)).collect()}
+    whole = get(500_000)
+    for n in (0, 60):
+        few = get(n)
+        assert whole.keys() == few.keys() and all(abs(whole[k] - few[k]) < 1e-4 * abs(whole[k]) for k in whole)
+
+
 def test_score_against_plain_back_off(spark):
     """Every text's score by dictionaries: quantised counts, discounts, denominators and weights as the module's text says."""
     c = lm.Config(bits_per_entry=60, hashes=8, max_words=40, max_pairs=10)
