@@ -31,11 +31,15 @@ def spread_lines(roster: DataFrame, bounds: DataFrame, keys: list[str]) -> DataF
     return j.select(*keys, F.col("r.pos").alias("pos"), F.col("r.species").alias("species"), (n > 0).alias("known"), F.concat(F.lit("  "), "r.species", F.lit(": "), F.when(n > 0, text).otherwise("unknown")).alias("line"))
 
 
-def spread_block(lines: DataFrame, keys: list[str], title: str, hide_unknown: bool) -> DataFrame:
-    """keys, text: a titled block of the lines in order of ``pos``; without lines that say nothing if they are hidden, and no block if none is left."""
-    shown = lines.where("known") if hide_unknown else lines
+def spread_block(lines: DataFrame, keys: list[str], title: str | Column, hide_unknown: bool | Column) -> DataFrame:
+    """keys, text: a titled block of the lines in order of ``pos``; without lines that say nothing if they are hidden, and no block if none is left.
+
+    ``title`` and ``hide_unknown`` may be columns of the keys, so that blocks of several kinds are made in one pass.
+    """
+    title, hide = (x if isinstance(x, Column) else F.lit(x) for x in (title, hide_unknown))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"])  # a roster
-    return shown.groupBy(*keys).agg(F.concat(F.lit(f"=== {title} ===\n"), F.array_join(ordered, "\n")).alias("text"))
+    blocks = lines.where(F.col("known") | ~hide).groupBy(*keys).agg(ordered.alias("lines"))
+    return blocks.select(*keys, F.concat(F.lit("=== "), title, F.lit(" ===\n"), F.array_join("lines", "\n")).alias("text"))
 
 
 def placeholders(identified: Column, own: Column, brought: int = BROUGHT) -> Column:

@@ -27,8 +27,8 @@ def spread_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     final = inference.fold(hits, turns=False).select("match_id", "side", "species_key", "stat", "lo", "hi")
     roster = hits.select("match_id").distinct().select("match_id", F.explode(F.array(F.lit("p1"), F.lit("p2"))).alias("side")).select("*", F.posexplode(F.array(F.lit("A"), F.lit("B"), F.lit("a"))).alias("pos", "species"))
     lines = blocks.spread_lines(roster, final, ["match_id", "side"])
-    own = blocks.spread_block(lines.where("side = 'p1'"), ["match_id", "side"], "YOUR SPREADS", False)
-    return own.union(blocks.spread_block(lines.where("side = 'p2'"), ["match_id", "side"], "OPP SPREADS", True))
+    own = F.col("side") == "p1"
+    return blocks.spread_block(lines, ["match_id", "side"], F.when(own, "YOUR SPREADS").otherwise("OPP SPREADS"), ~own)
 
 
 @query(

@@ -20,6 +20,13 @@ def test_spread_blocks(spark):
     assert {r["m"] for r in blocks.spread_block(lines, ["m"], "T", True).collect()} == {"m"}
 
 
+def test_spread_blocks_of_both_sides_fold_once(spark):
+    from logweave.plans import reached_catalog
+
+    plan = reached_catalog.spread_blocks(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("MapInArrow") == 1
+
+
 def test_placeholders_sheets_and_templates(spark):
     d = spark.createDataFrame([(k,) for k in (0, 3, 4, 6)], "n int").select("n", blocks.placeholders(F.col("n"), F.lit(True)).alias("own"), blocks.placeholders(F.col("n"), F.lit(False)).alias("foe"))
     got = {r["n"]: r for r in d.collect()}
