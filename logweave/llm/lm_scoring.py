@@ -83,7 +83,7 @@ def tokens(s: tb.Slice) -> tuple[np.ndarray, np.ndarray]:
 class Tally:
     """Distinct 64-bit keys and their counts, merged whenever many are waiting; ``full`` once the merged ones are many."""
 
-    def __init__(self, limit: int = 500_000) -> None:
+    def __init__(self, limit: int = 250_000) -> None:
         self.keys, self.counts, self.waiting, self.limit, self.full = [], [], 0, limit, False
 
     def add(self, keys: np.ndarray) -> None:
@@ -92,13 +92,18 @@ class Tally:
         self.counts.append(n)
         self.waiting += len(k)
         if self.waiting > 2 * self.limit:
-            k, n = self.merged()
-            self.keys, self.counts, self.waiting, self.full = [k], [n], len(k), len(k) > self.limit
+            self.waiting = len(self.merged()[0])
+            self.full = self.waiting > self.limit
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.keys:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return summed(np.concatenate(self.keys), np.concatenate(self.counts))
+        if len(self.keys) > 1:
+            keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+            self.keys, self.counts = [], []  # the parts go before the sort takes its memory
+            keys, counts = summed(keys, counts)
+            self.keys, self.counts = [keys], [counts]
+        return self.keys[0], self.counts[0]
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -579,7 +584,7 @@ DOC = "doc_id {id}, held_out boolean, n_tokens long, known long, logs double, sc
 ASKED = "kind int, bucket int, seg long, row long, " + DOC + ", keys binary, counts binary, rows binary"
 ANSWERED = "seg long, row long, " + DOC + ", rows binary, more_known binary, more_logs binary, more_score binary"
 #: Tokens and rows of a segment: the texts that ask together.
-SEG_TOKENS, SEG_ROWS = 1_500_000, 60_000
+SEG_TOKENS, SEG_ROWS = 1_000_000, 60_000
 
 
 def _names(schema: str) -> list[str]:

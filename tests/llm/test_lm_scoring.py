@@ -130,3 +130,27 @@ def test_score_against_plain_back_off(spark):
             want[k] += math.log10(seen[a, b] / den[a] if (a, b) in seen else weight.get(a, 1.0) * share(b))
     got = sorted(r["score"] for r in lm.score(df, c).collect())
     assert np.allclose(got, sorted(want.values()), rtol=2e-3)
+
+
+def test_tally_is_small_and_exact():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    many = rng.integers(0, 2_000_000, 2_400_000).astype(np.uint64)
+    tracemalloc.start()
+    t, parts, peak = lm.Tally(), [], 0
+    for cut in range(0, len(many), 80_000):
+        t.add(many[cut : cut + 80_000])
+        if t.full:
+            lm._split(*t.merged(), 32)
+            peak = max(peak, tracemalloc.get_traced_memory()[1])
+            parts.append(t.merged())
+            t = lm.Tally()
+            tracemalloc.stop()  # the parts kept here don't count
+            tracemalloc.start()
+    tracemalloc.stop()
+    parts.append(t.merged())
+    assert peak < 54e6, peak  # 61.6e6 with tallies twice as large that were sorted again
+    k, n = lm.summed(*map(np.concatenate, zip(*parts, strict=True)))
+    want = np.unique(many, return_counts=True)
+    assert np.array_equal(k, want[0]) and np.array_equal(n, want[1])
